@@ -122,7 +122,7 @@ def test_sharding_is_even_gapless_and_keeps_groups(spark):
     got = sharding.shard_by_bytes(frame(spark, rows)).toPandas()
     assert len(got) == len(rows) and (got.law == "bytes").all() and got.grown_shard.isna().all()
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
-    assert got[got["size"] == 16].shard.nunique() == 1
+    assert got[got.doc_id >= len(rows) - 5].shard.nunique() == 1
     assert sharding.shard_by_bytes(frame(spark, rows).limit(0)).count() == 0
 
 
