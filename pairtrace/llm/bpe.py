@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 NEVER = 1 << 30
 EDGE, GONE = -1, -2
-OUT_ROWS = 512
+#: Texts that are merged together, and rows of an output batch.
+CORPUS_ROWS, OUT_ROWS = 4_000, 512
 
 
 class Merges:
@@ -146,8 +147,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
     def run(batches):
         table, split = _merges(content.value), regex.compile(pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 10_000):
-                part = batch.slice(lo, 10_000)
+            for lo in range(0, batch.num_rows, CORPUS_ROWS):
+                part = batch.slice(lo, CORPUS_ROWS)
                 ids = table.encode(part.column("text").to_pylist(), split)
                 for at in range(0, len(ids), OUT_ROWS):
                     piece = [x.tobytes() for x in ids[at : at + OUT_ROWS]]
