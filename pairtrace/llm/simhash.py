@@ -4,6 +4,11 @@ Sharding: 64 bits are cut into ``radius + 2`` blocks. Two fingerprints within th
 in at least two blocks, so they meet in the shard of some pair of blocks. Each shard builds a
 BK-tree (children keyed by Hamming distance to the parent) and follows only edges within the
 radius. A shard reports a spanning star of its linked fingerprints, never all pairs.
+
+For near copies of a stated similarity the radius would be too wide for blocks of bits (at a
+Jaccard similarity of 0.8 fingerprints differ in about 10 of 64 bits). ``similar_documents``
+therefore shards by bands of minima over the same shingle hashes, searches each shard's BK-tree
+with a wide radius, and checks the links that are left on the whole texts.
 """
 
 from __future__ import annotations
@@ -20,20 +25,35 @@ from pairtrace.functions.shared import materialize
 from pairtrace.operators.components import connected_components
 
 CHUNK = 1 << 16
+#: Bands of minima: two texts of similarity 0.8 share none of them with probability 0.00005.
+BANDS, ROWS = 25, 5
+#: Fingerprints further apart than this, or with fewer equal minima, are not looked at in a shard.
+WIDE_RADIUS, LEAST_ESTIMATE = 20, 0.66
+#: Links a text reports to each group of its shard that it touches.
+LINKS = 3
+_FACTORS = np.random.default_rng(64).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_ABSENT = -(1 << 63)
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit SimHash of the word shingles, repeats included; no words give zero."""
-    words = (text or "").encode().lower().split()
+def split_words(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each word shingle, repeats included; fewer words make one shingle, none make none."""
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     k = min(shingle, len(words))
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in spans), np.uint64, len(words) - k + 1)
+    return np.fromiter((digest(joined[a:b], 42) for a, b in spans), np.uint64, len(words) - k + 1)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """A bit is set if it is set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for lo in range(0, hashes.size, CHUNK):
         part = hashes[lo : lo + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -41,6 +61,19 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(ones * 2 > hashes.size).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """64-bit SimHash of the word shingles, repeats included; no words give zero."""
+    return simhash(shingle_hashes(split_words(text), shingle))
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """Least value of the hashes under each of BANDS * ROWS multipliers."""
+    least = np.full(_FACTORS.size, np.iinfo(np.uint64).max, np.uint64)
+    for lo in range(0, hashes.size, 2048):
+        np.minimum(least, (_FACTORS[:, None] * hashes[None, lo : lo + 2048]).min(axis=1), out=least)
+    return least
+
+
 class BKTree:
     """Integers under Hamming distance."""
 
@@ -113,15 +146,19 @@ def _shards(fps: DataFrame, radius: int, most: int) -> DataFrame:
         F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed[a] | signed[b])))
         for n, (a, b) in enumerate(combinations(range(blocks), 2))
     ]
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("shard"))
+    return _meeting(fps.select("fp", F.explode(F.array(*keys)).alias("shard")), "fp", most)
+
+
+def _meeting(rows: DataFrame, member: str, most: int) -> DataFrame:
+    """Members of shards of two or more; a shard over ``most`` becomes pairs of parts, in which any two still meet."""
     sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
     rows = rows.join(sizes, "shard").withColumn("parts", F.ceil(F.col("n") / most).cast("int"))
-    part = F.pmod(F.xxhash64("fp", "shard"), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64(member, "shard"), F.col("parts")).cast("int")
     meet = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda j: F.concat_ws(":", F.col("shard"), F.least(j, part), F.greatest(j, part)),
     )
-    return rows.select("fp", F.explode(meet).alias("shard"))
+    return rows.select(member, F.explode(meet).alias("shard"))
 
 
 def fingerprint_links(fps: DataFrame, radius: int = 4, most: int = 20_000) -> DataFrame:
@@ -167,5 +204,131 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(per_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, mark, words, fp, minima, bands) of (id, mark, text): ``words`` hashes the word sequence, ``minima`` has 16 bits of each."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text in batch.column("text"):
+                found = split_words(text.as_py())
+                hashes = shingle_hashes(found, shingle)
+                low = minima(hashes)
+                bands = [xxhash.xxh64_intdigest(low[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)] if found else []
+                out.append((xxhash.xxh64_intdigest(b" ".join(found)), simhash(hashes), low.astype(np.uint16).tobytes(), np.array(bands, np.uint64).view(np.int64)))
+            longs = [pa.array(np.array([row[i] for row in out], np.uint64).view(np.int64)) for i in (0, 1)]
+            columns = [batch.column("id"), batch.column("mark"), *longs, pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "words", "fp", "minima", "bands"])
+
+    return docs.mapInArrow(run, "id long, mark long, words long, fp long, minima binary, bands array<long>")
+
+
+def similar_links(fps: list[int], sketches: np.ndarray, radius: int = WIDE_RADIUS, least: float = LEAST_ESTIMATE) -> list[tuple[int, int]]:
+    """Pairs (i, j) of rows of one shard to be checked, found by a BK-tree and compared by their minima.
+
+    Each row reports its LINKS best partners in every group of earlier rows that it touches, then
+    joins these groups, so a shard of n rows reports about LINKS * n pairs and not all of them.
+    """
+    tree, at, up, out = BKTree(), {}, list(range(len(fps))), []
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for i, fp in enumerate(fps):
+        others = np.array([j for f in tree.add_and_find(fp, radius) for j in at[f]], np.int64)
+        at.setdefault(fp, []).append(i)
+        if not others.size:
+            continue
+        equal = (sketches[others] == sketches[i]).mean(axis=1)
+        near = others[np.argsort(-equal, kind="stable")][: int((equal >= least).sum())]
+        told: dict[int, int] = {}
+        for j in near.tolist():
+            group = top(j)
+            told[group] = told.get(group, 0) + 1
+            if told[group] <= LINKS:
+                out.append((j, i))
+        for group in told:
+            up[group] = i
+    return out
+
+
+def _candidates(texts: DataFrame, most: int) -> DataFrame:
+    """Distinct (a, b), hashes of word sequences, that some shard found near each other."""
+
+    def run(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
+        code = table.column("shard").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        words, fp = table.column("words").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+        sketch = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint16).reshape(-1, _FACTORS.size)
+        # Shards take their rows in different orders, so that they don't all report the same partners.
+        order = np.lexsort((words.view(np.uint64) * (2 * code.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), code))
+        code, words, fp, sketch = code[order], words[order], fp[order], sketch[order]
+        cuts = np.r_[0, np.flatnonzero(np.diff(code)) + 1, code.size]
+        found: set[tuple[int, int]] = set()
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            ids = words[lo:hi].tolist()
+            found.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in similar_links(fp[lo:hi].tolist(), sketch[lo:hi]))
+        ends = np.array(sorted(found), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    members = _meeting(texts.select("words", F.explode("bands").alias("shard")), "words", most)
+    members = members.join(texts.select("words", "fp", "minima"), "words")
+    return members.repartition("shard").mapInArrow(run, "a long, b long").distinct()
+
+
+def _checked(pairs: DataFrame, texts: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have a Jaccard similarity of ``similarity`` or more, on whole texts."""
+
+    def run(batches):
+        for batch in batches:
+            keep, last, one = [], None, None
+            for a, left, right in zip(batch.column("a").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
+                if a != last:
+                    last, one = a, np.unique(shingle_hashes(split_words(left.as_py()), shingle))
+                two = np.unique(shingle_hashes(split_words(right.as_py()), shingle))
+                both = np.intersect1d(one, two, assume_unique=True).size
+                keep.append(both >= similarity * (one.size + two.size - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct()
+    whole = texts.join(ends, "words").select("words", "id", "mark").join(source, ["id", "mark"]).dropDuplicates(["words"])
+    whole = materialize(whole.select("words", "text"), "linked-texts")
+    both = pairs.join(whole.select(F.col("words").alias("a"), F.col("text").alias("left")), "a").join(whole.select(F.col("words").alias("b"), F.col("text").alias("right")), "b")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def similar_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = 2_000
+) -> DataFrame:
+    """``(id, component_id)`` per row; component_id is the smallest id reachable over similar texts.
+
+    Two texts are linked where the sets of their word shingles (A-Z lower-cased, split at white
+    space) have a Jaccard similarity of ``similarity`` or more; every link is checked on the whole
+    texts. Equal word sequences are collapsed first, so a group of copies costs one row; texts
+    without words are one group. Null ids count as the least id and come back null. A repeated
+    id keeps its rows; an empty table gives an empty result; further columns are ignored.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_ABSENT)).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    rows = materialize(_sketches(source, shingle), "sketches")
+    first = F.min(F.struct("id", "mark")).alias("first")
+    texts = rows.groupBy("words").agg(first, F.min_by(F.struct("fp", "minima", "bands"), F.struct("id", "mark")).alias("x"))
+    texts = materialize(texts.select("words", "first.*", "x.*"), "distinct-sketches")
+    pairs = materialize(_candidates(texts, most), "similar-candidates")
+    links = materialize(_checked(pairs, texts, source, shingle, similarity), "similar-links")
+    linked = texts.select("words", "id").join(connected_components(links, "a", "b").withColumnRenamed("id", "words"), "words")
+    lowest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
+    member = linked.join(lowest, "component").select("words", "component_id")
+    per_text = texts.select("words", F.col("id").alias("low")).join(member, "words", "left").select("words", F.coalesce("component_id", "low").alias("component_id"))
+    back = lambda c: F.nullif(c, F.lit(_ABSENT))
+    return rows.select("id", "words").join(per_text, "words").select(back(F.col("id")).alias(id_col), back(F.col("component_id")).alias("component_id"))
+
+
 def as_hex(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

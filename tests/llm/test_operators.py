@@ -74,6 +74,50 @@ def test_simhash_equals_brute_force(spark):
     assert all(r.fp & (2**64 - 1) == fp[r.doc_id] and r.component_id == up[r.doc_id] for r in found)
 
 
+def similar_components(rows, shingle=5, similarity=0.8):
+    """Least reachable index of every text, by comparing all pairs."""
+    words = [(t or "").encode().lower().split() for t in rows]
+    sets = [{tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in words]
+    up = list(range(len(rows)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((top(a), top(b)))
+                up[y] = x
+    return [top(i) for i in range(len(rows))]
+
+
+def test_similar_documents_equal_brute_force(spark):
+    rnd = random.Random(8)
+    rows = texts(4, 30) + ["same  words", "Same words", "same words\n"]
+    base = [rnd.choice(WORDS) + str(rnd.randrange(50)) for _ in range(400)]
+    for edits in [0, 1, 1, 2, 3, 5, 7, 8, 9, 10, 12, 16, 20, 40] * 4:
+        copy = list(base)
+        for at in rnd.sample(range(400), edits):
+            copy[at] = "edit%d" % rnd.randrange(10**6)
+        rows.append(" ".join(copy))
+    want = similar_components(rows)
+    # Shards over ``most`` are cut into parts; the groups stay the same.
+    for most in (2_000, 10):
+        found = simhash.similar_documents(frame(spark, rows), most=most).collect()
+        assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
+
+
+def test_similar_documents_without_rows_or_ids(spark):
+    empty = frame(spark, ["x"]).filter("doc_id < 0")
+    assert simhash.similar_documents(empty).count() == 0
+    rows = spark.createDataFrame([(None, "a b"), (3, "a b"), (3, "c d"), (4, "c d"), (5, None)], "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in simhash.similar_documents(rows).collect()}
+    assert found == {(None, None), (3, None), (3, 3), (4, 3), (5, 5)}
+
+
 def test_topk_ties_and_bad_vectors(spark):
     rnd = np.random.default_rng(1)
     vectors = [(i, rnd.normal(size=8).tolist()) for i in range(300)] + [(i, [1.0] * 8) for i in range(300, 360)]
