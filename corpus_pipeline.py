@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pairtrace.functions.shared import materialize
 from pairtrace.llm import bpe, decontam, line_dedup, quality, simhash
 
-#: Near copies: SimHash of five-word shingles; fingerprints link at so many differing bits or fewer.
-NEAR_SHINGLE, NEAR_RADIUS = 5, 4
+#: Near copies: texts whose sets of so many-word shingles have this Jaccard similarity or more.
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each linked group; of rows sharing a doc_id, one stays."""
-    near = simhash.near_duplicates(docs, shingle=NEAR_SHINGLE, radius=NEAR_RADIUS)
+    near = simhash.similar_documents(docs, shingle=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
     gone = materialize(near.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
     kept = docs.join(gone, "doc_id", "left_anti")
     repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count()
