@@ -50,7 +50,7 @@ def ingest_quality(orders: DataFrame) -> DataFrame:
     return df.unpivot([], df.columns, "metric", "value")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _folded(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).casefold().split()))
 
