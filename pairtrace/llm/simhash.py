@@ -29,7 +29,7 @@ CHUNK = 1 << 16
 BANDS, ROWS = 25, 5
 #: Fingerprints further apart than this, or with fewer equal minima, are not looked at in a shard.
 WIDE_RADIUS, LEAST_ESTIMATE = 20, 0.66
-#: Links a text reports to each group of its shard that it touches.
+#: Links a text reports in the first round to each group of its shard that it touches.
 LINKS = 3
 _FACTORS = np.random.default_rng(64).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ABSENT = -(1 << 63)
@@ -223,13 +223,19 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, mark long, words long, fp long, minima binary, bands array<long>")
 
 
-def similar_links(fps: list[int], sketches: np.ndarray, radius: int = WIDE_RADIUS, least: float = LEAST_ESTIMATE) -> list[tuple[int, int]]:
-    """Pairs (i, j) of rows of one shard to be checked, found by a BK-tree and compared by their minima.
+def similar_links(
+    fps: list[int], sketches: np.ndarray, groups: np.ndarray | None = None, links: int = LINKS, radius: int = WIDE_RADIUS, least: float = LEAST_ESTIMATE
+) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs (i, j) of rows of one shard to be checked, and whether some were held back.
 
-    Each row reports its LINKS best partners in every group of earlier rows that it touches, then
-    joins these groups, so a shard of n rows reports about LINKS * n pairs and not all of them.
+    A BK-tree finds partners, which are compared by their minima. Rows of equal ``groups`` are
+    known to be linked and not compared. Each row reports its ``links`` best partners in every
+    set of earlier rows that it touches and holds back the others, then joins these sets.
     """
-    tree, at, up, out = BKTree(), {}, list(range(len(fps))), []
+    groups = np.arange(len(fps)) if groups is None else groups
+    first: dict[int, int] = {}
+    up = [first.setdefault(g, i) for i, g in enumerate(groups.tolist())]
+    tree, at, out, held = BKTree(), {}, [], False
 
     def top(x: int) -> int:
         while up[x] != x:
@@ -240,6 +246,7 @@ def similar_links(fps: list[int], sketches: np.ndarray, radius: int = WIDE_RADIU
     for i, fp in enumerate(fps):
         others = np.array([j for f in tree.add_and_find(fp, radius) for j in at[f]], np.int64)
         at.setdefault(fp, []).append(i)
+        others = others[groups[others] != groups[i]]
         if not others.size:
             continue
         equal = (sketches[others] == sketches[i]).mean(axis=1)
@@ -248,38 +255,44 @@ def similar_links(fps: list[int], sketches: np.ndarray, radius: int = WIDE_RADIU
         for j in near.tolist():
             group = top(j)
             told[group] = told.get(group, 0) + 1
-            if told[group] <= LINKS:
+            if told[group] <= links:
                 out.append((j, i))
+        held = held or any(n > links for n in told.values())
         for group in told:
-            up[group] = i
-    return out
+            up[top(group)] = top(i)
+    return out, held
 
 
-def _candidates(texts: DataFrame, most: int) -> DataFrame:
-    """Distinct (a, b), hashes of word sequences, that some shard found near each other."""
+def _candidates(members: DataFrame, texts: DataFrame, links: int) -> DataFrame:
+    """Distinct (a, b, null), hashes of word sequences near each other in some shard, and (null, null, shard) where pairs were held back."""
 
     def run(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        code = table.column("shard").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        words, fp = table.column("words").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+        shards = table.column("shard").combine_chunks().dictionary_encode()
+        code = shards.indices.to_numpy(zero_copy_only=False)
+        words, group, fp = table.column("words").to_numpy(), table.column("component").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
         sketch = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint16).reshape(-1, _FACTORS.size)
         # Shards take their rows in different orders, so that they don't all report the same partners.
         order = np.lexsort((words.view(np.uint64) * (2 * code.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), code))
-        code, words, fp, sketch = code[order], words[order], fp[order], sketch[order]
+        code, words, group, fp, sketch = code[order], words[order], group[order], fp[order], sketch[order]
         cuts = np.r_[0, np.flatnonzero(np.diff(code)) + 1, code.size]
         found: set[tuple[int, int]] = set()
+        full: list[str] = []
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             ids = words[lo:hi].tolist()
-            found.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in similar_links(fp[lo:hi].tolist(), sketch[lo:hi]))
-        ends = np.array(sorted(found), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+            pairs, held = similar_links(fp[lo:hi].tolist(), sketch[lo:hi], group[lo:hi], links)
+            found.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs)
+            if held:
+                full.append(shards.dictionary[int(code[lo])].as_py())
+        ends, no = sorted(found), [None] * len(full)
+        columns = [pa.array([x[n] for x in ends] + no, pa.int64()) for n in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([None] * len(ends) + full, pa.string())], ["a", "b", "shard"])
 
-    members = _meeting(texts.select("words", F.explode("bands").alias("shard")), "words", most)
-    members = members.join(texts.select("words", "fp", "minima"), "words")
-    return members.repartition("shard").mapInArrow(run, "a long, b long").distinct()
+    rows = members.join(texts.select("words", "fp", "minima"), "words")
+    return rows.repartition("shard").mapInArrow(run, "a long, b long, shard string").distinct()
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -303,8 +316,37 @@ def _checked(pairs: DataFrame, texts: DataFrame, source: DataFrame, shingle: int
     return both.mapInArrow(run, "a long, b long")
 
 
+def _similar_groups(texts: DataFrame, source: DataFrame, shingle: int, similarity: float, most: int, links: int) -> DataFrame:
+    """(words, component) of every text with a link.
+
+    Shards that held pairs back and hold several components are searched again, with more
+    partners per row, until none holds any back: no partner is lost to the limit of a round.
+    """
+    members = _meeting(texts.select("words", F.explode("bands").alias("shard")), "words", most)
+    members = materialize(members.withColumn("component", F.col("words")), "band-members")
+    tested, linked = None, None
+    while True:
+        found = materialize(_candidates(members, texts, links), "similar-candidates")
+        pairs = found.filter("shard IS NULL").select("a", "b")
+        pairs = pairs if tested is None else materialize(pairs.join(tested, ["a", "b"], "left_anti"), "further-candidates")
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        good = materialize(_checked(pairs, texts, source, shingle, similarity), "similar-links")
+        if linked is None or not good.isEmpty():
+            linked = good if linked is None else linked.unionAll(good)
+            groups = materialize(connected_components(linked, "a", "b").withColumnRenamed("id", "words"), "similar-groups")
+        full = found.filter("shard IS NOT NULL").select("shard")
+        if full.isEmpty():
+            return groups
+        named = members.drop("component").join(full, "shard").join(groups, "words", "left").withColumn("component", F.coalesce("component", "words"))
+        mixed = named.groupBy("shard").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+        members = materialize(named.join(mixed.select("shard"), "shard").select("words", "shard", "component"), "open-members")
+        if members.isEmpty():
+            return groups
+        links *= 8
+
+
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = 2_000
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = 2_000, links: int = LINKS
 ) -> DataFrame:
     """``(id, component_id)`` per row; component_id is the smallest id reachable over similar texts.
 
@@ -320,9 +362,8 @@ def similar_documents(
     first = F.min(F.struct("id", "mark")).alias("first")
     texts = rows.groupBy("words").agg(first, F.min_by(F.struct("fp", "minima", "bands"), F.struct("id", "mark")).alias("x"))
     texts = materialize(texts.select("words", "first.*", "x.*"), "distinct-sketches")
-    pairs = materialize(_candidates(texts, most), "similar-candidates")
-    links = materialize(_checked(pairs, texts, source, shingle, similarity), "similar-links")
-    linked = texts.select("words", "id").join(connected_components(links, "a", "b").withColumnRenamed("id", "words"), "words")
+    groups = _similar_groups(texts, source, shingle, similarity, most, links)
+    linked = texts.select("words", "id").join(groups, "words")
     lowest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
     member = linked.join(lowest, "component").select("words", "component_id")
     per_text = texts.select("words", F.col("id").alias("low")).join(member, "words", "left").select("words", F.coalesce("component_id", "low").alias("component_id"))

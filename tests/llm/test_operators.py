@@ -104,9 +104,9 @@ def test_similar_documents_equal_brute_force(spark):
             copy[at] = "edit%d" % rnd.randrange(10**6)
         rows.append(" ".join(copy))
     want = similar_components(rows)
-    # Shards over ``most`` are cut into parts; the groups stay the same.
-    for most in (2_000, 10):
-        found = simhash.similar_documents(frame(spark, rows), most=most).collect()
+    # Shards over ``most`` are cut into parts, and rows over ``links`` wait for a later round; the groups stay the same.
+    for most, links in ((2_000, 3), (10, 1)):
+        found = simhash.similar_documents(frame(spark, rows), most=most, links=links).collect()
         assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
 
 
@@ -118,6 +118,18 @@ def test_similar_documents_without_rows_or_ids(spark):
     assert found == {(None, None), (3, None), (3, 3), (4, 3), (5, 5)}
 
 
+def test_links_held_back_are_told():
+    rng = np.random.default_rng(2)
+    same = rng.integers(0, 1 << 16, simhash.BANDS * simhash.ROWS).astype(np.uint16)
+    sketches = np.stack([same] * 6)
+    pairs, held = simhash.similar_links([7] * 6, sketches, links=2)
+    assert held and len(pairs) == 1 + 2 * 4
+    assert simhash.similar_links([7] * 6, sketches, links=5) == ([(j, i) for i in range(6) for j in range(i)], False)
+    # Rows of one known group are not compared; the outsider reports as many of them as it may.
+    pairs, held = simhash.similar_links([7] * 6, sketches, np.array([1, 1, 1, 1, 1, 2]), links=3)
+    assert held and pairs == [(0, 5), (1, 5), (2, 5)]
+
+
 def test_topk_ties_and_bad_vectors(spark):
     rnd = np.random.default_rng(1)
     vectors = [(i, rnd.normal(size=8).tolist()) for i in range(300)] + [(i, [1.0] * 8) for i in range(300, 360)]
@@ -138,6 +150,7 @@ def test_decontamination_short_items_and_repeats(spark):
     items = spark.createDataFrame([(1, "two three"), (2, "A b c d e f g h i j"), (3, None), (4, "..."), (10, "two three"), (None, "one")], "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.find_benchmark_text(docs, items).collect()}
     assert got == {0: (3, 2, ["1", "10"]), 1: (4, 2, ["1", "10"]), 2: (0, 0, []), 3: (0, 0, []), 4: (41, 10, ["2"]), 5: (10, 0, []), 6: (20, 20, ["2"])}
+    assert sorted(r.doc_id for r in decontam.contaminated_ids(docs, items).collect()) == [0, 1, 4, 6]
     assert decontam.find_benchmark_text(docs, items.limit(0)).filter("n_hit > 0").count() == 0
     near = decontam.proximity_matches(frame(spark, ["two odd three"]), items, slack=2).collect()
     assert {r.item for r in near} == {"1", "10"}
