@@ -148,16 +148,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", modulu
     return fit(x, np.array([float(r.label > 0) for r in rows]))
 
 
-def score_quality(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``quality_score`` (0 to 1) from each whole text; null and empty texts are scored too."""
+def score_quality(docs: DataFrame, trees: Trees, text_col: str = "text", into: str = "quality_score") -> DataFrame:
+    """``docs`` with a column ``into`` (0 to 1), in place of any of that name, from each whole text; null and empty texts are scored too."""
+    docs = docs.drop(into)
     model = docs.sparkSession.sparkContext.broadcast(trees)
     names = [f.name for f in docs.schema.fields]
-    schema = docs.withColumn("quality_score", F.lit(0.0)).schema
+    schema = docs.withColumn(into, F.lit(0.0)).schema
 
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t) for t in batch.column(names.index(text_col)).to_pylist()]).reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.value.score(x))], [*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.value.score(x))], [*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)
 

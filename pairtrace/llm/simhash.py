@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
+from pairtrace.llm.rows import text_mark
 from pairtrace.operators.components import connected_components
 
 CHUNK = 1 << 16
@@ -348,7 +349,9 @@ def _similar_groups(texts: DataFrame, source: DataFrame, shingle: int, similarit
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = 2_000, links: int = LINKS
 ) -> DataFrame:
-    """``(id, component_id)`` per row; component_id is the smallest id reachable over similar texts.
+    """``(id, component_id, text_mark, stays)`` per row; component_id is the smallest id reachable over similar texts.
+
+    ``stays`` is true for rows with the least (id, text_mark) of their group and false for the others.
 
     Two texts are linked where the sets of their word shingles (A-Z lower-cased, split at white
     space) have a Jaccard similarity of ``similarity`` or more; every link is checked on the whole
@@ -357,18 +360,21 @@ def similar_documents(
     id keeps its rows; an empty table gives an empty result; further columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_ABSENT)).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_ABSENT)).alias("id"), text_mark(text_col).alias("mark"), text.alias("text"))
     rows = materialize(_sketches(source, shingle), "sketches")
     first = F.min(F.struct("id", "mark")).alias("first")
     texts = rows.groupBy("words").agg(first, F.min_by(F.struct("fp", "minima", "bands"), F.struct("id", "mark")).alias("x"))
     texts = materialize(texts.select("words", "first.*", "x.*"), "distinct-sketches")
     groups = _similar_groups(texts, source, shingle, similarity, most, links)
-    linked = texts.select("words", "id").join(groups, "words")
-    lowest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
-    member = linked.join(lowest, "component").select("words", "component_id")
-    per_text = texts.select("words", F.col("id").alias("low")).join(member, "words", "left").select("words", F.coalesce("component_id", "low").alias("component_id"))
+    linked = texts.select("words", "id", "mark").join(groups, "words")
+    lowest = linked.groupBy("component").agg(F.min(F.struct("id", "mark")).alias("first"))
+    member = linked.join(lowest, "component").select("words", "first")
+    per_text = texts.select("words", F.struct("id", "mark").alias("own")).join(member, "words", "left").select("words", F.coalesce("first", "own").alias("first"))
     back = lambda c: F.nullif(c, F.lit(_ABSENT))
-    return rows.select("id", "words").join(per_text, "words").select(back(F.col("id")).alias(id_col), back(F.col("component_id")).alias("component_id"))
+    return rows.select("id", "mark", "words").join(per_text, "words").select(
+        back(F.col("id")).alias(id_col), back(F.col("first.id")).alias("component_id"), F.col("mark").alias("text_mark"),
+        (F.struct("id", "mark") == F.col("first")).alias("stays"),
+    )
 
 
 def as_hex(fp) -> F.Column:

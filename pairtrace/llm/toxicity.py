@@ -142,7 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", modulus:
 
 
 def score_toxicity(docs: DataFrame, model: WordModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1) from each whole text; null and empty texts get the model's bias."""
+    """``docs`` with ``toxicity`` (0 to 1), in place of any of that name, from each whole text; null and empty texts get the model's bias."""
+    docs = docs.drop("toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f.name for f in docs.schema.fields]
     schema = docs.withColumn("toxicity", F.lit(0.0)).schema

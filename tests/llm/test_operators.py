@@ -150,7 +150,7 @@ def test_decontamination_short_items_and_repeats(spark):
     items = spark.createDataFrame([(1, "two three"), (2, "A b c d e f g h i j"), (3, None), (4, "..."), (10, "two three"), (None, "one")], "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.find_benchmark_text(docs, items).collect()}
     assert got == {0: (3, 2, ["1", "10"]), 1: (4, 2, ["1", "10"]), 2: (0, 0, []), 3: (0, 0, []), 4: (41, 10, ["2"]), 5: (10, 0, []), 6: (20, 20, ["2"])}
-    assert sorted(r.doc_id for r in decontam.contaminated_ids(docs, items).collect()) == [0, 1, 4, 6]
+    assert sorted(r.doc_id for r in decontam.contaminated_rows(docs, items).collect()) == [0, 1, 4, 6]
     assert decontam.find_benchmark_text(docs, items.limit(0)).filter("n_hit > 0").count() == 0
     near = decontam.proximity_matches(frame(spark, ["two odd three"]), items, slack=2).collect()
     assert {r.item for r in near} == {"1", "10"}
