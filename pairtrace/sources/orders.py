@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +54,13 @@ def derive_order_date(df: DataFrame) -> DataFrame:
 
 
 def read_orders(spark: SparkSession, path: str | list[str], window_from: str = "file", types: dict[str, str] | None = None) -> DataFrame:
-    """A file, folder or glob of Parquet orders; ``window_from`` is file or date."""
-    raw = spark.read.option("mergeSchema", True).parquet(*([path] if isinstance(path, str) else path))
+    """A file, folder or glob of Parquet orders, or a list of them; ``window_from`` is file or date.
+
+    The parts of a list are read and brought to the contract one by one, so they may disagree on types.
+    """
+    if not isinstance(path, str):
+        return reduce(DataFrame.unionByName, [read_orders(spark, p, window_from, types) for p in path])
+    raw = spark.read.option("mergeSchema", True).parquet(path)
     if "window_id" not in raw.columns and window_from == "file":
         raw = raw.withColumn("window_id", F.col("_metadata.file_name"))
     out = derive_order_date(conform(raw, types or ORDER_TYPES))
