@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
+from pairtrace.llm.rows import text_mark
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, RAREST = 10, 2
@@ -69,7 +70,7 @@ def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, twin (a hash of the text, which tells rows of one id apart) and text."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("twin"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), text_mark(text_col).alias("twin"), text.alias("text"))
 
 
 def _tokens(source: DataFrame) -> DataFrame:
@@ -93,20 +94,33 @@ def alignments(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col:
     return passages, _beside(both, need, "passage").filter("n >= need").select("id", "twin", "passage", "shift")
 
 
-def find_benchmark_text(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, n_hit, items (sorted strings), hits (array of passage, shift, starts) for every row.
+def contaminated_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Distinct (id, text_mark) of rows in which a window occurs; only rows with an alignment are read in words again.
+
+    The hits are written before they are filtered, as a filter would be pushed below the words
+    and have them made once more. Edge cases are those of ``find_benchmark_text``.
+    """
+    found = find_benchmark_text(docs, items, window, id_col, text_col, aligned_only=True).select(id_col, "text_mark", "n_hit")
+    return materialize(found, "hit-counts").filter("n_hit > 0").select(id_col, "text_mark").distinct()
+
+
+def find_benchmark_text(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", aligned_only: bool = False
+) -> DataFrame:
+    """id, n_words, n_hit, items (sorted strings), hits (array of passage, shift, starts), text_mark for every row.
 
     A window is ``window`` consecutive item words; a shorter item with words is one window. A
     document word inside any occurrence of a window is hit. Null and empty texts have no words.
     Items with null id or no words match nothing; equal items are compared once. Rows sharing an
     id are judged apart by their texts. A null id stays null. Empty tables give no hits or rows.
+    ``aligned_only`` leaves out rows that no window can occur in.
     """
     passages, found = alignments(docs, items, window, id_col, text_col)
     found = materialize(_beside(found, passages, "passage"), "alignments")
     per_doc = found.groupBy("id", "twin").agg(F.collect_list(F.struct("passage", "shift", "words", "items")).alias("found"))
     weight = found.agg(F.coalesce(F.sum(F.size("words") + F.size("items") + 4), F.lit(0))).first()[0]
     source = _documents(docs, id_col, text_col)
-    rows = source.join(F.broadcast(per_doc) if weight <= BROADCAST_WORDS else per_doc, ["id", "twin"], "left")
+    rows = source.join(F.broadcast(per_doc) if weight <= BROADCAST_WORDS else per_doc, ["id", "twin"], "inner" if aligned_only else "left")
     rows = rows.withColumn("d", words("text"))
     wide = lambda c: F.least(F.lit(window), F.size(c["words"]))
 
@@ -129,6 +143,7 @@ def find_benchmark_text(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         F.when(F.col("hits").isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_hit"),
         F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))), F.array().cast("array<string>")).alias("items"),
         F.transform("hits", lambda h: F.struct(h["passage"].alias("passage"), h["shift"].alias("shift"), h["starts"].alias("starts"))).alias("hits"),
+        F.col("twin").alias("text_mark"),
     )
 
 
