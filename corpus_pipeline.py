@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
 from pairtrace.llm import bpe, decontam, line_dedup, quality, simhash
+from pairtrace.llm.rows import without
 
 #: Near copies: texts whose sets of so many-word shingles have this Jaccard similarity or more.
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
@@ -16,30 +17,33 @@ NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more."""
     trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, trees).filter(F.col("quality_score") >= 0.3).drop("quality_score")
+    score = "quality_score"
+    while score in docs.columns:
+        score += "_"
+    return quality.score_quality(docs, trees, into=score).filter(F.col(score) >= 0.3).drop(score)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source removed; n_chars follows the text. No document goes."""
-    kept = line_dedup.drop_boilerplate(docs)
-    n_chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", n_chars).select(docs.columns)
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    kept = line_dedup.drop_boilerplate(docs.select("source", "text", rest))
+    counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    made = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, counted).otherwise(F.col("rest.n_chars"))}
+    return kept.select(*[made.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each linked group; of rows sharing a doc_id, one stays."""
+    """The document of least doc_id of each linked group; of rows sharing doc_id and text, one stays."""
     near = simhash.similar_documents(docs, shingle=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
-    gone = materialize(near.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    near = materialize(near, "near-copies")
+    kept = without(docs, near.filter("NOT stays"))
+    repeated = near.filter("stays").groupBy("doc_id", "text_mark").count().filter("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
-    found = decontam.find_benchmark_text(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = materialize(found.filter("n_hit > 0").select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti")
+    return without(docs, decontam.contaminated_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
