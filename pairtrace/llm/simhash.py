@@ -29,7 +29,7 @@ CHUNK = 1 << 16
 #: Bands of minima: two texts of similarity 0.8 share none of them with probability 0.00005.
 BANDS, ROWS = 25, 5
 #: Fingerprints further apart than this, or with fewer equal minima, are not looked at in a shard.
-WIDE_RADIUS, LEAST_ESTIMATE = 20, 0.66
+WIDE_RADIUS, LEAST_ESTIMATE = 28, 0.66
 #: Links a text reports in the first round to each group of its shard that it touches.
 LINKS = 3
 _FACTORS = np.random.default_rng(64).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -297,23 +297,31 @@ def _candidates(members: DataFrame, texts: DataFrame, links: int) -> DataFrame:
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose sets of shingles have a Jaccard similarity of ``similarity`` or more, on whole texts."""
+    """The pairs whose sets of shingles have a Jaccard similarity of ``similarity`` or more, on whole texts.
+
+    Each text is cut into shingles once; a pair then compares two sorted sets of their hashes.
+    """
+
+    def cut(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(split_words(t), shingle)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("words"), pa.array(sets, pa.binary())], ["words", "grams"])
 
     def run(batches):
         for batch in batches:
-            keep, last, one = [], None, None
-            for a, left, right in zip(batch.column("a").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
-                if a != last:
-                    last, one = a, np.unique(shingle_hashes(split_words(left.as_py()), shingle))
-                two = np.unique(shingle_hashes(split_words(right.as_py()), shingle))
-                both = np.intersect1d(one, two, assume_unique=True).size
+            keep = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                one, two = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
+                both = 0
+                if min(one.size, two.size) >= similarity * max(one.size, two.size):
+                    both = np.intersect1d(one, two, assume_unique=True).size
                 keep.append(both >= similarity * (one.size + two.size - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct()
     whole = texts.join(ends, "words").select("words", "id", "mark").join(source, ["id", "mark"]).dropDuplicates(["words"])
-    whole = materialize(whole.select("words", "text"), "linked-texts")
-    both = pairs.join(whole.select(F.col("words").alias("a"), F.col("text").alias("left")), "a").join(whole.select(F.col("words").alias("b"), F.col("text").alias("right")), "b")
+    whole = materialize(whole.select("words", "text").mapInArrow(cut, "words long, grams binary"), "linked-shingles")
+    both = pairs.join(whole.select(F.col("words").alias("a"), F.col("grams").alias("left")), "a").join(whole.select(F.col("words").alias("b"), F.col("grams").alias("right")), "b")
     return both.mapInArrow(run, "a long, b long")
 
 
