@@ -274,3 +274,9 @@ def _(spark, d):
       WHERE type IN {_INFRA} GROUP BY ALL HAVING count(*) > 1)""")
 def _(spark, d):
     return pg.component_subgraph(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))
+
+
+@register("component_paths", "component_id, customer_id, order_id, driver_id", f"""(SELECT component_id, p.src AS customer_id, order_id, s.src AS driver_id FROM (SELECT DISTINCT component_id, order_id FROM flags)
+      JOIN ({_EDGES}) p ON p.dst = order_id AND p.type = 'PLACED' JOIN ({_EDGES}) s ON s.dst = order_id AND s.type = 'SERVED')""")
+def _(spark, d):
+    return pg.component_paths(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))

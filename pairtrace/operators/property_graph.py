@@ -202,15 +202,19 @@ def driver_neighborhood(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     return counts.join(places, "driver_id")
 
 
-def component_subgraph(flags: DataFrame, edges: DataFrame, first: int = 200) -> DataFrame:
-    """Per component, among its ``first`` orders by id: (component_id, type, dst, orders) that two or more share.
+def component_subgraph(flags: DataFrame, edges: DataFrame) -> DataFrame:
+    """Per component, among all its flagged orders: (component_id, type, dst, orders) that two or more share.
 
     A shared end is one row with its number of orders, which stands for the pairs among them.
     """
-    from pyspark.sql import Window
-
-    orders = flags.select("component_id", "order_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("component_id").orderBy("order_id"))
-    orders = orders.withColumn("r", rank).filter(F.col("r") <= first).select("component_id", F.col("order_id").alias("src"))
+    orders = flags.select("component_id", F.col("order_id").alias("src")).distinct()
     shared = edges.filter(F.col("type").isin(*INFRASTRUCTURE)).join(orders, "src")
     return shared.groupBy("component_id", "type", "dst").agg(F.count("*").alias("orders")).filter("orders > 1")
+
+
+def component_paths(flags: DataFrame, edges: DataFrame) -> DataFrame:
+    """Core paths of each component: (component_id, customer_id, order_id, driver_id) of all its flagged orders."""
+    orders = flags.select("component_id", "order_id").distinct()
+    end = lambda kind, name: edges.filter(F.col("type") == kind).select(F.col("dst").alias("order_id"), F.col("src").alias(name))
+    paths = orders.join(end("PLACED", "customer_id"), "order_id").join(end("SERVED", "driver_id"), "order_id")
+    return paths.select("component_id", "customer_id", "order_id", "driver_id")

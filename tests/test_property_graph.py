@@ -34,3 +34,12 @@ def test_incremental_ingest_merges_new_files_once(spark, tmp_path):
     run()
     rows = {r.order_id: (r.driver_id, r.is_completed) for r in spark.read.parquet(table).collect()}
     assert rows == {"a": ("d1", True), "b": ("d2", True), "c": ("d3", False)}
+
+
+def test_component_subgraph_and_paths_take_all_orders(spark):
+    flags = spark.createDataFrame([("c1", f"o{i:04d}") for i in range(450)] * 2 + [("c2", "x1")], "component_id string, order_id string")
+    edges = [("PAID_BY", f"o{i:04d}", "card") for i in range(450)] + [("PICKUP_AT", f"o{i:04d}", "late") for i in range(400, 450)] + [("PAID_BY", "x1", "card"), ("USED_PROMO", "o0449", "once")]
+    edges += [(t, who, f"o{i:04d}") for i in range(450) for t, who in (("PLACED", "cust"), ("SERVED", f"d{i % 3}"))] + [("PLACED", "cust", "x1")]
+    edges = spark.createDataFrame(edges, "type string, src string, dst string")
+    assert sorted(map(tuple, pg.component_subgraph(flags, edges).collect())) == [("c1", "PAID_BY", "card", 450), ("c1", "PICKUP_AT", "late", 50)]
+    assert sorted(map(tuple, pg.component_paths(flags, edges).collect())) == sorted(("c1", "cust", f"o{i:04d}", f"d{i % 3}") for i in range(450))
