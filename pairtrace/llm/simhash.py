@@ -213,7 +213,7 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
             out = []
             for text in batch.column("text"):
                 found = split_words(text.as_py())
-                hashes = shingle_hashes(found, shingle)
+                hashes = np.unique(shingle_hashes(found, shingle))  # links go by sets, so a repeated line weighs once
                 low = minima(hashes)
                 bands = [xxhash.xxh64_intdigest(low[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)] if found else []
                 out.append((xxhash.xxh64_intdigest(b" ".join(found)), simhash(hashes), low.astype(np.uint16).tobytes(), np.array(bands, np.uint64).view(np.int64)))

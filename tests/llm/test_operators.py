@@ -110,6 +110,19 @@ def test_similar_documents_equal_brute_force(spark):
         assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
 
 
+def test_similar_documents_with_different_repeated_lines(spark):
+    rnd = random.Random(13)
+    word = lambda: rnd.choice(WORDS) + str(rnd.randrange(10**6))
+    rows = []
+    for times in [(10, 10)] * 20 + [(40, 1)] * 20:
+        body = [word() for _ in range(200)]
+        for n in times:
+            rows.append(" ".join(body + [word() for _ in range(8 if times[1] > 1 or n > 1 else 0)] * n))
+    want = similar_components(rows)
+    assert len(set(want)) == 40
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(frame(spark, rows)).collect()} == dict(enumerate(want))
+
+
 def test_similar_documents_without_rows_or_ids(spark):
     empty = frame(spark, ["x"]).filter("doc_id < 0")
     assert simhash.similar_documents(empty).count() == 0
