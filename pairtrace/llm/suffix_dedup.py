@@ -30,7 +30,7 @@ SPAN, K = 100, 32
 REACH = SPAN - K
 HALF = REACH // 2
 CHUNK_BYTES = 2 << 20
-SUFFIX = np.dtype([("a", "u8"), ("full", "u8"), ("before", "u4"), ("behind", "u4"), ("pos", "u4"), ("id", "i8"), ("twin", "u2")])
+SUFFIX = np.dtype([("a", "u8"), ("full", "u8"), ("before", "u4"), ("behind", "u4"), ("pos", "u4"), ("id", "i8"), ("twin", "i8")])
 
 
 def _mix(x: np.ndarray, n: int) -> np.ndarray:
@@ -174,11 +174,11 @@ def _utf8(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-PIECE = "bucket int, kind int, id long, twin int, spot long, body binary"
+PIECE = "bucket int, kind int, id long, twin long, spot long, body binary"
 
 
 def _piece(**columns) -> pa.RecordBatch:
-    types = {"bucket": pa.int32(), "kind": pa.int32(), "id": pa.int64(), "twin": pa.int32(), "spot": pa.int64(), "body": pa.binary()}
+    types = {"bucket": pa.int32(), "kind": pa.int32(), "id": pa.int64(), "twin": pa.int64(), "spot": pa.int64(), "body": pa.binary()}
     n = len(columns["bucket"])
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in types.items()], list(types))
 
@@ -309,6 +309,15 @@ def _cut_batches(batches):
         )
 
 
+def _distinct_rows(source: DataFrame) -> DataFrame:
+    """``source`` with one row of each (id, twin); only rows that repeat are dealt out."""
+    key = ["id", "twin"]
+    copies = materialize(source.groupBy(key).count().filter("count > 1").select(key), "repeated-rows")
+    if copies.isEmpty():
+        return source
+    return source.join(copies, key, "left_anti").unionAll(source.join(copies, key, "left_semi").groupBy(key).agg(F.min("text").alias("text")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans, spans, kept_sha256 for every row.
 
@@ -320,19 +329,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.pmod(F.xxhash64(text), F.lit(65536)).cast("int").alias("twin"), text.alias("text")
-    )
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"))
+    # The text's hash tells rows of a repeated id apart; without such ids it would only fill the disk.
+    unique = source.groupBy("id").count().filter("count > 1").isEmpty()
+    source = source.select("id", (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("twin"), "text")
+    distinct = source if unique else _distinct_rows(source)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts * 16
-    sampled = source.mapInArrow(_map_batches(buckets), PIECE)
+    sampled = distinct.mapInArrow(_map_batches(buckets), PIECE)
     scanned = materialize(sampled.repartition(parts, "bucket").mapInArrow(_reduce_batches, PIECE).select("kind", "id", "twin", "spot"), "suffix-scan")
 
     def per_document(rows: DataFrame) -> DataFrame:
         return rows.groupBy("id", "twin").agg(F.collect_list("spot").alias("spots"))
 
     edges = per_document(scanned.filter("kind = 2"))
-    fetched = source.join(edges, ["id", "twin"], "left").filter("spots is not null").mapInArrow(_edge_bytes, PIECE)
+    fetched = distinct.join(edges, ["id", "twin"], "left").filter("spots is not null").mapInArrow(_edge_bytes, PIECE)
     matched = fetched.repartition(parts, "bucket").mapInArrow(_edge_matches, PIECE).select("kind", "id", "twin", "spot")
     removed = per_document(scanned.filter("kind = 1").unionAll(matched))
     out = source.join(removed, ["id", "twin"], "left").mapInArrow(

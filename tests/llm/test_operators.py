@@ -55,6 +55,20 @@ def test_suffix_dedup_equals_brute_force(spark):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_suffix_dedup_keeps_a_copy_of_repeated_rows(spark):
+    rnd = random.Random(12)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    one, other, shared = hexes(150), hexes(400), hexes(130)
+    edge = "p" + shared + "q" + hexes(60)
+    rows = [(1, one), (1, one), (None, other), (None, other), (2, one), (3, edge), (3, edge), (4, "r" + shared + "s" + hexes(80))]
+    # Texts under one id: every second one repeats its own first half.
+    many = [hexes(120) for _ in range(2000)]
+    rows += [(9, t * (1 + i % 2)) for i, t in enumerate(many)]
+    want = sorted([(1, 150, 0)] * 2 + [(0, 400, 0)] * 2 + [(2, 150, 150)] + [(3, len(edge), 0)] * 2 + [(4, 212, 130)] + [(9, 120 * (1 + i % 2), 120 * (i % 2)) for i in range(2000)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect()) == want
+
+
 def test_simhash_equals_brute_force(spark):
     rows = texts(3, 30)
     rnd = random.Random(5)
