@@ -49,8 +49,8 @@ def term_frequencies(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return tokens.groupBy("term").agg(F.count("*").alias("n")).join(vocabulary, "term", "left_semi")
 
 
-def rarest_terms(passages: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(passage, offset, term) of each window's rarest terms; windows with a term unseen in training are left out."""
+def _rarest(passages: DataFrame, frequencies: DataFrame, window: int) -> DataFrame:
+    """(passage, terms) for each window: its rarest terms, as (n, offset, term); windows with a term unseen in training are left out."""
     places = passages.select("passage", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term"))
     places = places.join(frequencies, "term")
     wide = F.least(F.lit(window), F.col("size"))
@@ -58,7 +58,12 @@ def rarest_terms(passages: DataFrame, frequencies: DataFrame, window: int = WIND
     per_window = places.withColumn("start", F.explode(starts)).groupBy("passage", "start", wide.alias("wide")).agg(
         F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("terms")
     )
-    picked = per_window.filter(F.size("terms") == F.col("wide")).select("passage", F.explode(F.slice("terms", 1, RAREST)).alias("t"))
+    return per_window.filter(F.size("terms") == F.col("wide")).select("passage", F.slice("terms", 1, RAREST).alias("terms"))
+
+
+def rarest_terms(passages: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(passage, offset, term) of the rarest terms of each window whose terms were all seen in training."""
+    picked = _rarest(passages, frequencies, window).select("passage", F.explode("terms").alias("t"))
     return picked.select("passage", F.col("t.offset").alias("offset"), F.col("t.term").alias("term")).distinct()
 
 
@@ -150,19 +155,23 @@ def find_benchmark_text(
 def proximity_matches(docs: DataFrame, items: DataFrame, slack: int = 3, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, item, position, gap): places where a window's two rarest terms stand within ``slack`` words of their distance in the item.
 
-    Pairs are neighbours by position within one document and item, so no group emits all pairs.
+    Each hit of a window's term is compared with the last hit of its other term before it, in the
+    order of their shifts, so no group emits all pairs.
     """
     source = _documents(docs, id_col, text_col)
     passages = test_passages(items)
     vocabulary = passages.select(F.explode("words").alias("term")).distinct()
     frequencies = materialize(term_frequencies(_tokens(source).select("term"), materialize(vocabulary, "test-terms")), "term-frequencies")
-    anchors = materialize(rarest_terms(passages, frequencies, window), "rarest-terms")
+    ends = F.array_sort(F.transform("terms", lambda t: F.struct(t["offset"].alias("offset"), t["term"].alias("term"))))
+    pairs = _rarest(passages, frequencies, window).filter(F.size("terms") == 2).select("passage", ends.alias("ends")).distinct()
+    low = F.col("ends")[0]["offset"].alias("low")
+    anchors = materialize(pairs.select("passage", low, F.col("ends")[1]["offset"].alias("high"), F.explode("ends").alias("t")).select("passage", "low", "high", "t.*"), "rarest-pairs")
     index = postings(_tokens(source), materialize(anchors.select("term").distinct(), "anchor-terms"))
     hits = _beside(index, anchors, "term").withColumn("shift", F.col("position") - F.col("offset"))
-    order = Window.partitionBy("id", "twin", "passage").orderBy("shift", "offset")
-    near = hits.withColumn("last", F.lag(F.struct("shift", "offset")).over(order)).filter(
-        (F.col("shift") - F.col("last.shift") <= slack) & (F.col("offset") != F.col("last.offset"))
-    )
+    order = Window.partitionBy("id", "twin", "passage", "low", "high").orderBy("shift", "offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda c: F.last(F.when(F.col("offset") == F.col(c), F.col("shift")), ignorenulls=True).over(order)
+    other = F.when(F.col("offset") == F.col("low"), last("high")).otherwise(last("low"))
+    near = hits.withColumn("last", F.struct(other.alias("shift"))).filter(F.col("shift") - F.col("last.shift") <= slack)
     near = near.join(passages.select("passage", F.explode("items").alias("item")), "passage")
     return near.select(F.col("id").alias(id_col), "item", "position", (F.col("shift") - F.col("last.shift")).alias("gap")).distinct()
 

@@ -183,6 +183,15 @@ def test_decontamination_short_items_and_repeats(spark):
     assert {r.item for r in near} == {"1", "10"}
 
 
+def test_proximity_looks_past_equal_terms_and_within_a_window(spark):
+    docs = frame(spark, ["alpha x x x x zeta zeta", "beta gamma delta epsilon " * 5])
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta")], "item_id long, text string")
+    assert sorted((r.doc_id, r.position, r.gap) for r in decontam.proximity_matches(docs, items).collect()) == [(0, 5, 0), (0, 6, 1)]
+    docs = frame(spark, ["one x three", "two", "one two"])
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    assert [(r.doc_id, r.position, r.gap) for r in decontam.proximity_matches(docs, items, window=2).collect()] == [(2, 1, 0)]
+
+
 def test_pii_keeps_formats_and_links(spark):
     rows = ["card 4539 1488 0343 6467, 4539148803436467 or 4539148803436468.", "call +1 (212) 555-0188 on 2020-02-29 or 29.02.2020", "DE89370400440532013000 078-05-1120 10.0.0.7 999.1.1.1 a.b@c.org", None, "", "plain words 2024 12:30"]
     got = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows)).collect()}
