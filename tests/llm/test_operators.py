@@ -172,6 +172,26 @@ def test_topk_ties_and_bad_vectors(spark):
         assert sorted(rows) == [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
 
 
+def test_topk_repeated_rows_and_clashing_columns(spark):
+    rows = [(50, [1.0, 0.0])] * 2 + [(50, [2.0, 0.0])] + [(i, [float(i), 1.0]) for i in range(1, 8)] + [(7, [7.0, 1.0])] * 3
+    df = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in rows], "vec_id long, embedding array<float>, rank int, tile int, id int").repartition(4)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(50, n, 8 - n, 65536 * (8 - n)) for n in range(1, 6)]
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_topk_products_beyond_doubles(spark):
+    one, two = np.array([[2.0**27, 1.0]]), np.array([[2.0**27, 1.0], [2.0**27, 0.0], [-(2.0**100), 3.0]])
+    want = [[2**54 + 1, 2**54, -(2**127) + 3]]
+    assert topk.exact_products(one, two).tolist() == want
+    rows, cols, scores = topk.best_of(one, np.array([9]), two, np.array([1, 2, 3]), 2)
+    assert sorted(zip(scores.tolist(), cols.tolist())) == [(2**54, 1), (2**54 + 1, 0)]
+    # 2**19 becomes 2**27; the better row has the larger id, and doubles would call it a tie.
+    df = spark.createDataFrame([(50, [2.0**19, 1 / 256]), (1, [2.0**19, 0.0]), (2, [2.0**19, 1 / 256]), (3, [2.0**60, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 50).collect())
+    assert got == [(1, 3, 2**63 - 1), (2, 2, 2**54 + 1), (3, 1, 2**54)]
+
+
 def test_decontamination_short_items_and_repeats(spark):
     docs = frame(spark, ["one two three", "ONE, two; three four", None, "", "x " * 30 + "a b c d e f g h i j k", "a b c d e f g h i zz", "a b c d e f g h i j a b c d e f g h i j"])
     items = spark.createDataFrame([(1, "two three"), (2, "A b c d e f g h i j"), (3, None), (4, "..."), (10, "two three"), (None, "one")], "item_id long, text string")
