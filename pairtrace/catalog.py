@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairtrace.functions.expr import np_round
+from pairtrace.functions.shared import changed_at, generation
 from pairtrace.operators import clean, graph, pairs, rules
 from pairtrace.oracle import PAIR, with_steps
 from pairtrace.plans.detection import Detection
-from pairtrace.sources.trips import trips
+from pairtrace.sources.trips import TABLES, trips
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,8 +42,17 @@ def register(name: str, columns: str, relation: str, tail: str = "", doubles: st
     return add
 
 
+_detections: dict[tuple, Detection] = {}
+
+
 def _detect(spark: SparkSession, sf_dir: str) -> Detection:
-    return Detection(trips(spark, sf_dir))
+    """The detection over a folder's orders; one serves all reports of a session as long as the tables stay unchanged."""
+    marks = tuple(changed_at(spark, f"{sf_dir}/{t}.parquet") for t in TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir, marks, generation())
+    if key not in _detections:
+        _detections.clear()
+        _detections[key] = Detection(trips(spark, sf_dir))
+    return _detections[key]
 
 
 _STATS = "pair_share_driver, pair_share_customer, ghost_rate, trip_threshold, cohort_trip_threshold"

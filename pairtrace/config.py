@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from typing import ClassVar
 
 
 class _Checked:
-    SHARES: tuple[str, ...] = ()
+    """``BOUNDS``: least and most of a field, both included; other numbers are shares from 0 to 1."""
+
+    BOUNDS: ClassVar[dict[str, tuple[float, float]]] = {}
 
     def __post_init__(self):
         for f in fields(self):
             v = getattr(self, f.name)
-            if isinstance(v, str):
-                continue
-            if v < 0 or (f.name in self.SHARES and v > 1):
-                raise ValueError(f"{f.name} is out of range: {v}")
+            low, high = self.BOUNDS.get(f.name, (0, 1))
+            if not isinstance(v, str) and not low <= v <= high:
+                raise ValueError(f"{f.name} is {v}, not within {low} and {high}")
+
+
+MANY = float("inf")
+POSITIVE = 5e-324
 
 
 @dataclass(frozen=True)
 class PairConfig(_Checked):
-    SHARES = ("extreme_trip_quantile",)
+    BOUNDS = {"extreme_trip_quantile": (POSITIVE, 1 - 2**-53), "min_extreme_trip_threshold": (1, MANY)}
     extreme_trip_quantile: float = 0.9999
     min_extreme_trip_threshold: float = 2.0
     trip_count: str = "rows"
@@ -32,10 +38,10 @@ class PairConfig(_Checked):
 
 @dataclass(frozen=True)
 class ShortlistConfig(_Checked):
-    SHARES = ("min_concentration", "min_ghost_rate", "min_repeat_share_driver", "min_repeat_share_customer")
+    BOUNDS = {"min_pair_trips": (1, MANY), "min_pair_core_score": (0, 100)}
     min_pair_trips: int = 4
-    min_concentration: float = 0.85
-    min_core: float = 50.0
+    min_concentration_score: float = 0.85
+    min_pair_core_score: float = 50.0
     min_ghost_rate: float = 0.5
     min_repeat_share_driver: float = 0.4
     min_repeat_share_customer: float = 0.6
@@ -43,12 +49,15 @@ class ShortlistConfig(_Checked):
 
 @dataclass(frozen=True)
 class RuleConfig(_Checked):
-    SHARES = ("high_ghost_rate", "tight_share_driver", "tight_share_customer", "dominant_route_share", "superfast_ghost_rate")
+    BOUNDS = {
+        "superfast_gap_min": (POSITIVE, MANY), "min_pair_trips_for_share_rule": (2, MANY), "min_component_size": (1, MANY), "min_high_confidence_trips": (1, MANY),
+        "min_superfast_trips": (2, MANY), "min_network_linked_pairs": (1, MANY), "min_network_supporting_signals": (1, MANY),
+    }
     high_ghost_rate: float = 0.5
     superfast_gap_min: float = 2.0
     superfast_ghost_rate: float = 0.2
-    tight_share_driver: float = 0.6
-    tight_share_customer: float = 0.6
+    tight_pair_share_driver: float = 0.6
+    tight_pair_share_customer: float = 0.6
     dominant_route_share: float = 0.7
     min_pair_trips_for_share_rule: int = 8
     min_component_size: int = 3
@@ -60,10 +69,14 @@ class RuleConfig(_Checked):
 
 @dataclass(frozen=True)
 class GraphConfig(_Checked):
-    max_payment_degree: int = 50
-    max_promo_degree: int = 40
-    max_address_degree: int = 25
-    max_route_degree: int = 20
+    BOUNDS = {
+        **dict.fromkeys(("payment_max_degree", "promo_max_degree", "address_max_degree", "route_max_degree"), (2, MANY)), "min_shared_signals": (1, MANY),
+        "min_edge_weight": (0, MANY), "single_signal_min_weight": (0, MANY), "single_signal_min_shared_entities": (1, MANY), "max_entity_gap_days": (0, MANY),
+    }
+    payment_max_degree: int = 50
+    promo_max_degree: int = 40
+    address_max_degree: int = 25
+    route_max_degree: int = 20
     min_shared_signals: int = 2
     min_edge_weight: float = 1.35
     single_signal_min_weight: float = 1.75

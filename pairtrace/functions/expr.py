@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairtrace.functions.shared import materialize
+
 WINDOW_KEY = ["window_id"]
 PAIR_KEY = ["window_id", "driver_id", "customer_id"]
 
@@ -41,17 +43,31 @@ def numeric_or_default(df: DataFrame, name: str, default: float) -> Column:
     return F.coalesce(F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double")), F.lit(default))
 
 
-def cumulative_share(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """cume_dist of ``value`` inside ``keys`` through a histogram, so no group meets in one task.
+def running_total(rows: DataFrame, keys: list[str], order: list[Column], amount: Column, out: str) -> DataFrame:
+    """``rows`` with the running sum of ``amount`` inside ``keys`` in the total order ``order``.
 
-    Nulls get 0 and don't count.
+    Rows are dealt to ranges of (keys, order); a range adds its own rows to the total of the
+    ranges before it, so no key meets in one task. ``rows`` are written once.
     """
-    from pyspark.sql import Window
+    dealt = rows.withColumn("__amount", amount).repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("__part", F.spark_partition_id())
+    dealt = materialize(dealt, "ranges")
+    totals = dealt.groupBy(*keys, "__part").agg(F.sum("__amount").alias("__t"))  # at most a row for each key and range that meet
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("__before", F.coalesce(F.sum("__t").over(before), F.lit(0))).drop("__t")
+    joined = dealt.join(offsets, [*keys, "__part"])
+    inside = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return joined.withColumn(out, F.sum("__amount").over(inside) + F.col("__before")).drop("__amount", "__part", "__before")
+
 
+def cumulative_share(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """cume_dist of ``value`` inside ``keys`` through running totals of its histogram, so no group meets in one task.
+
+    Nulls get 0 and don't count. Keys are not null.
+    """
     hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    order = Window.partitionBy(*keys).orderBy(value)
-    total = Window.partitionBy(*keys)
-    hist = hist.withColumn(out, F.sum("__n").over(order) / F.sum("__n").over(total)).drop("__n")
+    hist = running_total(hist, keys, [F.col(value)], F.col("__n"), "__run")
+    total = hist.groupBy(*keys).agg(F.max("__run").alias("__all"))
+    hist = hist.join(total, keys).withColumn(out, F.col("__run") / F.col("__all")).drop("__n", "__run", "__all")
     names = {k: f"__k{i}" for i, k in enumerate([*keys, value])}
     hist = hist.select(*[F.col(k).alias(n) for k, n in names.items()], F.col(out).alias("__share"))
     cond = F.lit(True)

@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame, left: str, right: str, max_rounds: in
     mark = None
     for _ in range(max_rounds):
         current = materialize(_small_star(_large_star(current)), "components")
-        seen = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        code = F.xxhash64("a", "b")
+        seen = current.agg(F.count("*"), F.bit_xor(code), F.sum(code.cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break
         mark = tuple(seen)

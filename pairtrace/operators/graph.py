@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.config import GraphConfig
-from pairtrace.functions.expr import np_round, pair_key
+from pairtrace.functions.expr import np_round, pair_key, running_total
 from pairtrace.operators.clean import normalize_entity
 from pairtrace.operators.components import connected_components
 from pairtrace.operators.scoring import network_scores
@@ -17,8 +17,8 @@ _BASE = {"payment": 1.0, "promo": 0.85, "pickup": 0.8, "dropoff": 0.8, "route":
 
 
 def _caps(cfg: GraphConfig) -> dict[str, int]:
-    place = cfg.max_address_degree
-    return {"payment": cfg.max_payment_degree, "promo": cfg.max_promo_degree, "pickup": place, "dropoff": place, "route": cfg.max_route_degree}
+    place = cfg.address_max_degree
+    return {"payment": cfg.payment_max_degree, "promo": cfg.promo_max_degree, "pickup": place, "dropoff": place, "route": cfg.route_max_degree}
 
 
 def _per_signal(values: dict) -> F.Column:
@@ -95,11 +95,11 @@ def component_stats(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 def component_ids(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """window-prefixed ids, numbered by each component's first member in shortlist order."""
-    order = Window.partitionBy("window_id").orderBy(F.desc("pair_core_score"), F.desc("n_trips"), F.asc("pair_key"))
-    ranked = pairs.select("window_id", pair_key().alias("pair_key"), "pair_core_score", "n_trips").withColumn("__r", F.row_number().over(order))
+    ranked = pairs.select("window_id", pair_key().alias("pair_key"), "pair_core_score", "n_trips")
+    ranked = running_total(ranked, ["window_id"], [F.desc("pair_core_score"), F.desc("n_trips"), F.asc("pair_key")], F.lit(1), "__r")
     first = members.join(ranked, ["window_id", "pair_key"]).groupBy("window_id", "label").agg(F.min("__r").alias("__r"))
-    number = F.dense_rank().over(Window.partitionBy("window_id").orderBy("__r"))
-    return first.select("window_id", "label", F.format_string("%s_ride_component_%d", F.col("window_id"), number).alias("component_id"))
+    first = running_total(first, ["window_id"], [F.col("__r")], F.lit(1), "__n")
+    return first.select("window_id", "label", F.format_string("%s_ride_component_%d", F.col("window_id"), F.col("__n")).alias("component_id"))
 
 
 def shared_entity_counts(entities: DataFrame, degrees: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairtrace.config import PairConfig, ShortlistConfig
-from pairtrace.functions.expr import PAIR_KEY, clip, cumulative_share, np_round, ratio, truth
+from pairtrace.functions.expr import PAIR_KEY, clip, np_round, ratio, running_total, truth
+from pairtrace.functions.shared import materialize
 
 
 def pair_counts(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
@@ -19,17 +20,40 @@ def entity_totals(pairs: DataFrame, side: str) -> DataFrame:
     return pairs.groupBy("window_id", f"{side}_id").agg(F.sum("n_trips").alias(f"{side}_trip_count"))
 
 
+def _votes(active: DataFrame) -> DataFrame:
+    """Orders and ghost trips of each pair, service and province: one pass over the orders, summed map-side."""
+    return active.groupBy(*PAIR_KEY, "service_name", "pickup_province_name").agg(F.count("*").alias("votes"), F.sum(F.col("is_ghost").cast("long")).alias("ghosts"))
+
+
+def _most_frequent() -> list[Column]:
+    """Jointly most frequent (service, province) of votes; ties to the smallest, nulls last."""
+    place = F.struct(F.col("service_name").alias("top_service_name"), F.col("pickup_province_name").alias("top_pickup_province_name"))
+    rank = F.struct(-F.col("votes"), F.isnull("service_name"), "service_name", F.isnull("pickup_province_name"), "pickup_province_name")
+    return [F.min_by(place, rank).alias("top")]
+
+
 def modal_cohort(active: DataFrame) -> DataFrame:
     """Jointly most frequent (service, province) of each pair; ties to the smallest, nulls last."""
-    votes = active.groupBy(*PAIR_KEY, "service_name", "pickup_province_name").agg(F.count("*").alias("votes"))
-    order = Window.partitionBy(PAIR_KEY).orderBy(F.desc("votes"), F.asc_nulls_last("service_name"), F.asc_nulls_last("pickup_province_name"))
-    best = votes.withColumn("__r", F.row_number().over(order)).filter("__r = 1")
-    return best.select(*PAIR_KEY, F.col("service_name").alias("top_service_name"), F.col("pickup_province_name").alias("top_pickup_province_name"))
+    return _votes(active).groupBy(PAIR_KEY).agg(*_most_frequent()).select(*PAIR_KEY, "top.*")
+
+
+def pair_base(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """n_trips, n_ghost, n_orders (rows) and modal cohort of each pair, all from the votes."""
+    sums = [F.sum("votes").alias("n_orders"), F.sum("ghosts").alias("n_ghost")]
+    df = _votes(active).groupBy(PAIR_KEY).agg(*sums, *_most_frequent()).select(*PAIR_KEY, "n_orders", "n_ghost", "top.*")
+    if cfg.trip_count == "rows":
+        return df.withColumn("n_trips", F.col("n_orders"))
+    return df.join(pair_counts(active, cfg).select(*PAIR_KEY, "n_trips"), PAIR_KEY)
 
 
-def trip_threshold(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
-    cut = F.greatest(F.lit(cfg.min_extreme_trip_threshold), F.percentile("n_trips", F.lit(cfg.extreme_trip_quantile)))
-    return pairs.groupBy("window_id").agg(cut.alias("trip_threshold"))
+def _extreme(cfg: PairConfig, weight: str | None) -> Column:
+    trips = F.percentile("n_trips", F.lit(cfg.extreme_trip_quantile), F.col(weight)) if weight else F.percentile("n_trips", F.lit(cfg.extreme_trip_quantile))
+    return F.greatest(F.lit(cfg.min_extreme_trip_threshold), trips)
+
+
+def trip_threshold(pairs: DataFrame, cfg: PairConfig = PairConfig(), weight: str | None = None) -> DataFrame:
+    """``weight``: column that says how many pairs a row stands for."""
+    return pairs.groupBy("window_id").agg(_extreme(cfg, weight).alias("trip_threshold"))
 
 
 def with_cohort(pairs: DataFrame) -> DataFrame:
@@ -37,9 +61,8 @@ def with_cohort(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("volume_cohort", F.concat_ws("|", part(F.col("top_service_name")), part(F.col("top_pickup_province_name"))))
 
 
-def cohort_threshold(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
-    cut = F.greatest(F.lit(cfg.min_extreme_trip_threshold), F.percentile("n_trips", F.lit(cfg.extreme_trip_quantile)))
-    return pairs.groupBy("window_id", "volume_cohort").agg(cut.alias("cohort_trip_threshold"))
+def cohort_threshold(pairs: DataFrame, cfg: PairConfig = PairConfig(), weight: str | None = None) -> DataFrame:
+    return pairs.groupBy("window_id", "volume_cohort").agg(_extreme(cfg, weight).alias("cohort_trip_threshold"))
 
 
 def distinct_counterparties(pairs: DataFrame, side: str) -> DataFrame:
@@ -47,14 +70,22 @@ def distinct_counterparties(pairs: DataFrame, side: str) -> DataFrame:
     return pairs.groupBy("window_id", f"{side}_id").agg(F.greatest(F.count("*"), F.lit(1)).alias(f"{side}_counterparties"))
 
 
+def volume_table(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """Per window, cohort and trip count: both thresholds and the share of the cohort's pairs with no more trips."""
+    hist = materialize(pairs.groupBy("window_id", "volume_cohort", "n_trips").agg(F.count("*").alias("__pairs")), "trip-histogram")
+    cohort = ["window_id", "volume_cohort"]
+    hist = running_total(hist, cohort, [F.col("n_trips")], F.col("__pairs"), "__run")
+    total = hist.groupBy(cohort).agg(F.max("__run").alias("__all"), _extreme(cfg, "__pairs").alias("cohort_trip_threshold"))
+    hist = hist.join(total, cohort).join(trip_threshold(hist, cfg, "__pairs"), "window_id")
+    return hist.select(*cohort, "n_trips", "trip_threshold", "cohort_trip_threshold", (F.col("__run") / F.col("__all")).alias("__pct"))
+
+
 def finalize_pair_stats(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
-    """Cohort percentile, concentration, support factor, volume and concentration scores."""
-    df = with_cohort(pairs)
-    df = df.join(cohort_threshold(df, cfg), ["window_id", "volume_cohort"], "left")
-    df = df.join(trip_threshold(df, cfg), "window_id", "left")
-    for side in ("driver", "customer"):
-        df = df.join(distinct_counterparties(pairs, side), ["window_id", f"{side}_id"], "left")
-    df = cumulative_share(df, ["window_id", "volume_cohort"], "n_trips", "__pct")
+    """Cohort percentile, concentration, support factor, volume and concentration scores of unique pairs.
+
+    ``pairs`` have their counterparties and ``volume_cohort``.
+    """
+    df = pairs.join(volume_table(pairs, cfg), ["window_id", "volume_cohort", "n_trips"])
     raw = clip(F.least("pair_share_driver", "pair_share_customer"))
     exp = F.least(1.0 / (F.col("driver_counterparties") + 1), 1.0 / (F.col("customer_counterparties") + 1))
     df = df.withColumns({"__raw": raw, "__exp": exp})
@@ -77,12 +108,18 @@ def finalize_pair_stats(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> Dat
 
 
 def pair_stats(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
-    counts = pair_counts(active, cfg)
-    # Entity totals count orders, whichever way a pair's trips are counted.
-    rows = counts if cfg.trip_count == "rows" else pair_counts(active)
-    df = counts.join(modal_cohort(active), PAIR_KEY, "left")
+    """All pairs with their shares and scores.
+
+    The orders are read once; the pairs, far fewer, are written, and totals, counterparties,
+    thresholds and percentiles come from that table. Entity totals count orders, whichever way a
+    pair's trips are counted.
+    """
+    base = materialize(with_cohort(pair_base(active, cfg)), "pair-base")
+    df = base
     for side in ("driver", "customer"):
-        df = df.join(entity_totals(rows, side), ["window_id", f"{side}_id"], "left")
+        key = ["window_id", f"{side}_id"]
+        both = base.groupBy(key).agg(F.sum("n_orders").alias(f"{side}_trip_count"), F.count("*").alias(f"{side}_counterparties"))
+        df = df.join(both, key)
     df = df.withColumns(
         {
             "pair_share_driver": ratio(F.col("n_trips"), F.col("driver_trip_count")),
@@ -90,7 +127,7 @@ def pair_stats(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
             "ghost_rate": ratio(F.col("n_ghost"), F.col("n_trips")),
         }
     )
-    return finalize_pair_stats(df, cfg)
+    return finalize_pair_stats(materialize(df.drop("n_orders"), "pair-shares"), cfg)
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -100,7 +137,7 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
 
 def shortlist(pairs: DataFrame, cfg: ShortlistConfig = ShortlistConfig()) -> DataFrame:
     locked = (F.col("pair_share_driver") >= cfg.min_repeat_share_driver) | (F.col("pair_share_customer") >= cfg.min_repeat_share_customer)
-    strong = (F.col("concentration_score") >= cfg.min_concentration) | (F.col("pair_core_score") >= cfg.min_core)
+    strong = (F.col("concentration_score") >= cfg.min_concentration_score) | (F.col("pair_core_score") >= cfg.min_pair_core_score)
     hit = (F.col("is_extreme_volume") & locked & strong) | (F.col("ghost_rate") >= cfg.min_ghost_rate)
     return pairs.filter((F.col("n_trips") >= cfg.min_pair_trips) & truth(hit))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairtrace.functions.expr import PAIR_KEY, np_round
+from pairtrace.functions.expr import PAIR_KEY, np_round, running_total
 
 UNKNOWN = "Không rõ"
 GRAINS = ("day", "week", "month")
@@ -72,8 +72,8 @@ def component_overview(flags: DataFrame) -> DataFrame:
         F.coalesce(F.mode("business_rule_label", True), F.lit(UNKNOWN)).alias("top_rule"), F.max("priority_score").alias("max_priority_score"),
         _avg("priority_score"), _avg("network_risk_score"), F.max("component_size").alias("component_size"),
     )
-    order = Window.partitionBy("window_id").orderBy(F.desc("component_size"), F.desc("max_priority_score"), F.desc("flagged_orders"), "component_id")
-    return df.withColumn("component_rank", F.row_number().over(order)).withColumn("component_label", F.format_string("WCC-%03d", "component_rank"))
+    order = [F.desc("component_size"), F.desc("max_priority_score"), F.desc("flagged_orders"), F.asc("component_id")]
+    return running_total(df, ["window_id"], order, F.lit(1), "component_rank").withColumn("component_label", F.format_string("WCC-%03d", "component_rank"))
 
 
 def breakdown(flags: DataFrame, dimension: str, top: int = 10) -> DataFrame:

@@ -35,8 +35,8 @@ def apply_reason_rules(pairs: DataFrame, cfg: RuleConfig = RuleConfig()) -> Data
     """One row for each reason a pair hits, from a single pass over the pairs."""
     col = F.col
     often = col("n_trips") >= cfg.min_pair_trips_for_share_rule
-    by_driver = col("pair_share_driver") >= cfg.tight_share_driver
-    by_customer = col("pair_share_customer") >= cfg.tight_share_customer
+    by_driver = col("pair_share_driver") >= cfg.tight_pair_share_driver
+    by_customer = col("pair_share_customer") >= cfg.tight_pair_share_customer
     gap = col("min_gap_min")
     tests = {
         "KB-C_EXTREME_VOLUME": col("is_extreme_volume") & often & (by_driver | by_customer),
@@ -148,7 +148,7 @@ def component_case_summary(pairs: DataFrame) -> DataFrame:
 def pair_evidence(reasons: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
     """Observed value and threshold of each reason; thresholds are those of the configuration."""
     values = {
-        "KB-C_EXTREME_VOLUME": ("n_trips", F.col("cohort_trip_threshold")), "KB-C_TIGHT_PAIR_SHARE": ("concentration_score", F.lit(cfg.tight_share_driver)),
+        "KB-C_EXTREME_VOLUME": ("n_trips", F.col("cohort_trip_threshold")), "KB-C_TIGHT_PAIR_SHARE": ("concentration_score", F.lit(cfg.tight_pair_share_driver)),
         "KB-C_SUSPICIOUS_COMPONENT": ("component_size", F.lit(cfg.min_component_size)), "KB-C_HIGH_GHOST_RATE": ("ghost_rate", F.lit(cfg.high_ghost_rate)),
         "KB-C_SUPERFAST_GAP": ("min_gap_min", F.lit(cfg.superfast_gap_min)), "KB-C_ROUTE_LOOP": ("dominant_route_share", F.lit(cfg.dominant_route_share)),
     }

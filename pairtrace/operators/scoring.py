@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.config import RuleConfig
-from pairtrace.functions.expr import clip, np_round, truth
+from pairtrace.functions.expr import clip, cumulative_share, np_round, truth
+from pairtrace.functions.shared import materialize
 
 #: Order in which equal rule scores are resolved for a pair without reasons.
 RULE_SCORES = {
@@ -24,16 +25,11 @@ def annotate_signals(pairs: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFr
     return pairs.withColumn("high_confidence", truth(ghost) | truth(fast))
 
 
-def _share_of(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """cume_dist among the shortlist; nulls get 0 and don't count."""
-    order = Window.partitionBy(*keys, F.col(value).isNull()).orderBy(value)
-    return df.withColumn(out, F.when(F.col(value).isNull(), 0.0).otherwise(F.cume_dist().over(order)))
-
-
 def pair_risk_features(pairs: DataFrame) -> DataFrame:
     """Ghost, temporal, value and impact scores. Intermediates made here feed each other unrounded."""
-    df = _share_of(pairs, ["window_id", "volume_cohort"], "avg_gmv", "__gmv_pct")
-    df = _share_of(_share_of(df, ["window_id"], "total_discount", "__disc"), ["window_id"], "total_gmv", "__gmv")
+    pairs = materialize(pairs, "annotated-pairs")
+    df = cumulative_share(pairs, ["window_id", "volume_cohort"], "avg_gmv", "__gmv_pct")
+    df = cumulative_share(cumulative_share(df, ["window_id"], "total_discount", "__disc"), ["window_id"], "total_gmv", "__gmv")
     gap = clip((30 - F.coalesce("min_gap_min", F.lit(30.0))) / 30)
     temporal = clip(0.7 * gap + 0.3 * F.col("dominant_route_share"))
     df = df.withColumns({"__gap": gap, "__temporal": temporal, "__pct": np_round("__gmv_pct", 4)})

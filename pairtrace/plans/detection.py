@@ -24,7 +24,7 @@ class Detection:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return pairs.score_pairs(pairs.pair_stats(self.active, self.pair_cfg))
+        return materialize(pairs.score_pairs(pairs.pair_stats(self.active, self.pair_cfg)), "scored-pairs")
 
     @cached_property
     def shortlist(self) -> DataFrame:
@@ -48,7 +48,7 @@ class Detection:
 
     @cached_property
     def degrees(self) -> DataFrame:
-        return graph.entity_degree(self.entities, self.graph_cfg)
+        return materialize(graph.entity_degree(self.entities, self.graph_cfg), "entity-degrees")
 
     @cached_property
     def signal_edges(self) -> DataFrame:
@@ -60,7 +60,7 @@ class Detection:
 
     @cached_property
     def members(self) -> DataFrame:
-        return graph.components(self.shortlist, self.edges)
+        return materialize(graph.components(self.shortlist, self.edges), "component-members")
 
     @cached_property
     def networked(self) -> DataFrame:
@@ -77,7 +77,7 @@ class Detection:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return rules.flagged_orders(self.candidates, self.reasons)
+        return materialize(rules.flagged_orders(self.candidates, self.reasons), "flagged-orders")
 
     @cached_property
     def outputs(self) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+TABLES = ("lineitem", "orders", "customer")
 _SQL = """
 SELECT
   cast(l_orderkey * 10 + l_linenumber AS string) AS order_id,
@@ -44,7 +45,7 @@ TRIPS_SQL = _SQL.replace("@SECS(", "to_seconds(").replace("@", "")
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived orders; only the columns a query needs reach the scans."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "customer")}
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
     text = _SQL.replace("@SECS(", "make_dt_interval(0, 0, 0, ")
     for t in tables:
         text = text.replace(f"@{t}", "{" + t + "}")
