@@ -1 +1 @@
-"""Pair-locking analytics on Spark DataFrames, plus training-data operators in ``pairtrace.llm``."""
+"""Pair-locking analytics on Spark DataFrames."""

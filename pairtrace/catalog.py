@@ -136,7 +136,7 @@ def _(spark, d):
     return _detect(spark, d).candidates
 
 
-@register("pair_rollups", f"{PAIR}, avg_gmv, total_gmv, total_discount, active_days, latest_order_date", "rollups", doubles="avg_gmv, total_gmv, total_discount")
+@register("pair_rollups", f"{PAIR}, avg_gmv, total_gmv, total_discount, active_days, latest_order_date, top_dropoff_province_name", f"rollups LEFT JOIN dropoffs USING ({PAIR})", doubles="avg_gmv, total_gmv, total_discount")
 def _(spark, d):
     return pairs.pair_rollups(_detect(spark, d).candidates)
 
@@ -263,15 +263,26 @@ def _(spark, d):
     return _detect(spark, d).pair_summary
 
 
-@register("flagged_orders", f"{PAIR}, order_id, order_date, rule_name, reason_code, risk_tier, priority_score, n_trips, ghost_rate, high_confidence, component_id, gmv", "flags", doubles="ghost_rate, gmv")
+@register("flagged_orders", f"{PAIR}, order_id, order_date, rule_name, reason_code, risk_tier, priority_score, n_trips, ghost_rate, high_confidence, component_id, gmv, rule_version, merchant_id, pair_ratio, customer_repeat_ratio, pair_orders, triggered_rules, reason_codes, business_rule_score, business_rule_story, flag_reason, trip_threshold, active_days",
+    "(SELECT *, 'kbc_v2_pair_graph_core' AS rule_version, CAST(NULL AS VARCHAR) AS merchant_id, pair_share_driver AS pair_ratio, pair_share_customer AS customer_repeat_ratio, n_trips AS pair_orders FROM flags)",
+    doubles="ghost_rate, gmv, pair_ratio, customer_repeat_ratio, trip_threshold")
 def _(spark, d):
     return _detect(spark, d).flags
 
 
-@register("flag_evidence", f"{PAIR}, order_id, reason_code, pair_core_score, min_gap_min, component_density, linked_pair_count",
-    "(SELECT * REPLACE (round_even(min_gap_min, 2) AS min_gap_min) FROM flags)")
+_EVIDENCE = {
+    **dict.fromkeys("ghost_rate pair_share_driver pair_share_customer volume_score raw_concentration support_factor concentration_score temporal_score low_value_score dominant_route_share component_density".split(), 4),
+    **dict.fromkeys("pair_core_score pair_collusion_score suspected_ghost_score pair_risk_score business_rule_score network_support_score network_risk_score business_impact_score fraud_risk_score priority_score".split(), 2),
+    "min_gap_min": 3,
+}
+_NAMES = "n_trips n_ghost linked_pair_count supporting_signal_count component_size business_rule business_rule_label triggered_rules reason_codes dominant_route component_id driver_id customer_id high_confidence".split()
+
+
+@register("flag_evidence", f"window_id, order_id, reason_code, {', '.join([*_EVIDENCE, *_NAMES])}, suspected_ghost_rate, investigation_priority",
+    f"""(SELECT window_id, order_id, reason_code, {', '.join(f'round_even({c}, {n}) AS {c}' for c, n in _EVIDENCE.items())}, {', '.join(_NAMES)}, round_even(ghost_rate, 4) AS suspected_ghost_rate,
+      round_even(priority_score, 2) AS investigation_priority FROM flags)""")
 def _(spark, d):
-    return _detect(spark, d).flags.select(*PAIR.split(", "), "order_id", "reason_code", "evidence.*")
+    return _detect(spark, d).flags.select("window_id", "order_id", "reason_code", "evidence.*")
 
 
 @register("daily_flag_summary", "domain, order_date, rule_name, flagged_orders, flagged_customers, model_overlap, gmv_at_risk, discount_at_risk",
@@ -304,8 +315,8 @@ def _(spark, d):
     return rules.component_case_summary(_detect(spark, d).networked)
 
 
-@register("pair_evidence", f"{PAIR}, reason_code, supporting_signal, observed_value, threshold, score_contribution",
-    f"""(SELECT DISTINCT {PAIR}, reason_code, supporting_signal, round_even(CASE reason_code WHEN 'KB-C_EXTREME_VOLUME' THEN n_trips WHEN 'KB-C_TIGHT_PAIR_SHARE' THEN concentration_score
+@register("pair_evidence", f"{PAIR}, reason_code, supporting_signal, observed_value, threshold, score_contribution, data_quality_level, description",
+    f"""(SELECT DISTINCT {PAIR}, 'derived' AS data_quality_level, flag_reason AS description, reason_code, supporting_signal, round_even(CASE reason_code WHEN 'KB-C_EXTREME_VOLUME' THEN n_trips WHEN 'KB-C_TIGHT_PAIR_SHARE' THEN concentration_score
       WHEN 'KB-C_SUSPICIOUS_COMPONENT' THEN component_size WHEN 'KB-C_HIGH_GHOST_RATE' THEN ghost_rate WHEN 'KB-C_SUPERFAST_GAP' THEN min_gap_min ELSE dominant_route_share END, 4) AS observed_value,
       round_even(CASE reason_code WHEN 'KB-C_EXTREME_VOLUME' THEN cohort_trip_threshold WHEN 'KB-C_TIGHT_PAIR_SHARE' THEN 0.6 WHEN 'KB-C_SUSPICIOUS_COMPONENT' THEN 3.0
       WHEN 'KB-C_HIGH_GHOST_RATE' THEN 0.5 WHEN 'KB-C_SUPERFAST_GAP' THEN 2.0 ELSE 0.7 END, 4) AS threshold, round_even(investigation_priority, 2) AS score_contribution FROM reasons)""")
@@ -330,6 +341,14 @@ def _(spark, d):
     return x.known(x.active.filter(F.col("driver_id").startswith("R")).select("driver_id", "customer_id").distinct())
 
 
+@register("known_pair_hit_rate", "metric, value", """(WITH k AS (SELECT a.driver_id, a.customer_id, reason_code IS NOT NULL AS hit FROM (SELECT DISTINCT driver_id, customer_id FROM active WHERE driver_id LIKE 'R%') a
+      LEFT JOIN (SELECT DISTINCT driver_id, customer_id, reason_code FROM flags) USING (driver_id, customer_id))
+      SELECT 'row_hit_rate' AS metric, round_even(avg(hit::INT), 4) AS value FROM k UNION ALL SELECT 'pair_hit_rate', round_even(avg(h::INT), 4) FROM (SELECT bool_or(hit) AS h FROM k GROUP BY driver_id, customer_id))""")
+def _(spark, d):
+    x = _detect(spark, d)
+    return rules.known_pair_hit_rate(x.known(x.active.filter(F.col("driver_id").startswith("R")).select("driver_id", "customer_id").distinct()))
+
+
 @register("normalized_payment", "order_id, entity, n", "(SELECT order_id, CASE WHEN lower(trim(payment_method)) NOT IN ('cash') THEN trim(payment_method) END AS entity, count(*) AS n FROM trips GROUP BY ALL)")
 def _(spark, d):
     return trips(spark, d).groupBy("order_id", clean.normalize_entity("payment", F.col("payment_method")).alias("entity")).agg(F.count("*").alias("n"))

@@ -29,10 +29,15 @@ def _run_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{_RUN}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends at replicated files."""
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

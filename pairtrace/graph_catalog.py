@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairtrace.catalog import _detect, register
+from pairtrace.functions.shared import fresh_path
 from pairtrace.operators import property_graph as pg
 from pairtrace.operators import reports
 from pairtrace.oracle import PAIR
+from pairtrace.sources import orders
 from pairtrace.sources.trips import trips
+from pairtrace.streaming import ingest
 
 _PAIR = "driver_id, customer_id"
 _START = {g: f"CAST(date_trunc('{g}', order_date) AS DATE)" for g in reports.GRAINS}
@@ -21,7 +24,11 @@ def _top(column: str, name: str) -> str:
       QUALIFY row_number() OVER (PARTITION BY window_id, component_id ORDER BY n DESC, {column}) = 1)"""
 
 
-@register("normalized_flags", "order_id, reason_code, order_day, order_week, order_month", f"(SELECT *, {', '.join(f'{s} AS order_{g}' for g, s in _START.items())} FROM flags WHERE order_date IS NOT NULL)")
+_SIGNAL = "CASE supporting_signal " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reports.SIGNAL_TEXTS.items()) + " ELSE supporting_signal END"
+
+
+@register("normalized_flags", "order_id, reason_code, order_day, order_week, order_month, supporting_signal_vi, flag_reason_vi",
+    f"(SELECT *, {', '.join(f'{s} AS order_{g}' for g, s in _START.items())}, {_SIGNAL} AS supporting_signal_vi, flag_reason AS flag_reason_vi FROM flags WHERE order_date IS NOT NULL)")
 def _(spark, d):
     return reports.normalize_flags(_detect(spark, d).flags)
 
@@ -31,6 +38,19 @@ def _(spark, d):
     return reports.filter_reports(_detect(spark, d).flags, "1995-01-01", "1997-12-31", service="svc_N")
 
 
+_BETWEEN = "WHERE latest_order_date BETWEEN DATE '1995-01-01' AND DATE '1999-06-30' AND top_service_name = 'svc_N'"
+
+
+@register("filtered_pairs", f"{PAIR}, latest_order_date, top_service_name, business_rule", "summary", _BETWEEN)
+def _(spark, d):
+    return reports.filter_pairs(_detect(spark, d).pair_summary, "1995-01-01", "1999-06-30", service="svc_N")
+
+
+@register("filtered_reasons", f"{PAIR}, reason_code, latest_order_date, business_rule_label", "reasons", f"{_BETWEEN} AND business_rule_label = 'Dấu hiệu đơn ảo hoặc quay đầu bất thường'")
+def _(spark, d):
+    return reports.filter_pairs(_detect(spark, d).reasons, "1995-01-01", "1999-06-30", service="svc_N", rule="Dấu hiệu đơn ảo hoặc quay đầu bất thường")
+
+
 for _grain in reports.GRAINS:
 
     @register(
@@ -48,23 +68,24 @@ def _(spark, d):
     return reports.overview_metrics(_detect(spark, d).flags)
 
 
-@register("rule_overview", "business_rule_label, flagged_orders, flagged_customers, avg_priority_score",
-    f"(SELECT business_rule_label, {_ORDERS}, count(DISTINCT customer_id) AS flagged_customers, round_even(avg(priority_score), 4) AS avg_priority_score FROM flags GROUP BY ALL)")
+@register("rule_overview", "business_rule_label, flagged_orders, flagged_customers, avg_priority_score, business_rule_story",
+    f"(SELECT business_rule_label, {_ORDERS}, count(DISTINCT customer_id) AS flagged_customers, round_even(avg(priority_score), 4) AS avg_priority_score, min(business_rule_story) AS business_rule_story FROM flags GROUP BY ALL)")
 def _(spark, d):
     return reports.rule_overview(_detect(spark, d).flags)
 
 
-@register("reason_overview", "reason_code, pair_rows, avg_investigation_priority, avg_ghost_rate, supporting_signal",
+@register("reason_overview", "reason_code, pair_rows, avg_investigation_priority, avg_ghost_rate, supporting_signal, flag_reason",
     """(SELECT reason_code, count(*) AS pair_rows, round_even(avg(investigation_priority), 4) AS avg_investigation_priority, round_even(avg(ghost_rate), 4) AS avg_ghost_rate,
-      min(supporting_signal) AS supporting_signal FROM reasons GROUP BY ALL)""")
+      min(supporting_signal) AS supporting_signal, min(flag_reason) AS flag_reason FROM reasons GROUP BY ALL)""")
 def _(spark, d):
     return reports.reason_overview(_detect(spark, d).reasons)
 
 
-@register("component_overview", "window_id, component_id, component_label, flagged_orders, drivers, customers, pairs, top_service, top_rule, max_priority_score, avg_priority_score, avg_network_risk_score, component_size",
+@register("component_overview", "window_id, component_id, component_label, flagged_orders, drivers, customers, pairs, top_service, top_rule, max_priority_score, avg_priority_score, avg_network_risk_score, component_size, avg_network_support_score, component_edge_count, component_density, top_rule_story",
     f"""(SELECT *, 'WCC-' || lpad(CAST(row_number() OVER (PARTITION BY window_id ORDER BY component_size DESC, max_priority_score DESC, flagged_orders DESC, component_id) AS VARCHAR), 3, '0') AS component_label FROM (
       SELECT window_id, component_id, {_ORDERS}, count(DISTINCT driver_id) AS drivers, count(DISTINCT customer_id) AS customers, count(DISTINCT driver_id || '|' || customer_id) AS pairs,
-        max(priority_score) AS max_priority_score, round_even(avg(priority_score), 4) AS avg_priority_score, round_even(avg(network_risk_score), 4) AS avg_network_risk_score, max(component_size) AS component_size
+        max(priority_score) AS max_priority_score, round_even(avg(priority_score), 4) AS avg_priority_score, round_even(avg(network_risk_score), 4) AS avg_network_risk_score, max(component_size) AS component_size,
+        round_even(avg(network_support_score), 4) AS avg_network_support_score, max(component_edge_count) AS component_edge_count, max(component_density) AS component_density, min(business_rule_story) AS top_rule_story
       FROM flags GROUP BY ALL) JOIN {_top("service_name", "top_service")} USING (window_id, component_id) JOIN {_top("business_rule_label", "top_rule")} USING (window_id, component_id))""")
 def _(spark, d):
     return reports.component_overview(_detect(spark, d).flags)
@@ -77,11 +98,14 @@ for _column in ("service_name", "business_rule_label", "risk_tier"):
         return reports.breakdown(_detect(spark, d).flags, column)
 
 
-@register("rule_cluster_summary", f"{PAIR}, business_rule_label, flagged_orders, max_trips, max_ghost, max_ghost_rate, max_priority_score, max_supporting_signals, max_linked_pairs, max_component_size, min_gap_min, high_confidence, avg_core_score, avg_network_score, risk_tier",
-    f"""(SELECT {PAIR}, business_rule_label, {_ORDERS}, max(n_trips) AS max_trips, max(n_ghost) AS max_ghost, max(ghost_rate) AS max_ghost_rate, max(priority_score) AS max_priority_score,
-      max(supporting_signal_count) AS max_supporting_signals, max(linked_pair_count) AS max_linked_pairs, max(component_size) AS max_component_size, round_even(min(min_gap_min), 2) AS min_gap_min,
-      bool_or(high_confidence) AS high_confidence, round_even(avg(pair_core_score), 2) AS avg_core_score, round_even(avg(network_support_score), 2) AS avg_network_score, max(risk_tier) AS risk_tier FROM flags GROUP BY ALL)""",
-    doubles="max_ghost_rate")
+_MOST = ("n_trips", "n_ghost", "ghost_rate", "priority_score", "supporting_signal_count", "linked_pair_count", "component_size")
+
+
+@register("rule_cluster_summary", f"{PAIR}, business_rule_label, flagged_orders, {', '.join(f'max_{c}' for c in _MOST)}, min_gap_min, high_confidence, avg_gmv, avg_pair_core_score, avg_network_support_score, top_risk_tier",
+    f"""(SELECT {PAIR}, business_rule_label, {_ORDERS}, {', '.join(f'max({c}) AS max_{c}' for c in _MOST)}, min(min_gap_min) AS min_gap_min, bool_or(high_confidence) AS high_confidence,
+      avg(avg_gmv) AS avg_gmv, {', '.join(f'round_even(avg({c}), 2) AS avg_{c}' for c in ('pair_core_score', 'network_support_score'))},
+      max_by(risk_tier, (priority_score, risk_tier)) AS top_risk_tier FROM flags GROUP BY ALL)""",
+    doubles="max_ghost_rate, min_gap_min, avg_gmv")
 def _(spark, d):
     return reports.rule_cluster_summary(_detect(spark, d).flags)
 
@@ -161,6 +185,23 @@ def _(spark, d):
     return pg.graph_nodes(_keyed(spark, d))
 
 
+_ORDER_VALUES = ("order_status", "order_date", "service_name", "payment_method", "promotion_code", "cancel_by", "travel_mode")
+
+
+@register("order_nodes", f"order_id, {', '.join(_ORDER_VALUES)}, gmv", f"""(SELECT order_id, {', '.join(
+      f'max_by({c}, (order_time_local_tz, driver_id, customer_id, gmv, discount, avg_kmh)) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in (*_ORDER_VALUES, 'gmv'))}
+      FROM (SELECT * REPLACE (trim(order_status) AS order_status) FROM trips) GROUP BY ALL)""", doubles="gmv")
+def _(spark, d):
+    return pg.order_nodes(_keyed(spark, d))
+
+
+@register("address_nodes", "address_key, address, district, province", f"""(SELECT DISTINCT address_key, address, district_name AS district, province_name AS province FROM (
+      SELECT pickup_province_name AS province_name, pickup_district_name AS district_name, pickup_address AS address, pickup_key AS address_key FROM {_KEYED}
+      UNION SELECT last_dropoff_province_name, last_dropoff_district_name, last_dropoff_address, dropoff_key FROM {_KEYED}))""")
+def _(spark, d):
+    return pg.address_nodes(_keyed(spark, d))
+
+
 @register("graph_edges", "type, src, dst", f"({_EDGES})")
 def _(spark, d):
     return pg.graph_edges(_keyed(spark, d))
@@ -241,6 +282,32 @@ def _(spark, d):
     return pg.compare_drivers(_detect(spark, d).active, "D1", "D2")
 
 
+@register("pair_history", f"{_PAIR}, order_id, type, other", f"""(SELECT p.*, type, other FROM (SELECT DISTINCT {_PAIR}, order_id FROM active SEMI JOIN shortlist USING ({_PAIR})) p JOIN (
+      SELECT CASE WHEN type IN ('PLACED', 'SERVED') THEN dst ELSE src END AS order_id, type, CASE WHEN type IN ('PLACED', 'SERVED') THEN src ELSE dst END AS other
+      FROM ({_EDGES}) WHERE type IN ('PLACED', 'SERVED', 'PICKUP_AT', 'DROPOFF_AT', 'PAID_BY', 'USED_PROMO')) USING (order_id))""")
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.pair_history(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+
+
+@register("compared_orders", "first, second, side, customer_id, driver_id, order_id", """(WITH q(first, second) AS (VALUES ('D1', 'D2'), ('D2', 'D3'), ('R25', 'D1')),
+      sides AS (SELECT first, second, customer_id, bool_or(driver_id = first) AS f, bool_or(driver_id = second) AS s FROM q JOIN active ON driver_id IN (first, second) GROUP BY ALL)
+      SELECT DISTINCT first, second, CASE WHEN f AND s THEN 'shared' WHEN f THEN 'only_first' ELSE 'only_second' END AS side, customer_id, a.driver_id, a.order_id
+      FROM sides JOIN active a USING (customer_id) WHERE a.driver_id IN (first, second))""")
+def _(spark, d):
+    pairs = spark.createDataFrame([("D1", "D2"), ("D2", "D3"), ("R25", "D1")], "first string, second string")
+    return pg.compared_orders(_detect(spark, d).active, pairs)
+
+
+@register("shared_customer_counts", f"{_PAIR}, other_driver, shared_customers", f"""(SELECT s.driver_id, s.customer_id, o.driver_id AS other_driver, count(DISTINCT t.customer_id) AS shared_customers
+      FROM (SELECT DISTINCT {_PAIR} FROM shortlist) s JOIN (SELECT DISTINCT {_PAIR} FROM active) o ON o.customer_id = s.customer_id AND o.driver_id <> s.driver_id
+      JOIN (SELECT DISTINCT {_PAIR} FROM active) t ON t.driver_id = o.driver_id AND t.customer_id <> s.customer_id
+      JOIN (SELECT DISTINCT {_PAIR} FROM active) m ON m.driver_id = s.driver_id AND m.customer_id = t.customer_id GROUP BY ALL)""")
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.shared_customer_counts(x.active, x.shortlist)
+
+
 @register("shared_customers", f"{_PAIR}, other_driver, shared_customer", f"""(SELECT DISTINCT s.driver_id, s.customer_id, o.driver_id AS other_driver, t.customer_id AS shared_customer FROM (SELECT DISTINCT {_PAIR} FROM shortlist) s
       JOIN (SELECT DISTINCT {_PAIR} FROM active) o ON o.customer_id = s.customer_id AND o.driver_id <> s.driver_id JOIN (SELECT DISTINCT {_PAIR} FROM active) t ON t.driver_id = o.driver_id AND t.customer_id <> s.customer_id
       JOIN (SELECT DISTINCT {_PAIR} FROM active) m ON m.driver_id = s.driver_id AND m.customer_id = t.customer_id)""")
@@ -261,6 +328,30 @@ def _(spark, d):
     return pg.shared_infrastructure(pg.graph_edges(_keyed(spark, d)), _detect(spark, d).flags)
 
 
+_ENDS = f"(SELECT src AS order_id, type, dst FROM ({_EDGES}) WHERE type IN {_INFRA})"
+_OWN = f"(SELECT driver_id, customer_id, type, dst, count(*) AS own_orders FROM (SELECT DISTINCT {_PAIR}, order_id FROM active SEMI JOIN shortlist USING ({_PAIR})) JOIN {_ENDS} USING (order_id) GROUP BY ALL)"
+_PAIR_ENDS = f"(SELECT *, n - own_orders AS other_orders FROM {_OWN} JOIN (SELECT type, dst, count(*) AS n FROM {_ENDS} GROUP BY ALL) USING (type, dst) WHERE n > own_orders)"
+
+
+@register("pair_infrastructure", f"{_PAIR}, type, dst, own_orders, other_orders", _PAIR_ENDS)
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.pair_infrastructure(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+
+
+@register("infrastructure_orders", "type, dst, order_id", f"(SELECT * FROM {_ENDS} SEMI JOIN {_PAIR_ENDS} USING (type, dst))")
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.infrastructure_orders(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+
+
+@register("driver_neighbors", "driver_id, type, neighbor, orders", f"""(SELECT driver_id, type, neighbor, count(DISTINCT order_id) AS orders FROM (SELECT DISTINCT driver_id, order_id FROM active WHERE driver_id IN (SELECT driver_id FROM flags)) JOIN (
+      SELECT dst AS order_id, type, src AS neighbor FROM ({_EDGES}) WHERE type = 'PLACED' UNION ALL SELECT src, type, dst FROM ({_EDGES}) WHERE type IN ('USES_SERVICE', 'PICKUP_AT', 'DROPOFF_AT')) USING (order_id) GROUP BY ALL)""")
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.driver_neighbors(x.active, pg.graph_edges(_keyed(spark, d)), x.flags)
+
+
 @register("driver_neighborhood", "driver_id, orders, customers, services, addresses", """(SELECT * FROM (SELECT driver_id, count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers, count(DISTINCT service_name) AS services FROM active GROUP BY ALL)
       JOIN (SELECT driver_id, count(DISTINCT a) AS addresses FROM (SELECT driver_id, pickup_address AS a FROM active UNION ALL SELECT driver_id, last_dropoff_address FROM active) GROUP BY ALL) USING (driver_id)
       WHERE driver_id IN (SELECT driver_id FROM flags))""")
@@ -270,8 +361,7 @@ def _(spark, d):
 
 
 @register("component_subgraph", "component_id, type, dst, orders", f"""(SELECT component_id, type, dst, count(*) AS orders FROM ({_EDGES}) JOIN (
-      SELECT component_id, order_id AS src FROM (SELECT DISTINCT component_id, order_id FROM flags) QUALIFY row_number() OVER (PARTITION BY component_id ORDER BY order_id) <= 200) USING (src)
-      WHERE type IN {_INFRA} GROUP BY ALL HAVING count(*) > 1)""")
+      SELECT DISTINCT component_id, order_id AS src FROM flags) USING (src) WHERE type IN {_INFRA} GROUP BY ALL HAVING count(*) > 1)""")
 def _(spark, d):
     return pg.component_subgraph(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))
 
@@ -280,3 +370,78 @@ def _(spark, d):
       JOIN ({_EDGES}) p ON p.dst = order_id AND p.type = 'PLACED' JOIN ({_EDGES}) s ON s.dst = order_id AND s.type = 'SERVED')""")
 def _(spark, d):
     return pg.component_paths(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))
+
+
+def _parts(spark, d):
+    """The orders as two folders of files that disagree on types: times as text with bad ones among them, and as epoch seconds; days partly left out."""
+    df = trips(spark, d).drop("window_id")
+    odd = F.col("order_id").endswith("1")
+    text = df.filter(odd).withColumns({c: F.col(c).cast("string") for c in ("order_time_local_tz", "avg_kmh")})
+    text = text.withColumn("complete_time_local_tz", F.when(F.col("order_id").endswith("11"), "no time").otherwise(F.col("complete_time_local_tz").cast("string")))
+    seconds = lambda c: F.unix_seconds(F.to_utc_timestamp(F.col(c).cast("timestamp"), "UTC"))
+    number = df.filter(~odd).withColumns({c: seconds(c) for c in ("order_time_local_tz", "complete_time_local_tz")}).drop("order_date")
+    paths = [fresh_path(spark, name) for name in ("orders-text", "orders-seconds")]
+    for part, path in zip((text, number), paths, strict=True):
+        part.write.parquet(path)
+    return paths
+
+
+_READ = "order_id, driver_id, customer_id, order_time_local_tz, complete_time_local_tz, order_date, avg_kmh, gmv, window_id"
+
+
+@register("orders_from_files", _READ, """(SELECT * REPLACE (CASE WHEN order_id NOT LIKE '%11' THEN complete_time_local_tz END AS complete_time_local_tz, CAST(order_date AS VARCHAR) AS window_id) FROM trips)""", doubles="gmv, avg_kmh")
+def _(spark, d):
+    return orders.read_orders(spark, _parts(spark, d), window_from="date")
+
+
+@register("orders_from_csv", "order_id, driver_id, customer_id, order_time_local_tz, order_date, gmv, travel_mode, declared_km", "(SELECT *, CAST(NULL AS DOUBLE) AS declared_km FROM trips)", doubles="gmv")
+def _(spark, d):
+    path = fresh_path(spark, "orders-csv")
+    trips(spark, d).select("order_id", "driver_id", "customer_id", "order_time_local_tz", "gmv", "travel_mode").write.csv(path, header=True)
+    return orders.read_orders_csv(spark, path)
+
+
+@register("known_pairs_from_csv", _PAIR, f"(SELECT DISTINCT {_PAIR} FROM active WHERE driver_id LIKE 'R%')")
+def _(spark, d):
+    path = fresh_path(spark, "known-pairs")
+    _detect(spark, d).active.filter(F.col("driver_id").startswith("R")).select("customer_id", "driver_id").distinct().write.csv(path, header=True)
+    return orders.read_known_pairs(spark, path)
+
+
+@register("demo_orders_from_file", "order_id, driver_id, customer_id, order_date", "trips", "QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY order_date, driver_id, customer_id) = 1")
+def _(spark, d):
+    path = fresh_path(spark, "demo-orders")
+    orders.write_demo_base_orders(trips(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@register("reports_from_files", "business_rule_label, flagged_orders, pairs, reasons", f"""(SELECT business_rule_label, {_ORDERS}, (SELECT count(*) FROM summary) AS pairs, (SELECT count(*) FROM reasons) AS reasons FROM flags GROUP BY ALL)""")
+def _(spark, d):
+    path = fresh_path(spark, "reports")
+    orders.write_outputs(_detect(spark, d).outputs, path)
+    read = orders.read_reports(spark, path)
+    sizes = read["pair_summary"].agg(F.count("*").alias("pairs")).crossJoin(read["pair_reasons"].agg(F.count("*").alias("reasons")))  # one row each
+    return reports.rule_overview(read["flagged_orders"]).crossJoin(sizes)
+
+
+def _ingested(spark, d):
+    """Two arrivals of files, the second with orders that the first has too; the table's path and the counters'."""
+    arrivals, table, marks, counters = (fresh_path(spark, f"ingest-{n}") for n in ("arrivals", "table", "marks", "counts"))
+    for n, part in enumerate(_HALVES(trips(spark, d))):
+        part.write.mode("append").parquet(arrivals)
+        schema = part.schema if n == 0 else schema
+        ingest.incremental_ingest(spark, arrivals, table, marks, schema, buckets=8, counters=counters).awaitTermination()
+    return table, counters
+
+
+@register("incremental_ingest", "order_id, driver_id, customer_id, order_date", f"""(SELECT * FROM (SELECT order_id, driver_id, customer_id, order_date FROM trips WHERE order_date < DATE '1996-01-01'
+      QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY order_time_local_tz, driver_id, customer_id, order_date) = 1) ANTI JOIN {_FRESH} USING (order_id) UNION ALL SELECT * FROM {_FRESH})""")
+def _(spark, d):
+    return spark.read.parquet(_ingested(spark, d)[0])
+
+
+@register("ingest_counters", "batch, metric, value", f"""(SELECT 0 AS batch, 'new' AS metric, count(DISTINCT order_id) AS value FROM {_OLD} UNION ALL SELECT 0, 'updated', 0 UNION ALL SELECT 0, 'valid', count(DISTINCT order_id) FROM {_OLD}
+      UNION ALL SELECT 0, 'processed', count(*) FROM {_OLD} UNION ALL SELECT 1, 'new', count(*) FROM {_FRESH} ANTI JOIN {_OLD} USING (order_id) UNION ALL SELECT 1, 'updated', count(*) FROM {_FRESH} SEMI JOIN {_OLD} USING (order_id)
+      UNION ALL SELECT 1, 'valid', count(*) FROM {_FRESH} UNION ALL SELECT 1, 'processed', count(*) FROM trips WHERE order_date >= DATE '1995-01-01')""")
+def _(spark, d):
+    return spark.read.parquet(_ingested(spark, d)[1])

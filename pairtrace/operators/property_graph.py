@@ -88,6 +88,26 @@ def graph_nodes(orders: DataFrame) -> DataFrame:
     return orders.select(F.explode(F.array(*found)).alias("n")).select("n.*").filter("key IS NOT NULL").distinct()
 
 
+#: Ids and keys of an order, which are its edges and not its properties.
+_NOT_PROPERTIES = {"order_id", "customer_id", "driver_id", "pickup_key", "dropoff_key", *(f"{p}_{c}" for p in ("pickup", "last_dropoff") for c in PLACE)}
+
+
+def order_nodes(orders: DataFrame) -> DataFrame:
+    """One row an order with its properties; of repeated orders each property's last value that is not null counts, as a merge leaves it."""
+    properties = [c for c in orders.columns if c not in _NOT_PROPERTIES]
+    at = F.struct("order_time_local_tz", "driver_id", "customer_id", "gmv", "discount", "avg_kmh")
+    return orders.groupBy("order_id").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in properties])
+
+
+def address_nodes(orders: DataFrame) -> DataFrame:
+    """One row an address key: address, district and province as the last order wrote them."""
+    ends = [F.struct(F.col(key).alias("address_key"), *[F.col(f"{p}_{c}").alias(c) for c in PLACE]) for p, key in (("pickup", "pickup_key"), ("last_dropoff", "dropoff_key"))]
+    rows = orders.select("order_time_local_tz", "order_id", F.posexplode(F.array(*ends)).alias("end", "x")).select("order_time_local_tz", "order_id", "end", "x.*")
+    last = F.max_by(F.struct(*PLACE), F.struct("order_time_local_tz", "order_id", "end", *PLACE))
+    df = rows.filter(F.col("address_key").isNotNull()).groupBy("address_key").agg(last.alias("x"))
+    return df.select("address_key", "x.address", F.col("x.district_name").alias("district"), F.col("x.province_name").alias("province"))
+
+
 def graph_edges(orders: DataFrame) -> DataFrame:
     """Distinct (type, src, dst) of keyed orders, in one pass; an edge without an end is none."""
     found = [F.struct(F.lit(t).alias("type"), F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst")) for t, a, b in EDGES]
@@ -152,6 +172,12 @@ def pair_orders(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     return orders.join(seeds.select("driver_id", "customer_id").distinct(), ["driver_id", "customer_id"], "left_semi").select("driver_id", "customer_id", "order_id").distinct()
 
 
+def pair_history(orders: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Edges of all orders of each seed pair: (driver_id, customer_id, order_id, type, other), its ends and its infrastructure."""
+    at = _order_edges(edges).filter(F.col("type").isin("PLACED", "SERVED", *INFRASTRUCTURE))
+    return pair_orders(orders, seeds).join(at, "order_id").select("driver_id", "customer_id", "order_id", "type", "other")
+
+
 def related_actors(orders: DataFrame, seeds: DataFrame, actor: str) -> DataFrame:
     """For each seed pair, the other drivers of its customer (or other customers of its driver) with their trips."""
     other, via = ("driver_id", "customer_id") if actor == "driver" else ("customer_id", "driver_id")
@@ -169,6 +195,34 @@ def compare_drivers(orders: DataFrame, first: str, second: str) -> DataFrame:
     return rows.withColumn("side", side)
 
 
+def compared_orders(orders: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each (first, second) of drivers, the orders of both with their side: shared, only_first or only_second customers.
+
+    Set at a time: the customers of all drivers named are met once.
+    """
+    named = pairs.select("first", "second").distinct()
+    met = orders.select("driver_id", "customer_id").distinct()
+    seen = [named.join(met.withColumnRenamed("driver_id", c), c).select("first", "second", "customer_id", F.lit(c == "first").alias("f"), F.lit(c == "second").alias("s")) for c in ("first", "second")]
+    sides = seen[0].unionAll(seen[1]).groupBy("first", "second", "customer_id").agg(F.bool_or("f").alias("f"), F.bool_or("s").alias("s"))
+    side = F.when(F.col("f") & F.col("s"), "shared").when(F.col("f"), "only_first").otherwise("only_second")
+    rows = sides.select("first", "second", "customer_id", side.alias("side"), F.explode(F.array_distinct(F.array("first", "second"))).alias("driver_id"))
+    return rows.join(orders.select("driver_id", "customer_id", "order_id").distinct(), ["driver_id", "customer_id"]).select("first", "second", "side", "customer_id", "driver_id", "order_id")
+
+
+def shared_customer_counts(orders: DataFrame, seeds: DataFrame) -> DataFrame:
+    """For each seed pair and other driver of its customer: how many further customers both drivers served.
+
+    Customers of the seed drivers are met once for each driver, not for each pair, and counted
+    before they meet the pairs; ``shared_customers`` lists the members.
+    """
+    met = orders.select("driver_id", "customer_id").distinct()
+    own = met.join(seeds.select("driver_id").distinct(), "driver_id", "left_semi")
+    both = own.join(met.withColumnRenamed("driver_id", "other_driver"), "customer_id").filter(F.col("driver_id") != F.col("other_driver"))
+    counts = both.groupBy("driver_id", "other_driver").agg((F.count("*") - 1).alias("shared_customers"))  # less the seed's own customer
+    others = related_actors(orders, seeds, "driver").select("driver_id", "customer_id", F.col("related").alias("other_driver"))
+    return others.join(counts, ["driver_id", "other_driver"]).filter("shared_customers > 0").select("driver_id", "customer_id", "other_driver", "shared_customers")
+
+
 def shared_customers(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     """For each seed pair: customers of its driver whom another driver of its customer served too."""
     met = orders.select("driver_id", "customer_id").distinct()
@@ -178,12 +232,16 @@ def shared_customers(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     return theirs.join(own, ["driver_id", "shared_customer"], "left_semi").filter(F.col("shared_customer") != F.col("customer_id")).select("driver_id", "customer_id", "other_driver", "shared_customer")
 
 
+def _order_edges(edges: DataFrame) -> DataFrame:
+    """(order_id, type, other) of the edges at an order."""
+    incoming = F.col("type").isin("PLACED", "SERVED")
+    at = edges.filter(F.col("type") != "IN_CAMPAIGN")
+    return at.select(F.when(incoming, F.col("dst")).otherwise(F.col("src")).alias("order_id"), "type", F.when(incoming, F.col("src")).otherwise(F.col("dst")).alias("other"))
+
+
 def order_neighborhood(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """All edges of each seed order: (order_id, type, other)."""
-    at = edges.filter(F.col("type") != "IN_CAMPAIGN")
-    incoming = F.col("type").isin("PLACED", "SERVED")
-    at = at.select(F.when(incoming, F.col("dst")).otherwise(F.col("src")).alias("order_id"), "type", F.when(incoming, F.col("src")).otherwise(F.col("dst")).alias("other"))
-    return at.join(seeds.select("order_id").distinct(), "order_id", "left_semi")
+    return _order_edges(edges).join(seeds.select("order_id").distinct(), "order_id", "left_semi")
 
 
 def shared_infrastructure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -194,6 +252,32 @@ def shared_infrastructure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     return rows.filter("seed_orders > 0 AND other_orders > 0")
 
 
+def pair_infrastructure(orders: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(driver_id, customer_id, type, dst, own_orders, other_orders): what each seed pair's orders use and other orders use too.
+
+    Membership of the other side is ``infrastructure_orders``; a seed pair's other orders are
+    the rows of its ends there, so pairs of orders are never listed.
+    """
+    used = edges.filter(F.col("type").isin(*INFRASTRUCTURE)).select(F.col("src").alias("order_id"), "type", "dst")
+    own = pair_orders(orders, seeds).join(used, "order_id").groupBy("driver_id", "customer_id", "type", "dst").agg(F.count("*").alias("own_orders"))
+    all_of = used.groupBy("type", "dst").agg(F.count("*").alias("n"))
+    df = own.join(all_of, ["type", "dst"]).withColumn("other_orders", F.col("n") - F.col("own_orders"))
+    return df.filter("other_orders > 0").select("driver_id", "customer_id", "type", "dst", "own_orders", "other_orders")
+
+
+def infrastructure_orders(orders: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(type, dst, order_id): all orders at the ends that some seed pair shares with others."""
+    ends = pair_infrastructure(orders, edges, seeds).select("type", "dst").distinct()
+    return edges.join(ends, ["type", "dst"], "left_semi").select("type", "dst", F.col("src").alias("order_id"))
+
+
+def driver_neighbors(orders: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(driver_id, type, neighbor, orders): customers, services and addresses of each seed driver, and by how many of its orders."""
+    mine = orders.join(seeds.select("driver_id").distinct(), "driver_id", "left_semi").select("driver_id", "order_id").distinct()
+    at = _order_edges(edges).filter(F.col("type").isin("PLACED", "USES_SERVICE", "PICKUP_AT", "DROPOFF_AT"))
+    return mine.join(at, "order_id").groupBy("driver_id", "type", F.col("other").alias("neighbor")).agg(F.countDistinct("order_id").alias("orders"))
+
+
 def driver_neighborhood(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     """Per seed driver: distinct orders, customers, services and addresses."""
     df = orders.join(seeds.select("driver_id").distinct(), "driver_id", "left_semi")

@@ -11,7 +11,15 @@ UNKNOWN = "Không rõ"
 GRAINS = ("day", "week", "month")
 #: Trailing windows, in days, that end on the latest day of the data.
 TRAILING = (("1D", 1), ("7D", 7))
-HIGH_TIERS = ("IMMEDIATE_REVIEW", "HIGH_RISK")
+#: Tiers of high risk; the others are for watching.
+HIGH_TIERS = ("IMMEDIATE_REVIEW", "HIGH_RISK", "HIGH")
+# Texts of supporting signals for readers.
+SIGNAL_TEXTS = {
+    "weighted_edge_outlier": "Tần suất lặp lại của cặp cao bất thường",
+    "wcc_component_support": "Được củng cố bởi nhóm liên kết WCC",
+    "temporal_turnaround": "Khoảng cách giữa các chuyến quá ngắn",
+    "bipartite_pair_concentration": "Mức độ phụ thuộc hai chiều giữa tài xế và khách hàng quá cao",
+}
 
 
 def _distinct(c: str | Column, name: str) -> Column:
@@ -22,10 +30,17 @@ def _avg(c: str) -> Column:
     return np_round(F.avg(c), 4).alias(f"avg_{c}")
 
 
-def normalize_flags(flags: DataFrame) -> DataFrame:
-    """Flags with the day, week (from Monday) and month of their order; rows without a day go."""
-    start = {f"order_{g}": F.date_trunc(g, F.col("order_date")).cast("date") for g in GRAINS}
-    return flags.filter(F.col("order_date").isNotNull()).withColumns(start)
+def normalize_flags(flags: DataFrame, signal_texts: dict[str, str] = SIGNAL_TEXTS, reason_texts: dict[str, str] | None = None) -> DataFrame:
+    """Flags with the day, week (from Monday) and month of their order, and their texts for readers; rows without a day go.
+
+    A signal or reason that the dictionaries lack stays as it is.
+    """
+    made = {f"order_{g}": F.date_trunc(g, F.col("order_date")).cast("date") for g in GRAINS}
+    for column, texts in (("supporting_signal", signal_texts), ("flag_reason", reason_texts or {})):
+        if column in flags.columns:
+            found = [F.when(F.col(column) == k, F.lit(v)) for k, v in texts.items()]
+            made[f"{column}_vi"] = F.coalesce(*found, F.col(column))
+    return flags.filter(F.col("order_date").isNotNull()).withColumns(made)
 
 
 def filter_reports(flags: DataFrame, start: str | None = None, end: str | None = None, service: str | None = None, risk: str | None = None, rule: str | None = None) -> DataFrame:
@@ -39,6 +54,17 @@ def filter_reports(flags: DataFrame, start: str | None = None, end: str | None =
     return flags
 
 
+def filter_pairs(pairs: DataFrame, start: str | None = None, end: str | None = None, service: str | None = None, rule: str | None = None) -> DataFrame:
+    """Pairs, or their reasons, whose latest order is of the days ``start`` to ``end``, of one leading service and rule label where given; the tier has no say."""
+    tests = [
+        (start, F.col("latest_order_date") >= F.lit(start).cast("date")), (end, F.col("latest_order_date") <= F.lit(end).cast("date")),
+        (service, F.col("top_service_name") == service), (rule, F.col("business_rule_label") == rule),
+    ]
+    for given, test in tests:
+        pairs = pairs.filter(test) if given is not None else pairs
+    return pairs
+
+
 def period_summary(flags: DataFrame, grain: str) -> DataFrame:
     """Distinct orders (under two names), drivers, customers and pairs of each day, week or month."""
     if grain not in GRAINS:
@@ -57,11 +83,12 @@ def overview_metrics(flags: DataFrame) -> DataFrame:
 
 
 def rule_overview(flags: DataFrame) -> DataFrame:
-    return flags.groupBy("business_rule_label").agg(_distinct("order_id", "flagged_orders"), _distinct("customer_id", "flagged_customers"), _avg("priority_score"))
+    story = F.coalesce(F.min("business_rule_story"), F.lit("")).alias("business_rule_story")
+    return flags.groupBy("business_rule_label").agg(_distinct("order_id", "flagged_orders"), _distinct("customer_id", "flagged_customers"), _avg("priority_score"), story)
 
 
 def reason_overview(reasons: DataFrame) -> DataFrame:
-    return reasons.groupBy("reason_code").agg(F.count("*").alias("pair_rows"), _avg("investigation_priority"), _avg("ghost_rate"), F.min("supporting_signal").alias("supporting_signal"))
+    return reasons.groupBy("reason_code").agg(F.count("*").alias("pair_rows"), _avg("investigation_priority"), _avg("ghost_rate"), F.min("supporting_signal").alias("supporting_signal"), F.coalesce(F.min("flag_reason"), F.lit("")).alias("flag_reason"))
 
 
 def component_overview(flags: DataFrame) -> DataFrame:
@@ -71,6 +98,8 @@ def component_overview(flags: DataFrame) -> DataFrame:
         _distinct(F.struct("driver_id", "customer_id"), "pairs"), F.coalesce(F.mode("service_name", True), F.lit(UNKNOWN)).alias("top_service"),
         F.coalesce(F.mode("business_rule_label", True), F.lit(UNKNOWN)).alias("top_rule"), F.max("priority_score").alias("max_priority_score"),
         _avg("priority_score"), _avg("network_risk_score"), F.max("component_size").alias("component_size"),
+        _avg("network_support_score"), F.max("component_edge_count").alias("component_edge_count"), F.max("component_density").alias("component_density"),
+        F.coalesce(F.min("business_rule_story"), F.lit("")).alias("top_rule_story"),
     )
     order = [F.desc("component_size"), F.desc("max_priority_score"), F.desc("flagged_orders"), F.asc("component_id")]
     return running_total(df, ["window_id"], order, F.lit(1), "component_rank").withColumn("component_label", F.format_string("WCC-%03d", "component_rank"))
@@ -82,24 +111,21 @@ def breakdown(flags: DataFrame, dimension: str, top: int = 10) -> DataFrame:
     return flags.groupBy(value).agg(_distinct("order_id", "flagged_orders")).orderBy(F.desc("flagged_orders"), "value").limit(top)
 
 
-def rule_cluster_summary(flags: DataFrame) -> DataFrame:
-    """Per business rule and pair: its orders and its strongest figures."""
-    e = "evidence."
-    return flags.groupBy(*PAIR_KEY, "business_rule_label").agg(
-        _distinct("order_id", "flagged_orders"), F.max("n_trips").alias("max_trips"), F.max("n_ghost").alias("max_ghost"), F.max("ghost_rate").alias("max_ghost_rate"),
-        F.max("priority_score").alias("max_priority_score"), F.max(f"{e}supporting_signal_count").alias("max_supporting_signals"),
-        F.max(f"{e}linked_pair_count").alias("max_linked_pairs"), F.max("component_size").alias("max_component_size"), F.min(f"{e}min_gap_min").alias("min_gap_min"),
-        F.bool_or("high_confidence").alias("high_confidence"), np_round(F.avg(f"{e}pair_core_score"), 2).alias("avg_core_score"),
-        np_round(F.avg(f"{e}network_support_score"), 2).alias("avg_network_score"), F.max_by("risk_tier", F.struct("priority_score", "risk_tier")).alias("risk_tier"),
-    )
+def rule_cluster_summary(flags: DataFrame, keys: tuple[str, ...] = (*PAIR_KEY, "business_rule_label")) -> DataFrame:
+    """Per business rule and pair: its orders, its strongest figures, and the tier of its highest priority; highest priority first."""
+    most = {f"max_{c}": F.max(c) for c in ("n_trips", "n_ghost", "ghost_rate", "priority_score", "supporting_signal_count", "linked_pair_count", "component_size")}
+    mean = {"avg_gmv": F.avg("avg_gmv"), **{f"avg_{c}": np_round(F.avg(c), 2) for c in ("pair_core_score", "network_support_score")}}
+    rest = {"min_gap_min": F.min("min_gap_min"), "high_confidence": F.bool_or("high_confidence"), "top_risk_tier": F.max_by("risk_tier", F.struct("priority_score", "risk_tier"))}
+    df = flags.groupBy(*keys).agg(_distinct("order_id", "flagged_orders"), *[c.alias(name) for name, c in (most | mean | rest).items()])
+    return df.orderBy(F.desc("max_priority_score"), *keys)
 
 
-def window_metrics(flags: DataFrame) -> DataFrame:
-    """Orders, high-risk orders and the others in the trailing windows that end on the latest day."""
+def window_metrics(flags: DataFrame, high_tiers: tuple[str, ...] = HIGH_TIERS) -> DataFrame:
+    """Orders, those of a tier of high risk and the others in the trailing windows that end on the latest day."""
     latest = flags.agg(F.max("order_date").alias("end_date"))
     spans = F.explode(F.array(*[F.struct(F.lit(n).alias("label"), F.lit(d).alias("days")) for n, d in TRAILING]))
     spans = latest.select("end_date", spans.alias("w")).select("w.label", F.date_sub("end_date", F.col("w.days") - 1).alias("start_date"), "end_date")
-    high = F.col("risk_tier").isin(*HIGH_TIERS)
+    high = F.col("risk_tier").isin(*high_tiers)
     inside = flags.join(F.broadcast(spans), F.col("order_date").between(F.col("start_date"), F.col("end_date")))
     return inside.groupBy("label", "start_date", "end_date").agg(
         _distinct("order_id", "flagged_orders"), _distinct(F.when(high, F.col("order_id")), "high_risk_orders"), _distinct(F.when(~high, F.col("order_id")), "watchlist_orders"),

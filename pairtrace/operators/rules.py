@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.config import RuleConfig
-from pairtrace.functions.expr import PAIR_KEY, np_round, truth
+from pairtrace.functions.expr import PAIR_KEY, np_round, numeric_or_default, truth
 from pairtrace.operators.scoring import RULE_SCORES
 
 RULE_NAME = "REPEATED_CUSTOMER_DRIVER"
@@ -25,6 +25,22 @@ LABELS = {
     "ROUTE_FARMING_PATTERN": "Mẫu farming theo tuyến",
     "COORDINATED_NETWORK_PATTERN": "Cụm liên kết đáng ngờ nhiều cặp",
 }
+# What a business rule and a reason say to a reader.
+STORIES = {
+    "REPEATED_LOCKED_PAIR": "Tài xế và khách hàng đi với nhau nhiều lần và có mức độ phụ thuộc bất thường so với hành vi thông thường.",
+    "GHOST_TRIP_EXECUTION_PATTERN": "Cặp này có nhiều chuyến mang dấu hiệu đơn ảo, không di chuyển thật hoặc tạo chuyến quá sát nhau về thời gian.",
+    "ROUTE_FARMING_PATTERN": "Cặp này lặp lại cùng một kiểu tuyến đường với mật độ đáng ngờ, giống hành vi farming hơn là di chuyển tự nhiên.",
+    "COORDINATED_NETWORK_PATTERN": "Cặp này nằm trong một cụm có nhiều cặp đáng ngờ khác cùng chia sẻ tín hiệu như địa điểm, tuyến, khuyến mãi hoặc phương thức thanh toán.",
+}
+REASON_TEXTS = {
+    "KB-C_EXTREME_VOLUME": "Cặp tài xế - khách hàng này lặp lại với tần suất rất cao trong cửa sổ phân tích hiện tại.",
+    "KB-C_TIGHT_PAIR_SHARE": "Cặp tài xế - khách hàng này chiếm tỷ trọng bất thường trong tổng hoạt động của cả tài xế và khách hàng.",
+    "KB-C_SUSPICIOUS_COMPONENT": "Cặp tài xế - khách hàng này nằm trong một nhóm liên kết đáng nghi và chia sẻ đầu mối với nhiều cặp khác.",
+    "KB-C_HIGH_GHOST_RATE": "Tỷ lệ ghost trip của cặp tài xế - khách hàng này cao, với nhiều chuyến có avg_kmh = 0.",
+    "KB-C_SUPERFAST_GAP": "Cặp tài xế - khách hàng này tạo các chuyến liên tiếp quá nhanh, không giống vận hành bình thường.",
+    "KB-C_ROUTE_LOOP": "Cặp này lặp lại cùng một kiểu tuyến đường với mật độ đáng ngờ, giống hành vi farming hơn là di chuyển tự nhiên.",
+}
+RULE_VERSION = "kbc_v2_pair_graph_core"
 
 
 def lookup(values: dict[str, str], c: Column) -> Column:
@@ -56,25 +72,31 @@ def apply_reason_rules(pairs: DataFrame, cfg: RuleConfig = RuleConfig()) -> Data
         {
             "rule_name": F.lit(RULE_NAME), "reason_order": F.col("__r.ord"), "reason_code": F.col("__r.code"),
             "supporting_signal": F.col("__r.signal"), "business_rule": F.col("__r.rule"), "business_rule_label": lookup(LABELS, F.col("__r.rule")),
+            "business_rule_story": lookup(STORIES, F.col("__r.rule")), "flag_reason": lookup(REASON_TEXTS, F.col("__r.code")),
         }
     ).drop("__r")
 
 
+def with_triggered(reasons: DataFrame) -> DataFrame:
+    """Reasons with all rules and codes of their pair, in reason order."""
+    lists = reasons.groupBy(PAIR_KEY).agg(F.array_sort(F.collect_list(F.struct("reason_order", "reason_code", "business_rule"))).alias("__l"))
+    lists = lists.select(
+        *PAIR_KEY, F.array_join(F.array_distinct(F.transform("__l", lambda x: x["business_rule"])), " | ").alias("triggered_rules"),
+        F.array_join(F.transform("__l", lambda x: x["reason_code"]), " | ").alias("reason_codes"),
+    )
+    return reasons.join(lists, PAIR_KEY)
+
+
 def finalize_rule_assignment(pairs: DataFrame, reasons: DataFrame) -> DataFrame:
     """Triggered rules and codes in reason order, and the primary rule: the triggered one of highest score."""
     score = F.coalesce(*[F.when(F.col("business_rule") == r, F.col(s)) for r, s in RULE_SCORES.items()])
-    per_pair = reasons.withColumn("__s", score).groupBy(PAIR_KEY).agg(
-        F.array_sort(F.collect_list(F.struct("reason_order", "reason_code", "business_rule"))).alias("__l"),
-        F.max_by("business_rule", F.struct("__s", -F.col("reason_order"))).alias("__primary"), F.max("__s").alias("__score"),
-    )
-    per_pair = per_pair.select(
-        *PAIR_KEY, "__primary", "__score",
-        F.array_join(F.array_distinct(F.transform("__l", lambda x: x["business_rule"])), " | ").alias("triggered_rules"),
-        F.array_join(F.transform("__l", lambda x: x["reason_code"]), " | ").alias("reason_codes"),
-    )
+    per_pair = with_triggered(reasons).withColumn("__s", score).groupBy(*PAIR_KEY, "triggered_rules", "reason_codes").agg(
+        F.max_by("business_rule", F.struct("__s", -F.col("reason_order"))).alias("__primary"), F.max("__s").alias("__score")
+    )
     df = pairs.join(per_pair, PAIR_KEY, "left")
     df = df.withColumns({"business_rule": F.coalesce("__primary", "business_rule"), "business_rule_score": F.coalesce("__score", "business_rule_score")})
-    return df.withColumn("business_rule_label", lookup(LABELS, F.col("business_rule"))).drop("__primary", "__score")
+    texts = {"business_rule_label": lookup(LABELS, F.col("business_rule")), "business_rule_story": lookup(STORIES, F.col("business_rule"))}
+    return df.withColumns(texts).drop("__primary", "__score")
 
 
 def risk_tier(priority: Column) -> Column:
@@ -82,25 +104,46 @@ def risk_tier(priority: Column) -> Column:
     return F.when(urgent | (priority >= 80), "IMMEDIATE_REVIEW").when(priority >= 65, "HIGH_RISK").when(priority >= 50, "MONITOR").otherwise("LOW_PRIORITY")
 
 
+#: Figures of a pair that a flag shows, with the digits that its evidence keeps; absent ones count as 0.
+SCORES = {
+    **dict.fromkeys(("ghost_rate", "pair_share_driver", "pair_share_customer", "volume_score", "raw_concentration", "support_factor", "concentration_score"), 4),
+    **dict.fromkeys(("pair_core_score", "pair_collusion_score"), 2), "temporal_score": 4, "low_value_score": 4,
+    **dict.fromkeys(("suspected_ghost_score", "pair_risk_score", "business_rule_score", "network_support_score", "network_risk_score", "business_impact_score", "fraud_risk_score"), 2),
+    "dominant_route_share": 4, "component_density": 4,
+}
+COUNTS = ("n_trips", "n_ghost", "linked_pair_count", "supporting_signal_count", "component_size", "component_edge_count", *(f"shared_{s}_count" for s in ("payment", "promo", "pickup", "dropoff", "route")))
+TEXTS = ("business_rule", "business_rule_label", "triggered_rules", "reason_codes", "dominant_route", "component_id")
+
+
 def evidence_struct() -> Column:
-    """The numbers behind a flag, rounded."""
-    two = ("pair_core_score", "suspected_ghost_score", "pair_risk_score", "fraud_risk_score", "network_risk_score", "network_support_score", "business_impact_score", "min_gap_min", "avg_gmv")
-    four = ("pair_share_driver", "pair_share_customer", "ghost_rate", "concentration_score", "volume_score", "dominant_route_share", "component_density", "temporal_score")
-    whole = ("n_trips", "n_ghost", "component_size", "linked_pair_count", "supporting_signal_count")
-    return F.struct(*[np_round(c, 2).alias(c) for c in two], *[np_round(c, 4).alias(c) for c in four], *[F.col(c) for c in whole])
+    """The 38 numbers and names behind a flag, rounded; a pair without a gap has none."""
+    figures = {c: np_round(c, n).alias(c) for c, n in SCORES.items()}
+    figures |= {c: F.col(c) for c in (*COUNTS[:5], *TEXTS, "driver_id", "customer_id", "high_confidence")}
+    figures |= {"min_gap_min": np_round("min_gap_min", 3).alias("min_gap_min"), "suspected_ghost_rate": np_round("ghost_rate", 4).alias("suspected_ghost_rate")}
+    figures |= {c: np_round("priority_score", 2).alias(c) for c in ("investigation_priority", "priority_score")}
+    return F.struct(*figures.values())
 
 
 def flagged_orders(candidates: DataFrame, reasons: DataFrame, flagged_at: str | None = None) -> DataFrame:
-    """Candidate orders times the reasons of their pair, with tier and evidence; ``flagged_at`` is given, never the clock."""
-    priority = F.coalesce("investigation_priority", "pair_risk_score")
-    facts = reasons.select(
-        *PAIR_KEY, "rule_name", "reason_code", "supporting_signal", "business_rule", "business_rule_label", "business_rule_score", "n_trips", "n_ghost", "ghost_rate",
-        "high_confidence", "component_id", "component_size", "network_risk_score", "pair_risk_score", "business_impact_score", "pair_share_driver", "pair_share_customer",
-        priority.alias("priority_score"), risk_tier(priority).alias("risk_tier"), evidence_struct().alias("evidence"),
-    )
+    """Candidate orders times the reasons of their pair, with tier and evidence; ``flagged_at`` is given, never the clock.
+
+    Figures that the reasons lack are 0, names that they lack are null.
+    """
+    named = lambda c, kind: F.col(c) if c in reasons.columns else F.lit(None).cast(kind)
+    given = {c: numeric_or_default(reasons, c, 0.0).alias(c) for c in SCORES}
+    given |= {c: numeric_or_default(reasons, c, 0.0).cast("long").alias(c) for c in COUNTS}
+    given |= {c: named(c, "string").alias(c) for c in (*TEXTS, "rule_name", "reason_code", "supporting_signal", "business_rule_story", "flag_reason", "volume_cohort", "top_service_name", "top_pickup_province_name", "top_dropoff_province_name")}
+    given |= {c: named(c, "double").alias(c) for c in ("min_gap_min", "avg_gmv", "total_gmv", "total_discount", "trip_threshold", "cohort_trip_threshold", "gmv_percentile", "trip_count_percentile", *RULE_SCORES.values())}
+    given |= {"high_confidence": F.coalesce(named("high_confidence", "boolean"), F.lit(False)).alias("high_confidence"), "latest_order_date": named("latest_order_date", "date").alias("latest_order_date")}
+    given |= {"active_days": named("active_days", "long").alias("active_days")}
+    priority = F.coalesce(*[named(c, "double") for c in ("priority_score", "investigation_priority", "pair_risk_score")])
+    facts = reasons.select(*PAIR_KEY, priority.alias("priority_score"), *given.values())
+    facts = facts.withColumns({"risk_tier": risk_tier(F.col("priority_score")), "evidence": evidence_struct()})
     orders = candidates.select(*PAIR_KEY, "order_id", "order_date", "order_time_local_tz", "complete_time_local_tz", "service_name", "payment_method", "gmv", "discount", F.coalesce("promotion_code", F.lit("")).alias("promotion_code"))
     df = orders.join(facts, PAIR_KEY)
-    return df.withColumns({"domain": F.lit("ride"), "flagged_at": F.lit(flagged_at).cast("timestamp_ntz")})
+    same = {"customer_repeat_ratio": F.col("pair_share_customer"), "pair_ratio": F.col("pair_share_driver"), "pair_orders": F.col("n_trips")}
+    fixed = {"domain": F.lit("ride"), "rule_version": F.lit(RULE_VERSION), "merchant_id": F.lit(None).cast("string"), "flagged_at": F.lit(flagged_at).cast("timestamp_ntz")}
+    return df.withColumns(same | fixed)
 
 
 def _once_per_rule(flags: DataFrame) -> DataFrame:
@@ -155,6 +198,7 @@ def pair_evidence(reasons: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFra
     pick = lambda i: F.coalesce(*[F.when(F.col("reason_code") == code, (F.col(v[0]) if i == 0 else v[1]).cast("double")) for code, v in values.items()])
     return reasons.select(
         *PAIR_KEY, "reason_code", "supporting_signal", np_round(pick(0), 4).alias("observed_value"), np_round(pick(1), 4).alias("threshold"),
+        F.lit("derived").alias("data_quality_level"), F.col("flag_reason").alias("description"),
         np_round(F.coalesce("investigation_priority", "pair_risk_score"), 2).alias("score_contribution"),
     ).distinct()
 
@@ -177,3 +221,10 @@ def quality_report(raw: DataFrame, active: DataFrame, pairs: DataFrame, short: D
 def evaluate_known_pairs(flags: DataFrame, known: DataFrame) -> DataFrame:
     hit = flags.select("driver_id", "customer_id", "reason_code").distinct()
     return known.join(hit, ["driver_id", "customer_id"], "left").withColumn("is_flagged", F.col("reason_code").isNotNull())
+
+
+def known_pair_hit_rate(evaluation: DataFrame) -> DataFrame:
+    """(metric, value): share of flagged rows, and of flagged distinct pairs; null without rows."""
+    pairs = evaluation.groupBy("driver_id", "customer_id").agg(F.bool_or("is_flagged").alias("is_flagged"))
+    rate = lambda df, name: df.agg(np_round(F.avg(F.col("is_flagged").cast("double")), 4).alias("value")).select(F.lit(name).alias("metric"), "value")
+    return rate(evaluation, "row_hit_rate").unionAll(rate(pairs, "pair_hit_rate"))

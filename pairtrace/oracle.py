@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pairtrace.operators.rules import LABELS, REASONS
+from pairtrace.operators.rules import LABELS, REASON_TEXTS, REASONS, STORIES
 from pairtrace.sources.trips import TRIPS_SQL
 
 PAIR = "window_id, driver_id, customer_id"
@@ -27,7 +27,8 @@ _ENTITIES = " UNION ALL ".join(
 )
 _RULE_OF = "CASE reason_code " + " ".join(f"WHEN '{c}' THEN '{r}'" for c, r, _ in REASONS) + " END"
 _SIGNAL_OF = "CASE reason_code " + " ".join(f"WHEN '{c}' THEN '{s}'" for c, _, s in REASONS) + " END"
-_LABEL_OF = "CASE business_rule " + " ".join(f"WHEN '{r}' THEN '{t}'" for r, t in LABELS.items()) + " END"
+_LABEL_OF, _STORY_OF = ("CASE business_rule " + " ".join(f"WHEN '{r}' THEN '{t}'" for r, t in texts.items()) + " END" for texts in (LABELS, STORIES))
+_TEXT_OF = "CASE reason_code " + " ".join(f"WHEN '{r}' THEN '{t}'" for r, t in REASON_TEXTS.items()) + " END"
 _TESTS = (
     "is_extreme_volume AND n_trips >= 8 AND (pair_share_driver >= 0.6 OR pair_share_customer >= 0.6)",
     "n_trips >= 8 AND pair_share_driver >= 0.6 AND pair_share_customer >= 0.6",
@@ -81,6 +82,9 @@ candidates AS (SELECT a.* FROM active a SEMI JOIN shortlist USING ({PAIR})),
 rollups AS (
   SELECT {PAIR}, avg(gmv) AS avg_gmv, coalesce(sum(gmv), 0) AS total_gmv, coalesce(sum(discount), 0) AS total_discount,
     count(DISTINCT order_date) AS active_days, max(order_date) AS latest_order_date FROM candidates GROUP BY ALL),
+dropoffs AS (
+  SELECT {PAIR}, last_dropoff_province_name AS top_dropoff_province_name FROM (SELECT {PAIR}, last_dropoff_province_name, count(*) AS n FROM candidates WHERE last_dropoff_province_name IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY {PAIR} ORDER BY n DESC, last_dropoff_province_name) = 1),
 gaps AS (
   SELECT {PAIR}, min(g) AS min_gap_min FROM (SELECT {PAIR}, date_diff('microsecond', lag(order_time_local_tz) OVER (
     PARTITION BY {PAIR} ORDER BY order_time_local_tz, order_id), order_time_local_tz) / 60e6 AS g FROM candidates) GROUP BY ALL),
@@ -160,7 +164,7 @@ networked AS (
     WHEN route_farming_rule_score THEN 'ROUTE_FARMING_PATTERN' ELSE 'COORDINATED_NETWORK_PATTERN' END AS business_rule FROM topped),
 reason_rows AS ({_REASONS}),
 reasons AS (
-  SELECT *, {_LABEL_OF} AS business_rule_label FROM (SELECT * REPLACE ({_RULE_OF} AS business_rule), {_SIGNAL_OF} AS supporting_signal,
+  SELECT *, {_LABEL_OF} AS business_rule_label, {_STORY_OF} AS business_rule_story, {_TEXT_OF} AS flag_reason FROM (SELECT * REPLACE ({_RULE_OF} AS business_rule), {_SIGNAL_OF} AS supporting_signal,
     'REPEATED_CUSTOMER_DRIVER' AS rule_name FROM reason_rows)),
 reason_scores AS (
   SELECT *, CASE business_rule WHEN 'REPEATED_LOCKED_PAIR' THEN repeated_pair_rule_score WHEN 'GHOST_TRIP_EXECUTION_PATTERN' THEN ghost_trip_rule_score
@@ -178,10 +182,12 @@ summary AS (
 flags AS (
   SELECT c.*, r.rule_name, r.reason_code, r.supporting_signal, r.business_rule, r.business_rule_label, r.n_trips, r.n_ghost, r.ghost_rate, r.high_confidence, r.component_id, r.component_size,
     r.network_risk_score, r.pair_risk_score, r.business_impact_score, r.investigation_priority AS priority_score, 'ride' AS domain, r.avg_gmv, r.pair_core_score, r.network_support_score,
-    r.min_gap_min, r.supporting_signal_count, r.linked_pair_count, r.component_density, r.component_edge_count,
+    r.min_gap_min, r.supporting_signal_count, r.linked_pair_count, r.component_density, r.component_edge_count, r.pair_share_driver, r.pair_share_customer, r.volume_score,
+    r.raw_concentration, r.support_factor, r.concentration_score, r.pair_collusion_score, r.temporal_score, r.low_value_score, r.suspected_ghost_score, r.business_rule_score,
+    r.fraud_risk_score, r.dominant_route, r.dominant_route_share, r.business_rule_story, r.flag_reason, t.reason_codes, l.triggered_rules, r.trip_threshold, r.active_days,
     CASE WHEN (r.ghost_rate >= 0.8 AND r.n_trips >= 10) OR r.investigation_priority >= 80 THEN 'IMMEDIATE_REVIEW' WHEN r.investigation_priority >= 65 THEN 'HIGH_RISK'
       WHEN r.investigation_priority >= 50 THEN 'MONITOR' ELSE 'LOW_PRIORITY' END AS risk_tier
-  FROM candidates c JOIN reasons r USING ({PAIR})),
+  FROM candidates c JOIN reasons r USING ({PAIR}) JOIN triggered t USING ({PAIR}) JOIN rule_lists l USING ({PAIR})),
 once AS (
   SELECT * FROM flags QUALIFY row_number() OVER (PARTITION BY order_id, rule_name ORDER BY priority_score DESC, driver_id DESC, customer_id DESC, order_time_local_tz DESC, gmv DESC) = 1)
 """

@@ -69,11 +69,11 @@ class Detection:
 
     @cached_property
     def reasons(self) -> DataFrame:
-        return materialize(rules.apply_reason_rules(self.networked, self.rule_cfg), "pair-reasons")
+        return materialize(rules.with_triggered(rules.apply_reason_rules(self.networked, self.rule_cfg)), "pair-reasons")
 
     @cached_property
     def pair_summary(self) -> DataFrame:
-        return rules.finalize_rule_assignment(self.networked, self.reasons)
+        return rules.finalize_rule_assignment(self.networked, self.reasons.drop("triggered_rules", "reason_codes"))
 
     @cached_property
     def flags(self) -> DataFrame:

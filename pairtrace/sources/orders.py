@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairtrace.operators.property_graph import demo_base_orders
+
 _STRINGS = (
     "order_id", "driver_id", "customer_id", "order_status", "service_name", "pickup_province_name", "pickup_district_name",
     "pickup_address", "last_dropoff_province_name", "last_dropoff_district_name", "last_dropoff_address", "promotion_code", "payment_method",
@@ -53,14 +55,16 @@ def derive_order_date(df: DataFrame) -> DataFrame:
     return df.withColumn("order_date", F.coalesce("order_date", F.col("order_time_local_tz").cast("date")))
 
 
-def read_orders(spark: SparkSession, path: str | list[str], window_from: str = "file", types: dict[str, str] | None = None) -> DataFrame:
+def read_orders(spark: SparkSession, path: str | list[str], window_from: str = "file", types: dict[str, str] | None = None, schema: str | T.StructType | None = None) -> DataFrame:
     """A file, folder or glob of Parquet orders, or a list of them; ``window_from`` is file or date.
 
-    The parts of a list are read and brought to the contract one by one, so they may disagree on types.
+    The parts of a list are read and brought to the contract one by one, so they may disagree on
+    types. With ``schema``, that of the files, no footer is read before the scan; without it,
+    columns of all files are merged, which reads the footer of each.
     """
     if not isinstance(path, str):
-        return reduce(DataFrame.unionByName, [read_orders(spark, p, window_from, types) for p in path])
-    raw = spark.read.option("mergeSchema", True).parquet(path)
+        return reduce(DataFrame.unionByName, [read_orders(spark, p, window_from, types, schema) for p in path])
+    raw = (spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)).parquet(path)
     if "window_id" not in raw.columns and window_from == "file":
         raw = raw.withColumn("window_id", F.col("_metadata.file_name"))
     out = derive_order_date(conform(raw, types or ORDER_TYPES))
@@ -87,8 +91,26 @@ def write_outputs(outputs: dict[str, DataFrame], folder: str) -> None:
         df.select(*flat).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
 
 
+#: What report queries read of each table; a missing table is empty and has these columns.
+REPORT_TYPES = {
+    "flagged_orders": "window_id string, driver_id string, customer_id string, order_id string, order_date date, complete_time_local_tz timestamp_ntz, service_name string, gmv double, "
+    "discount double, rule_name string, reason_code string, business_rule_label string, business_rule_story string, supporting_signal string, flag_reason string, risk_tier string, "
+    "priority_score double, n_trips bigint, n_ghost bigint, ghost_rate double, min_gap_min double, avg_gmv double, high_confidence boolean, component_id string, component_size bigint, "
+    "component_edge_count bigint, component_density double, network_risk_score double, network_support_score double, pair_core_score double, pair_risk_score double, business_impact_score double, "
+    "supporting_signal_count bigint, linked_pair_count bigint, domain string",
+    "pair_summary": "window_id string, driver_id string, customer_id string, n_trips bigint, ghost_rate double, latest_order_date date, top_service_name string, business_rule_label string, investigation_priority double",
+    "pair_reasons": "window_id string, driver_id string, customer_id string, reason_code string, supporting_signal string, flag_reason string, latest_order_date date, top_service_name string, "
+    "business_rule_label string, investigation_priority double, ghost_rate double",
+}
+
+
+def write_demo_base_orders(orders: DataFrame, path: str, max_orders: int | None = None) -> None:
+    """The compact order table (order_id, driver_id, customer_id, order_date) as Parquet, overwritten."""
+    demo_base_orders(orders, max_orders).write.mode("overwrite").parquet(path)
+
+
 def read_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The written tables; one that is missing is empty."""
+    """The written tables; one that is missing is empty, with the columns that reports read."""
     out = {}
     for name, load in (
         ("flagged_orders", lambda p: spark.read.parquet(p)),
@@ -97,5 +119,5 @@ def read_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     ):
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
         there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        out[name] = load(f"{folder}/{name}") if there else spark.createDataFrame([], "order_id string")
+        out[name] = load(f"{folder}/{name}") if there else spark.createDataFrame([], REPORT_TYPES[name])
     return out

@@ -10,28 +10,44 @@ from pairtrace.functions.shared import materialize
 from pairtrace.operators.property_graph import clean_wide_orders, upsert_orders
 
 
-def merge_batch(batch: DataFrame, table: str, buckets: int, order: list[str]) -> None:
-    """Upsert a batch; only the buckets that its order ids fall into are rewritten.
+#: Order of the rows of one batch that share an order id; the first stays. All columns that are left follow by name, so equal tables come from equal files.
+FIRST = ("order_time_local_tz", "driver_id", "customer_id")
 
-    A batch that is run again gives the same table.
+
+def merge_batch(batch: DataFrame, table: str, buckets: int, order: list[str]) -> DataFrame | None:
+    """Upsert a batch and return its counters; only the buckets that its order ids fall into are rewritten.
+
+    A batch that is run again gives the same table. None for a batch without rows.
     """
     spark = batch.sparkSession
     bucket = F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int")
     fresh = materialize(clean_wide_orders(batch).withColumn("bucket", bucket), "ingest-batch")
     touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
-        return
+        return None
     path = spark._jvm.org.apache.hadoop.fs.Path(table)
     there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     old = spark.read.schema(fresh.schema).parquet(table).filter(F.col("bucket").isin(touched)) if there else fresh.limit(0)
-    merged = materialize(upsert_orders(old, fresh, order)[0], "ingest-merged")
+    whole = [*order, *sorted(c for c in fresh.columns if c not in order and c != "order_id")]
+    merged, counters = upsert_orders(old, fresh, whole)
+    merged, counters = materialize(merged, "ingest-merged"), materialize(counters, "ingest-counters")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
+    return counters
+
+
+def incremental_ingest(
+    spark: SparkSession, source: str, table: str, checkpoint: str, schema, buckets: int = 64, order: tuple[str, ...] = FIRST, counters: str | None = None
+) -> StreamingQuery:
+    """Read every new Parquet file of ``source`` once, merge it into ``table``, then stop.
+
+    ``counters``: folder for the new, updated, valid and processed rows of each batch, a part a
+    batch; a batch that is run again replaces its part.
+    """
 
+    def merge(batch: DataFrame, number: int) -> None:
+        made = merge_batch(batch, table, buckets, list(order))
+        if counters and made is not None:
+            made.coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={number}")
 
-def incremental_ingest(spark: SparkSession, source: str, table: str, checkpoint: str, schema, buckets: int = 64, order: tuple[str, ...] = ("order_time_local_tz",)) -> StreamingQuery:
-    """Read every new Parquet file of ``source`` once, merge it into ``table``, then stop."""
     stream = spark.readStream.schema(schema).parquet(source)
-    return (
-        stream.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, table, buckets, list(order)))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
