@@ -1,7 +1,9 @@
-"""Rows told apart by their id and their text, as ids may be null or repeat."""
+"""Rows told apart by their id and their text, as ids may be null or repeat; groups of sorted streams."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,33 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col:
     gone = gone.select(F.col(id_col).alias("__gone_id"), F.col("text_mark").alias("__gone_mark")).distinct()
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (text_mark(text_col) == F.col("__gone_mark"))
     return docs.join(gone, same, "left_anti")
+
+
+def tables(batches, *keys: str, least: int = 1):
+    """Tables of whole groups of equal ``keys`` of a stream that is sorted by them, of ``least`` rows or more but for the last.
+
+    No more than a batch, ``least`` rows and one group are held.
+    """
+    held: list[pa.RecordBatch] = []
+    rows, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        at = 0  # rows of the batch before it are given out
+        for lo in starts:
+            key = tuple(c[lo] for c in columns)
+            if last is not None and key != last and rows + lo - at >= least:
+                if lo > at:
+                    held.append(batch.slice(at, lo - at))
+                yield pa.Table.from_batches(held)
+                held, rows, at = [], 0, lo
+            last = key
+        held.append(batch.slice(at))
+        rows += batch.num_rows - at
+    if held:
+        yield pa.Table.from_batches(held)
