@@ -1,9 +1,10 @@
 """Byte-level BPE by corpus-level merge replay.
 
-Each Arrow batch of texts is a small corpus: its distinct pre-tokens are laid end to end, an
-inverted index maps every mergeable token pair to the positions holding it, and merges are
-applied in rank order to all positions at once. Only the neighbours of a merged position get
-a new index entry. Work is per distinct pre-token, so copies cost a dictionary lookup.
+The corpus of a task comes in pieces of a bounded number of bytes. The distinct pre-tokens of a
+piece that the task has not met yet are laid end to end, an inverted index maps every mergeable
+token pair to the positions holding it, and merges are applied in rank order to all positions at
+once. Only the neighbours of a merged position get a new index entry. Work is per distinct
+pre-token of a task, so copies cost a dictionary lookup.
 """
 
 from __future__ import annotations
@@ -11,18 +12,22 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEVER = 1 << 30
 EDGE, GONE = -1, -2
-#: Texts that are merged together, and rows of an output batch.
-CORPUS_ROWS, OUT_ROWS = 4_000, 512
+#: Characters of the texts that are merged together (one text at least), and rows of an output batch.
+CORPUS_CHARS, OUT_ROWS = 4 << 20, 512
+#: Distinct pre-tokens, and characters of them, that a task remembers; beyond either it starts anew.
+KNOWN_WORDS, KNOWN_CHARS = 200_000, 8 << 20
 
 
 class Merges:
@@ -43,6 +48,7 @@ class Merges:
                     pairs[left * self.size + right] = rank
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.forget()
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair's merge, NEVER where there is none."""
@@ -105,12 +111,21 @@ class Merges:
         counts = np.add.reduceat(alive, ends - lens - 1)
         return tok[:-1][alive], counts.astype(np.int64)
 
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.flat, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
     def encode(self, texts: list[str | None], split: regex.Pattern) -> list[np.ndarray]:
         """Token ids of each text; null gives none."""
-        seen: dict[str, int] = {}
-        docs = [np.array([seen.setdefault(w, len(seen)) for w in split.findall(t or "")], np.int64) for t in texts]
-        raw = [w.encode() for w in seen]
-        whole = np.array([self.rank.get(w, -1) for w in raw], np.int64)
+        if len(self.known) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
+            self.forget()
+        known, old = self.known, len(self.known)
+        docs = [np.array([known.setdefault(w, len(known)) for w in split.findall(t or "")], np.int32) for t in texts]
+        fresh = list(islice(known, old, None))  # a dict keeps its order
+        self.chars += sum(map(len, fresh))
+        raw = [w.encode() for w in fresh]
+        whole = np.array([self.rank.get(w, -1) for w in raw], np.int32)
         todo = np.flatnonzero(whole < 0)
         made, made_n = self.replay([raw[i] for i in todo.tolist()])
         count = np.ones(len(raw), np.int64)
@@ -118,6 +133,9 @@ class Merges:
         start = np.cumsum(count) - count
         flat = np.repeat(whole, count)
         flat[np.repeat(start[todo] - (np.cumsum(made_n) - made_n), made_n) + np.arange(made.size)] = made
+        self.flat, self.count = np.concatenate((self.flat, flat)), np.concatenate((self.count, count))
+        count, flat = self.count, self.flat
+        start = np.cumsum(count) - count
         out = []
         for words in docs:
             n = count[words]
@@ -129,6 +147,18 @@ class Merges:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def pieces(texts: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of rows of up to CORPUS_CHARS characters, or of one longer text."""
+    size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    cuts, held = [0], 0
+    for i, n in enumerate(size.tolist()):
+        if held + n > CORPUS_CHARS and i > cuts[-1]:
+            cuts.append(i)
+            held = 0
+        held += n
+    return [(a, b) for a, b in zip(cuts, [*cuts[1:], len(texts)], strict=True) if b > a]
+
+
 @lru_cache(2)
 def _merges(content: bytes) -> Merges:
     return Merges(content)
@@ -147,8 +177,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
     def run(batches):
         table, split = _merges(content.value), regex.compile(pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, CORPUS_ROWS):
-                part = batch.slice(lo, CORPUS_ROWS)
+            for lo, hi in pieces(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
                 ids = table.encode(part.column("text").to_pylist(), split)
                 for at in range(0, len(ids), OUT_ROWS):
                     piece = [x.tobytes() for x in ids[at : at + OUT_ROWS]]
