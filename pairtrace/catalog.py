@@ -111,6 +111,11 @@ def _(spark, d):
     return pairs.distinct_counterparties(pairs.pair_counts(_detect(spark, d).active), "driver")
 
 
+@register("distinct_counterparties_customer", "window_id, customer_id, customer_counterparties", "customers")
+def _(spark, d):
+    return pairs.distinct_counterparties(pairs.pair_counts(_detect(spark, d).active), "customer")
+
+
 @register("pair_stats", f"{PAIR}, n_trips, n_ghost, volume_cohort, {_STATS}, trip_count_percentile, volume_score, is_extreme_volume, concentration_score, raw_concentration, expected_concentration, concentration_gap, support_factor", "pairs", doubles=_STATS)
 def _(spark, d):
     return _detect(spark, d).scored

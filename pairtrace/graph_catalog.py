@@ -290,6 +290,15 @@ def _(spark, d):
     return pg.pair_history(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
 
 
+_OF = lambda d: f"SELECT customer_id FROM active WHERE driver_id = '{d}'"
+
+
+@register("customer_sets", "side, customer_id", f"""(SELECT 'shared' AS side, * FROM ({_OF('D1')} INTERSECT {_OF('D2')}) UNION ALL SELECT 'only_first', * FROM ({_OF('D1')} EXCEPT {_OF('D2')})
+      UNION ALL SELECT 'only_second', * FROM ({_OF('D2')} EXCEPT {_OF('D1')}))""")
+def _(spark, d):
+    return pg.customer_sets(_detect(spark, d).active, "D1", "D2")
+
+
 @register("compared_orders", "first, second, side, customer_id, driver_id, order_id", """(WITH q(first, second) AS (VALUES ('D1', 'D2'), ('D2', 'D3'), ('R25', 'D1')),
       sides AS (SELECT first, second, customer_id, bool_or(driver_id = first) AS f, bool_or(driver_id = second) AS s FROM q JOIN active ON driver_id IN (first, second) GROUP BY ALL)
       SELECT DISTINCT first, second, CASE WHEN f AND s THEN 'shared' WHEN f THEN 'only_first' ELSE 'only_second' END AS side, customer_id, a.driver_id, a.order_id

@@ -23,7 +23,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
     moved = _toward_minimum(both, F.col("v") > F.col("u"))
-    return moved.select(F.col("v").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+    # At most as many rows as edges; the small star that follows drops the repeated ones.
+    return moved.select(F.col("v").alias("a"), F.col("low").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -195,6 +195,13 @@ def compare_drivers(orders: DataFrame, first: str, second: str) -> DataFrame:
     return rows.withColumn("side", side)
 
 
+def customer_sets(orders: DataFrame, first: str, second: str) -> DataFrame:
+    """(side, customer_id): the intersection of two drivers' customers, and both differences."""
+    one, two = (orders.filter(F.col("driver_id") == d).select("customer_id") for d in (first, second))
+    named = lambda side, df: df.select(F.lit(side).alias("side"), "customer_id")
+    return named("shared", one.intersect(two)).unionAll(named("only_first", one.subtract(two))).unionAll(named("only_second", two.subtract(one)))
+
+
 def compared_orders(orders: DataFrame, pairs: DataFrame) -> DataFrame:
     """For each (first, second) of drivers, the orders of both with their side: shared, only_first or only_second customers.
 
