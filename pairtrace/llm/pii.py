@@ -8,7 +8,10 @@ documents. Only values that pass their format's own check are touched. DataFrame
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
@@ -23,8 +26,8 @@ SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
 PHONE = (
     r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{3}\)?[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-    r"|(?<![0-9.\-])[0-9]{3}([.\-])[0-9]{3}\1[0-9]{4}(?![0-9.\-])"
-).replace(r"([.\-])", r"[.\-]").replace(r"\1", r"[.\-]")
+    r"|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9.\-])"
+)
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])"
 ANY = "|".join((EMAIL, IBAN, SECRET, DATE, IPV4, SSN, PHONE, CARD))
 
@@ -120,9 +123,16 @@ def _card(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
+    """Ten digits behind a country code. Without one, or behind 1, area and exchange begin with 2 to 9 and go on doing so."""
+
     def make(d: Column) -> Column:
         head = F.length(d) - 10
-        return _refill(value, F.concat(F.substring(d, F.lit(1), head), permute_digits(key, "phone", F.substring(d, head + 1, F.lit(10)))))
+        code, area, exchange, line = F.substring(d, F.lit(1), head), *[F.substring(d, head + at, F.lit(n)).cast("long") for at, n in ((1, 3), (4, 3), (7, 4))]
+        out = feistel(key, "phone", (area - 200) * 800 + exchange - 200, line, F.lit(640_000).cast("long"), F.lit(10_000).cast("long"))
+        spell = lambda o: F.concat(code, F.format_string("%03d%03d%04d", F.floor(o["l"] / 800) + 200, o["l"] % 800 + 200, o["r"]))
+        plain = F.concat(code, permute_digits(key, "phone", F.substring(d, head + 1, F.lit(10))))
+        made = F.when(~code.isin("", "1"), plain).when((area >= 200) & (exchange >= 200), _named(out, spell))
+        return F.when(made.isNotNull(), _refill(value, made))
 
     return _named(_digits(value), make)
 
@@ -185,10 +195,20 @@ def _secret(key: str, value: Column) -> Column:
 
 def _email(key: str, value: Column) -> Column:
     """A keyed name at a reserved domain."""
-    made = F.substring(F.sha2(F.concat(F.lit(f"{key}:email:"), F.lower(value)).cast("binary"), 256), 1, 12)
+    made = F.substring(F.sha2(F.concat(F.lit(f"{key}:email:"), F.lower(value)).cast("binary"), 256), 1, 32)
     return F.concat(F.lit("user-"), made, F.lit("@example.invalid"))
 
 
+@lru_cache(1)
+def _throwaway_key() -> str:
+    return secrets.token_hex(32)
+
+
+def configured_key(spark: SparkSession) -> str:
+    """The session's spark.pairtrace.pii.key; where it is not set, a random key of this process, whose pseudonyms link within it only."""
+    return spark.conf.get("spark.pairtrace.pii.key", None) or _throwaway_key()
+
+
 KINDS = (
     ("email", EMAIL, _email), ("iban", IBAN, _iban), ("secret", SECRET, _secret), ("date", DATE, _date),
     ("ip", IPV4, _ip), ("ssn", SSN, _ssn), ("phone", PHONE, _phone), ("card", CARD, _card),
@@ -206,15 +226,21 @@ def pseudonym(value: Column, key: str) -> Column:
     return out
 
 
-def pseudonymize(docs: DataFrame, key: str = "pairtrace", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, text, n_values long, kinds (sorted, distinct) for every row, over whole texts.
 
-    Validated card numbers (Luhn), account numbers (mod 97), phone numbers, social security
-    numbers, IPv4 addresses and dates of 1900 to 2100 are permuted within their format; email
-    addresses and hexadecimal secrets get keyed names. Numbers that fail their check stay. A
-    null text stays null with 0 values; empty texts stay empty; other columns are ignored and
-    repeated rows kept. No shuffle: each text is rebuilt in place.
+    Validated card numbers (Luhn), account numbers (mod 97), phone numbers (numbering plan),
+    social security numbers, IPv4 addresses and dates of 1900 to 2100 are permuted within their
+    format; email addresses and hexadecimal secrets get keyed names. Numbers that fail their
+    check stay. A null text stays null with 0 values; empty texts stay empty; null and repeated
+    ids and rows are kept; other columns are ignored, whatever their names; an empty table gives
+    no rows. No shuffle: each text is rebuilt in place.
+
+    ``key`` is a secret of 16 characters or more: who knows it can turn permuted values back. It
+    is part of the query's plan, so event logs and explained plans have to be kept like the key.
     """
+    if len(key) < 16:
+        raise ValueError("the key needs 16 characters or more")
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.when(text.rlike("[0-9]|@"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("found"))
     made = F.transform("found", lambda v: F.struct(v.alias("value"), pseudonym(v, key).alias("new")))

@@ -26,7 +26,7 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(_table(spark, sf_dir, "documents"))
+    return pii.pseudonymize(_table(spark, sf_dir, "documents"), pii.configured_key(spark))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +56,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches of op2's index: where an item's rarest terms stand near their distance."""
+    return decontam.proximity_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_decontamination, op3_exact_topk, op4_pii, op5_suffix_dedup,
-        op6_sharding, op7_toxicity, op8_line_dedup, op9_simhash, op10_bpe,
+        op6_sharding, op7_toxicity, op8_line_dedup, op9_simhash, op10_bpe, benchmark_proximity,
     )
 }
 
