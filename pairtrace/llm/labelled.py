@@ -11,6 +11,11 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus)).cast("int")
 
 
+def held_out(id_col: str, modulus: int, held: int) -> Column:
+    """True where the remainder is ``held``; a null id is not held out, nor is it ever learned from."""
+    return F.coalesce(remainder(id_col, modulus) == held, F.lit(False))
+
+
 def label_table(labels: DataFrame, label_col: str) -> DataFrame:
     """One row per id: ``(id long, label int)``; null ids or labels go, the largest of repeated labels stays."""
     rows = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))

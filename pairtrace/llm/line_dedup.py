@@ -34,12 +34,16 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST_PAGES
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
-    """``docs`` with boilerplate lines removed from the text, and n_lines, n_dropped.
+    """``docs`` with boilerplate lines removed from the text, and n_lines, n_dropped in place of any columns of these names.
 
     Lines end at a line feed; a line is compared without outer blanks and blank lines always
     stay. Null hosts form one host. A null text stays null with no lines; an empty text is one
-    blank line. Kept lines are joined by line feeds as they were. All columns and rows stay.
+    blank line. Kept lines are joined by line feeds as they were. All other columns and all rows stay, repeated
+    ones too, whatever their ids; an empty table gives no rows. A host of fewer than ``least``
+    pages loses nothing. A line is sought among at most 1/ratio times the mean number of lines
+    of its host's pages.
     """
+    docs = docs.drop("n_lines", "n_dropped")
     lines = F.split(F.col(text_col).cast("string"), "\n", -1)
     pages = docs.select(F.col(host_col).alias("host"), lines.alias("lines")).filter("lines is not null")
     bad = materialize(boilerplate(pages, ratio, least), "boilerplate-lines")
@@ -49,7 +53,7 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     else:  # a hot host is dealt to 64 salted keys
         salts = 64
         salted = per_host.withColumnRenamed("host", "__host").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = docs.withColumn("__s", (F.rand(7) * salts).cast("int")).join(
+        joined = docs.withColumn("__s", F.pmod(F.xxhash64(F.lit(7), text_col), F.lit(salts)).cast("int")).join(
             salted, F.col(host_col).eqNullSafe(F.col("__host")) & (F.col("__s") == F.col("__salt")), "left"
         ).drop("__s", "__salt")
     drops = lambda x: (F.trim(x) != "") & F.array_contains("__bad", F.xxhash64(F.trim(x)))

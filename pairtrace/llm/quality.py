@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairtrace.llm.labelled import join_texts, label_table, lowest_hashes, remainder
+from pairtrace.llm.labelled import held_out, join_texts, label_table, lowest_hashes, remainder
 
 STATISTICS = (
     "log_bytes", "log_words", "log_lines", "mean_word", "sd_word", "upper", "digit", "symbol", "space", "high_byte",
@@ -166,10 +166,13 @@ def score_quality(docs: DataFrame, trees: Trees, text_col: str = "text", into: s
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``; labels, lang, source and id never enter a score.
 
-    Without usable labels every score is 0.5. Repeated ids keep their rows; other columns are ignored.
+    Without usable labels every score is 0.5. Null and empty texts are scored like any other, and
+    texts of any length in whole. Repeated and null ids keep their rows (a null id is not held
+    out); of repeated labels the largest counts; other columns are ignored, whatever their names;
+    an empty table gives no rows.
     """
     trees = train(docs, labels)
     scored = score_quality(docs.select("doc_id", F.col("text").cast("string").alias("text")), trees)
     return scored.select(
-        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= threshold).cast("int").alias("predicted")
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= threshold).cast("int").alias("predicted")
     )

@@ -1,8 +1,9 @@
 """Sharding by sampled splitters: size-weighted key samples, quantile ranges, exact placement.
 
 Records are ordered by (hash of the text, doc_id), so equal texts are neighbours. Quantiles of a
-size-weighted sample cut that order into many ranges; a range that turns out overfull is cut
-again from a denser sample of it. Byte totals per range then place every record exactly.
+sample, weighted by bytes and by rows alike, cut that order into many ranges; a range that turns
+out overfull of either is cut again from a denser sample of it. Byte totals per range then place
+every record exactly.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
 
-SHARDS, RANGES_PER_SHARD, SAMPLES_PER_RANGE = 16, 8, 40
+#: Ranges: RANGES_PER_SHARD for each shard, and more where they would hold over ROWS_PER_RANGE rows.
+SHARDS, RANGES_PER_SHARD, ROWS_PER_RANGE, SAMPLES_PER_RANGE = 16, 8, 4_000_000, 40
+#: A group of equal texts of more than this part of a shard's bytes is divided between shards.
+HEAVY_PART = 1 / 16
 
 
 def _quantiles(keys: list[tuple[int, int]], parts: int) -> list[tuple[int, int]]:
@@ -22,11 +26,11 @@ def _quantiles(keys: list[tuple[int, int]], parts: int) -> list[tuple[int, int]]
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
-def _sample(records: DataFrame, wanted: float, total: float, salt: int) -> list[tuple[int, int]]:
-    """About ``wanted`` keys, each record drawn with a chance in proportion to its size (at most 1)."""
-    draw = F.pmod(F.xxhash64(F.lit(salt), "key", "tie"), F.lit(1 << 30)) / float(1 << 30)
-    rows = records.filter(draw < F.col("size") * (wanted / max(total, 1))).select("key", "tie").collect()
-    return [(r.key, r.tie) for r in rows]
+def _sample(records: DataFrame, wanted: float, total: float, rows: float, salt: int) -> list[tuple[int, int]]:
+    """About ``wanted`` keys, half of them drawn in proportion to bytes and half to rows (a chance of 1 at most)."""
+    draw = F.pmod(F.xxhash64(F.lit(salt), "key", "tie", "size"), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.col("size") * (wanted / 2 / max(total, 1)) + wanted / 2 / max(rows, 1)
+    return [(r.key, r.tie) for r in records.filter(draw < chance).select("key", "tie").collect()]
 
 
 def _with_range(records: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
@@ -46,14 +50,16 @@ def _with_range(records: DataFrame, splitters: list[tuple[int, int]]) -> DataFra
     return records.withColumn("part", place("key", "tie") if splitters else F.lit(0))
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", heavy_part: float = HEAVY_PART, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """id, size, text_crc32, law, shard, slot, grown_shard for every row; shard sizes are near equal.
 
     Size is the text's UTF-8 bytes (null: none) plus 1. Equal texts stay together in one shard,
-    next to each other, unless they fill over a sixteenth of a shard's share: such a group is
+    next to each other, unless they fill over ``heavy_part`` of a shard's share: such a group is
     subdivided by id. ``slot`` numbers a shard's rows from 0 without gaps, in that order. A null
-    id sorts as the least id; repeated rows each get a slot; an empty table gives no rows.
-    Driver-side data are the splitters and totals of ``shards * RANGES_PER_SHARD`` ranges.
+    id sorts as the least id and stays null; repeated rows each get a slot; further columns may
+    have any name; an empty table gives no rows. Driver-side data are the splitters, a sample of
+    40 keys a range and the totals of the ranges, of which there are 128 at least and one for
+    each ``rows_per_range`` rows.
     """
     text = F.col(text_col).cast("string")
     records = docs.select(
@@ -63,39 +69,43 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
         F.xxhash64(text).alias("key"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("tie"),
     )
+    spark = docs.sparkSession
     records = materialize(records, "shard-records")
-    total = records.agg(F.sum("size")).first()[0] or 0
-    ranges = shards * RANGES_PER_SHARD
-    splitters = _quantiles(_sample(records, ranges * SAMPLES_PER_RANGE, total, 1), ranges)
-    sizes = {r.part: r.s for r in _with_range(records, splitters).groupBy("part").agg(F.sum("size").alias("s")).collect()}
-    overfull = {p: s for p, s in sizes.items() if s > 2 * total / ranges}
-    if overfull:  # at most ranges / 2 of them
-        inside = _with_range(records, splitters).filter(F.col("part").isin(list(overfull)))
-        splitters = sorted({*splitters, *_quantiles(_sample(inside, ranges * SAMPLES_PER_RANGE, sum(overfull.values()), 2), 2 * ranges)})
-
-    # Groups over a sixteenth of a shard: fewer than 16 * shards of them.
-    groups = records.groupBy("key").agg(F.sum("size").alias("s"))
-    heavy = [r.key for r in groups.filter(F.col("s") > total / (16 * shards)).collect()]
-    splitters = sorted({(k, t) if k in set(heavy) else (k, -(1 << 63)) for k, t in splitters})
-    placed = materialize(_with_range(records, splitters).withColumn("heavy", F.col("key").isin(heavy) if heavy else F.lit(False)), "shard-ranges")
+    total, rows = records.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    ranges = max(shards * RANGES_PER_SHARD, -(-rows // rows_per_range))
+    splitters = _quantiles(_sample(records, ranges * SAMPLES_PER_RANGE, total, rows, 1), ranges)
+    found = _with_range(records, splitters).groupBy("part").agg(F.sum("size").alias("s"), F.count("*").alias("c")).collect()
+    overfull = [r for r in found if r.s > 2 * total / ranges or r.c > 2 * rows / ranges]
+    if overfull:  # at most ``ranges`` of them
+        inside = _with_range(records, splitters).join(F.broadcast(spark.createDataFrame([(r.part,) for r in overfull], "part int")), "part", "left_semi")
+        again = _sample(inside, ranges * SAMPLES_PER_RANGE, sum(r.s for r in overfull), sum(r.c for r in overfull), 2)
+        splitters = sorted({*splitters, *_quantiles(again, 2 * ranges)})
+
+    # Large groups, of which there are few: of bytes, which are divided between shards, and of rows, which are only divided between ranges.
+    groups = records.groupBy("key").agg(F.sum("size").alias("s"), F.count("*").alias("c"))
+    by_bytes = F.col("s") > total * heavy_part / shards
+    large = {r.key: r.heavy for r in groups.filter(by_bytes | (F.col("c") > rows / ranges)).select("key", by_bytes.alias("heavy")).collect()}
+    splitters = sorted({(k, t) if k in large else (k, -(1 << 63)) for k, t in splitters})
+    named = F.broadcast(spark.createDataFrame(list(large.items()), "key long, heavy boolean"))
+    placed = materialize(_with_range(records, splitters).join(named, "key", "left"), "shard-ranges")
     totals = dict(placed.groupBy("part").agg(F.sum("size")).collect())
     start, base = 0, []
     for p in range(len(splitters) + 1):
-        base.append(start)
+        base.append((p, start))
         start += totals.get(p, 0)
-    bases = F.array(*[F.lit(b).cast("long") for b in base])
 
     order = Window.partitionBy("part").orderBy("key", "tie", "size", "text_crc32")
     group = Window.partitionBy("part", "key")
-    before = F.element_at(bases, F.col("part") + 1) + F.col("run") - F.col("size")
-    middle = F.when(F.col("heavy"), F.col("before") + F.col("size") / 2).otherwise(F.col("group_start") + F.col("group_size") / 2)
-    sharded = (
-        placed.withColumn("run", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("before", before)
-        .withColumn("group_start", F.min("before").over(group))
-        .withColumn("group_size", F.sum("size").over(group))
-        .withColumn("shard", F.least(F.floor(middle * shards / max(total, 1)), F.lit(shards - 1)).cast("int"))
-    )
+    run = placed.join(F.broadcast(spark.createDataFrame(base, "part int, base long")), "part").withColumn("run", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    run = run.withColumn("before", F.col("base") + F.col("run") - F.col("size"))
+    run = run.withColumns({"group_start": F.min("before").over(group), "group_size": F.sum("size").over(group)})
+    run = materialize(run.select("id", "size", "text_crc32", "key", "tie", "part", "heavy", "before", "group_start", "group_size"), "shard-runs")
+    # A group of many rows and few bytes lies in several ranges; its first place and its size are those of all of them.
+    wide = run.filter("NOT heavy").groupBy("key").agg(F.min("before").alias("whole_start"), F.sum("size").alias("whole_size"))
+    run = run.join(F.broadcast(wide), "key", "left")
+    whole = F.coalesce("whole_start", "group_start") + F.coalesce("whole_size", "group_size") / 2
+    middle = F.when(F.col("heavy"), F.col("before") + F.col("size") / 2).otherwise(whole)
+    sharded = run.withColumn("shard", F.least(F.floor(middle * shards / max(total, 1)), F.lit(shards - 1)).cast("int"))
     sharded = materialize(
         sharded.withColumn("n", F.row_number().over(Window.partitionBy("part", "shard").orderBy("key", "tie", "size", "text_crc32"))).select(
             "id", "size", "text_crc32", "part", "shard", "n"
@@ -107,7 +117,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
     for shard, part in sorted(counts):
         offsets.append((shard, part, running.get(shard, 0)))
         running[shard] = running.get(shard, 0) + counts[shard, part]
-    table = docs.sparkSession.createDataFrame(offsets, "shard int, part int, first long")  # a row for each range and shard it meets
+    table = spark.createDataFrame(offsets, "shard int, part int, first long")  # a row for each range and shard it meets
     return sharded.join(F.broadcast(table), ["shard", "part"]).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("first") + F.col("n") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairtrace.llm.labelled import join_texts, label_table, lowest_hashes, remainder
+from pairtrace.llm.labelled import held_out, join_texts, label_table, lowest_hashes, remainder
 
 BITS = 20
-#: Bounds of the fitting sample, in rows.
+#: Bounds of the fitting sample, in rows of the label table.
 POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 8_000
 #: Bytes of the word beginnings that are features beside the whole word.
 BEGINNINGS = (3, 4, 5)
@@ -72,6 +72,21 @@ class WordModel:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def risk_parts(z: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float, float]:
+    """Risk of the positives, and of the negatives as estimated from unlabelled less positive rows; the second may be negative."""
+    plus, minus = np.logaddexp(0, -z), np.logaddexp(0, z)  # losses of a row that is positive and of one that is negative
+    return float(prior * plus[is_p].mean()), float(minus[~is_p].mean() - prior * minus[is_p].mean())
+
+
+def risk_gradient(z: np.ndarray, is_p: np.ndarray, prior: float) -> np.ndarray:
+    """By each margin: of both parts' sum, or, where the second part is negative, the reversed one of that part alone."""
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    n_p, n_u = is_p.sum(), (~is_p).sum()
+    plus = np.where(is_p, prior * (p - 1) / n_p, 0)
+    minus = np.where(is_p, -prior * p / n_p, p / n_u)
+    return plus + minus if risk_parts(z, is_p, prior)[1] >= 0 else -minus
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 200, rate: float = 0.1, shrink: float = 2e-3, apart: float = 0.01, sigmas: float = 5.0) -> WordModel:
     """Full-batch Adam on the non-negative risk over codes whose shares in the two samples differ by ``apart`` and beyond chance.
 
@@ -99,12 +114,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     m, v = np.zeros(code.size + 1), np.zeros(code.size + 1)
     for t in range(1, rounds + 1):
         z = np.bincount(row, w[cell], len(lens)) + b
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        neg = np.logaddexp(0, z)  # loss of calling it negative
-        inside = neg[~is_p].mean() - prior * neg[is_p].mean()
-        plus = np.where(is_p, prior * (p - 1) / n_p, 0)
-        minus = np.where(is_p, -prior * p / n_p, p / n_u)
-        g = plus + minus if inside >= 0 else -minus
+        g = risk_gradient(z, is_p, prior)
         grad = np.r_[np.bincount(cell, g[row], code.size), g.sum()]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
@@ -117,15 +127,15 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", modulus: int = 4, held: int = 2, positives: int = POSITIVE_ROWS, unlabelled: int = UNLABELLED_ROWS, text_col: str = "text") -> WordModel:
     """Model from at most ``positives`` confirmed toxic rows and ``unlabelled`` rows, none of them held out.
 
-    The class prior is the share of label 1 over all usable labels. Only hashed word codes of
-    the two bounded samples reach the driver.
+    Both samples are of rows of the label table; the second is drawn without a look at the label,
+    so it stands for unlabelled text. The class prior is the share of label 1 over all usable
+    labels. Only hashed word codes of the two bounded samples reach the driver.
     """
     known = label_table(labels, label_col).filter(remainder("id", modulus) != held)
     share = known.agg(F.avg((F.col("label") > 0).cast("double"))).first()[0]
-    ids = docs.select(F.col("doc_id").cast("long").alias("id")).filter(F.col("id").isNotNull()).filter(remainder("id", modulus) != held)
     parts = [
         lowest_hashes(known.filter("label > 0").select("id"), positives, 23).withColumn("kind", F.lit(1)),
-        lowest_hashes(ids.distinct(), unlabelled, 29).withColumn("kind", F.lit(0)),
+        lowest_hashes(known.select("id"), unlabelled, 29).withColumn("kind", F.lit(0)),
     ]
 
     def run(batches):
@@ -157,9 +167,15 @@ def score_toxicity(docs: DataFrame, model: WordModel, text_col: str = "text") ->
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; labels, lang, source and id never enter a score."""
+    """doc_id, held_out, score, predicted for every row; labels, lang, source and id never enter a score.
+
+    Without confirmed toxic rows every score is the prior (0.5 where no label is usable). Null
+    and empty texts get the model's bias; texts of any length are scored in whole. Repeated and
+    null ids keep their rows (a null id is not held out); of repeated labels the largest counts;
+    other columns are ignored, whatever their names; an empty table gives no rows.
+    """
     model = train(docs, labels)
     scored = score_toxicity(docs.select("doc_id", F.col("text").cast("string").alias("text")), model)
     return scored.select(
-        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= threshold).cast("int").alias("predicted")
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= threshold).cast("int").alias("predicted")
     )
