@@ -1,9 +1,11 @@
 """Benchmark decontamination by a positional inverted index of the training texts.
 
-Test windows are looked up by their rarest terms: term frequencies come from all training
-tokens, postings (term, document, position) are stored for the two rarest terms of each window
-only, and their lists are intersected after adjusting each position by the term's offset in
-the test item. Surviving alignments are compared word by word. DataFrame functions only.
+The training texts are cut into words once and stored with their positions. Test windows are
+looked up by their rarest terms: term frequencies come from all training tokens, postings
+(term, document, position) of the two rarest terms of each window are stored, and their lists
+are intersected after adjusting each position by the term's offset. Windows that share their
+rarest terms form a segment, and equal segments of all items are one, so a question frame or a
+repeated phrase is looked up once. What is left is compared word by word. Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from pairtrace.llm.rows import text_mark
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, RAREST = 10, 2
-#: Test-side tables up to so many rows, and alignments up to so many words, are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS, BROADCAST_WORDS = 500_000, 2_000_000
+#: Tables of up to so many bytes, spelled as JSON, are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 8 << 20
 
 
 def words(text: str) -> Column:
@@ -37,20 +39,28 @@ def test_passages(items: DataFrame, id_col: str = "item_id", text_col: str = "te
     return materialize(rows.select(F.monotonically_increasing_id().alias("passage"), "words", "items"), "test-passages")
 
 
-def _beside(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join with a materialised table, broadcast after its rows are counted."""
-    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+def _beside(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join with a materialised table, broadcast after its bytes are counted."""
+    spelled = F.octet_length(F.to_json(F.struct(*small.columns))).cast("long")
+    weight = small.agg(F.coalesce(F.sum(spelled), F.lit(0))).first()[0]
+    return big.join(F.broadcast(small) if weight <= BROADCAST_BYTES else small, on, how)
+
+
+def token_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored words of the training texts: id, twin (a hash of the text, which tells rows of one id apart), words in order."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    rows = docs.select(key.alias("id"), text_mark(text_col).alias("twin"), words(text_col).alias("words"))
+    return materialize(rows, "tokens")
 
 
 def term_frequencies(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Occurrences in all training texts of each term of ``vocabulary``; counted map-side first."""
-    if vocabulary.count() <= BROADCAST_ROWS:
-        return tokens.join(F.broadcast(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
-    return tokens.groupBy("term").agg(F.count("*").alias("n")).join(vocabulary, "term", "left_semi")
+    """(term, n): occurrences in all training texts of each term of ``vocabulary``; counted map-side first."""
+    terms = tokens.select(F.explode("words").alias("term"))
+    return _beside(terms, vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def _rarest(passages: DataFrame, frequencies: DataFrame, window: int) -> DataFrame:
-    """(passage, terms) for each window: its rarest terms, as (n, offset, term); windows with a term unseen in training are left out."""
+    """(passage, start, wide, terms) for each window: its rarest terms, as (n, offset, term); windows with a term unseen in training are left out."""
     places = passages.select("passage", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term"))
     places = places.join(frequencies, "term")
     wide = F.least(F.lit(window), F.col("size"))
@@ -58,122 +68,122 @@ def _rarest(passages: DataFrame, frequencies: DataFrame, window: int) -> DataFra
     per_window = places.withColumn("start", F.explode(starts)).groupBy("passage", "start", wide.alias("wide")).agg(
         F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("terms")
     )
-    return per_window.filter(F.size("terms") == F.col("wide")).select("passage", F.slice("terms", 1, RAREST).alias("terms"))
-
+    return per_window.filter(F.size("terms") == F.col("wide")).withColumn("terms", F.slice("terms", 1, RAREST))
 
-def rarest_terms(passages: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(passage, offset, term) of the rarest terms of each window whose terms were all seen in training."""
-    picked = _rarest(passages, frequencies, window).select("passage", F.explode("terms").alias("t"))
-    return picked.select("passage", F.col("t.offset").alias("offset"), F.col("t.term").alias("term")).distinct()
 
+def segments(passages: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Distinct runs of windows with the same rarest terms: segment, span (its words), wide (words of a window), items, terms (offset, term).
 
-def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
-    """Stored index: (term, id, twin, position) for every occurrence of ``terms`` in the training texts."""
-    return materialize(_beside(tokens, terms, "term", "left_semi"), "postings")
+    The windows of a passage that share their rarest places are neighbours. A span longer than
+    ``wide`` holds several windows. Equal spans of all passages are one segment with all their items.
+    """
+    rarest = _rarest(passages, frequencies, window)
+    runs = rarest.groupBy("passage", "wide", F.transform("terms", lambda t: t["offset"]).alias("places")).agg(
+        F.min("start").alias("low"), F.count("*").alias("windows"), F.min("terms").alias("terms")
+    )
+    span = F.slice("words", F.col("low") + 1, (F.col("wide") + F.col("windows") - 1).cast("int"))
+    terms = F.transform("terms", lambda t: F.struct((t["offset"] - F.col("low")).alias("offset"), t["term"].alias("term")))
+    spans = runs.join(passages, "passage").select(span.alias("span"), "wide", terms.alias("terms"), F.explode("items").alias("item"))
+    rows = spans.groupBy("span", "wide", "terms").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return materialize(rows.select(F.monotonically_increasing_id().alias("segment"), "span", "wide", "items", "terms"), "segments")
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, twin (a hash of the text, which tells rows of one id apart) and text."""
-    text = F.col(text_col).cast("string")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), text_mark(text_col).alias("twin"), text.alias("text"))
+def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    """Stored index: (id, twin, position, term) for every occurrence of ``terms`` in the training texts."""
+    rows = tokens.select("id", "twin", F.posexplode("words").alias("position", "term"))
+    return materialize(_beside(rows, terms, "term", "left_semi"), "postings")
 
 
-def _tokens(source: DataFrame) -> DataFrame:
-    return source.select("id", "twin", F.posexplode(words("text")).alias("position", "term"))
+def _hits(tokens: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(segments, hits): hits (id, twin, segment, bit, position, at) put the segment's first word on document word ``at``, by its rarest term number ``bit``."""
+    passages = test_passages(items)
+    vocabulary = materialize(passages.select(F.explode("words").alias("term")).distinct(), "test-terms")
+    frequencies = materialize(term_frequencies(tokens, vocabulary), "term-frequencies")
+    made = segments(passages, frequencies, window)
+    anchors = materialize(made.select("segment", F.posexplode(F.col("terms").cast("array<struct<offset:int,term:string>>")).alias("bit", "t")).select("segment", "bit", "t.*"), "rarest-terms")
+    index = postings(tokens, materialize(anchors.select("term").distinct(), "anchor-terms"))
+    return made, _beside(index, anchors, "term").select("id", "twin", "segment", "bit", "position", (F.col("position") - F.col("offset")).alias("at"))
 
 
-def alignments(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"):
-    """(passages, candidates): candidates (id, twin, passage, shift) put item word i on document word i + shift.
+def alignments(tokens: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(segments, candidates): candidates (id, twin, segment, ats) list where a segment's first word may stand in a text.
 
-    Every true window is among them, as both its rarest terms are then posted with that shift.
+    Every true window is among them, as all its rarest terms are then posted with that ``at``.
     """
-    source = _documents(docs, id_col, text_col)
-    passages = test_passages(items)
-    vocabulary = materialize(passages.select(F.explode("words").alias("term")).distinct(), "test-terms")
-    frequencies = materialize(term_frequencies(_tokens(source).select("term"), vocabulary), "term-frequencies")
-    anchors = materialize(rarest_terms(passages, frequencies, window), "rarest-terms")
-    index = postings(_tokens(source), materialize(anchors.select("term").distinct(), "anchor-terms"))
-    hits = _beside(index.dropDuplicates(["id", "twin", "position"]), anchors, "term").withColumn("shift", F.col("position") - F.col("offset"))
-    both = hits.groupBy("id", "twin", "passage", "shift").agg(F.count("*").alias("n"))
-    need = passages.select("passage", F.least(F.lit(RAREST), F.size("words"), F.lit(window)).alias("need"))
-    return passages, _beside(both, need, "passage").filter("n >= need").select("id", "twin", "passage", "shift")
+    made, hits = _hits(tokens, items, window)
+    power = lambda n: F.pow(F.lit(2), n).cast("int")
+    met = hits.groupBy("id", "twin", "segment", "at").agg(F.bit_or(power(F.col("bit"))).alias("bits"))
+    need = made.select("segment", (power(F.size("terms")) - 1).alias("need"))
+    whole = _beside(met, need, "segment").filter("bits = need")
+    return made, materialize(whole.groupBy("id", "twin", "segment").agg(F.collect_list("at").alias("ats")), "alignments")
+
+
+def _found(tokens: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """(id, twin, n_hit, items, hits) of the texts in which a window occurs, one row each."""
+    made, candidates = alignments(tokens, items, window)
+    parts = _beside(candidates, made.select("segment", "span", "wide", "items"), "segment")
+    per_doc = materialize(parts.groupBy("id", "twin").agg(F.collect_list(F.struct("segment", "span", "wide", "items", "ats")).alias("found")), "aligned-texts")
+    rows = _beside(tokens.select("id", "twin", "words"), per_doc, ["id", "twin"])
+    word = F.get  # null beyond either end
 
+    def starts(c: Column) -> Column:
+        """Document positions where a window of the segment begins."""
+        equal = lambda p, j: F.forall(F.sequence(F.lit(0), c["wide"] - 1), lambda k: F.coalesce(word(F.col("words"), p + k) == word(c["span"], j + k), F.lit(False)))
+        windows = F.sequence(F.lit(0), F.size(c["span"]) - c["wide"])
+        return F.flatten(F.transform(c["ats"], lambda at: F.transform(F.filter(windows, lambda j: equal(at + j, j)), lambda j: at + j)))
+
+    made_hits = F.transform("found", lambda c: F.struct(c["segment"].alias("segment"), c["wide"].alias("wide"), c["items"].alias("items"), starts(c).alias("starts")))
+    rows = materialize(rows.select("id", "twin", F.filter(made_hits, lambda h: F.size(h["starts"]) > 0).alias("hits")), "verified-hits")
+    spans = F.sort_array(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.transform(h["starts"], lambda s: F.struct(s.alias("a"), (s + h["wide"]).alias("b")))))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
+    step = lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], acc["end"]))).cast("long").alias("n"), F.greatest(acc["end"], x["b"]).alias("end"))
+    rows = rows.filter(F.size("hits") > 0).dropDuplicates(["id", "twin"])
+    named = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
+    hits = F.transform("hits", lambda h: F.struct(h["segment"].alias("segment"), h["wide"].alias("wide"), h["starts"].alias("starts")))
+    return rows.select("id", "twin", F.aggregate(spans, start, step, lambda acc: acc["n"]).alias("n_hit"), named.alias("items"), hits.alias("hits"))
 
-def contaminated_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Distinct (id, text_mark) of rows in which a window occurs; only rows with an alignment are read in words again.
 
-    The hits are written before they are filtered, as a filter would be pushed below the words
-    and have them made once more. Edge cases are those of ``find_benchmark_text``.
-    """
-    found = find_benchmark_text(docs, items, window, id_col, text_col, aligned_only=True).select(id_col, "text_mark", "n_hit")
-    return materialize(found, "hit-counts").filter("n_hit > 0").select(id_col, "text_mark").distinct()
+def contaminated_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Distinct (id, text_mark) of rows in which a window occurs. Edge cases are those of ``find_benchmark_text``."""
+    found = _found(token_table(docs, id_col, text_col), items, window)
+    return found.select(F.nullif("id", F.lit(-(1 << 63))).alias(id_col), F.col("twin").alias("text_mark"))
 
 
-def find_benchmark_text(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", aligned_only: bool = False
-) -> DataFrame:
-    """id, n_words, n_hit, items (sorted strings), hits (array of passage, shift, starts), text_mark for every row.
+def find_benchmark_text(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_words, n_hit, items (sorted strings), hits (array of segment, wide, starts), text_mark for every row.
 
     A window is ``window`` consecutive item words; a shorter item with words is one window. A
     document word inside any occurrence of a window is hit. Null and empty texts have no words.
     Items with null id or no words match nothing; equal items are compared once. Rows sharing an
-    id are judged apart by their texts. A null id stays null. Empty tables give no hits or rows.
-    ``aligned_only`` leaves out rows that no window can occur in.
+    id are judged apart by their texts; repeated rows get equal results. A null id stays null,
+    and further columns of either table may have any name. Empty tables give no hits or rows.
+    A text costs its words and one row for each place of a window's rarest terms, however often
+    the words repeat.
     """
-    passages, found = alignments(docs, items, window, id_col, text_col)
-    found = materialize(_beside(found, passages, "passage"), "alignments")
-    per_doc = found.groupBy("id", "twin").agg(F.collect_list(F.struct("passage", "shift", "words", "items")).alias("found"))
-    weight = found.agg(F.coalesce(F.sum(F.size("words") + F.size("items") + 4), F.lit(0))).first()[0]
-    source = _documents(docs, id_col, text_col)
-    rows = source.join(F.broadcast(per_doc) if weight <= BROADCAST_WORDS else per_doc, ["id", "twin"], "inner" if aligned_only else "left")
-    rows = rows.withColumn("d", words("text"))
-    wide = lambda c: F.least(F.lit(window), F.size(c["words"]))
-
-    def starts(c: Column) -> Column:
-        """Document positions where a window of the item begins, under this shift."""
-        low = F.greatest(F.lit(0), c["shift"])
-        high = F.least(F.size(c["words"]) - wide(c) + c["shift"], F.size("d") - wide(c))
-        equal = lambda s: F.slice("d", s + 1, wide(c)) == F.slice(c["words"], s - c["shift"] + 1, wide(c))
-        return F.when(low <= high, F.filter(F.sequence(low, high), equal)).otherwise(F.array().cast("array<int>"))
-
-    hits = F.filter(
-        F.transform("found", lambda c: F.struct(c["passage"].alias("passage"), c["shift"].alias("shift"), wide(c).alias("wide"), c["items"].alias("items"), starts(c).alias("starts"))),
-        lambda h: F.size(h["starts"]) > 0,
-    )
-    rows = rows.withColumn("hits", F.when(F.col("found").isNotNull(), hits))
-    covered = F.array_distinct(F.flatten(F.flatten(F.transform("hits", lambda h: F.transform(h["starts"], lambda s: F.sequence(s, s + h["wide"] - 1))))))
+    tokens = token_table(docs, id_col, text_col)
+    found = materialize(_found(tokens, items, window), "contaminated-texts")
+    rows = _beside(tokens.select("id", "twin", F.size("words").cast("long").alias("n_words")), found, ["id", "twin"], "left")
     return rows.select(
-        F.nullif("id", F.lit(-(1 << 63))).alias(id_col),
-        F.size("d").cast("long").alias("n_words"),
-        F.when(F.col("hits").isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))), F.array().cast("array<string>")).alias("items"),
-        F.transform("hits", lambda h: F.struct(h["passage"].alias("passage"), h["shift"].alias("shift"), h["starts"].alias("starts"))).alias("hits"),
-        F.col("twin").alias("text_mark"),
-    )
+        F.nullif("id", F.lit(-(1 << 63))).alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits", F.col("twin").alias("text_mark"),
+    )
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slack: int = 3, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, item, position, gap): places where a window's two rarest terms stand within ``slack`` words of their distance in the item.
 
     Each hit of a window's term is compared with the last hit of its other term before it, in the
-    order of their shifts, so no group emits all pairs.
+    order in which they place the window, so no group emits all pairs; a word is not its own partner. ``gap`` is 0 where the
+    distance is that of the item, and ``position`` that of the later hit. Windows of one word
+    have no other term. Edge cases are those of ``find_benchmark_text``.
     """
-    source = _documents(docs, id_col, text_col)
-    passages = test_passages(items)
-    vocabulary = passages.select(F.explode("words").alias("term")).distinct()
-    frequencies = materialize(term_frequencies(_tokens(source).select("term"), materialize(vocabulary, "test-terms")), "term-frequencies")
-    ends = F.array_sort(F.transform("terms", lambda t: F.struct(t["offset"].alias("offset"), t["term"].alias("term"))))
-    pairs = _rarest(passages, frequencies, window).filter(F.size("terms") == 2).select("passage", ends.alias("ends")).distinct()
-    low = F.col("ends")[0]["offset"].alias("low")
-    anchors = materialize(pairs.select("passage", low, F.col("ends")[1]["offset"].alias("high"), F.explode("ends").alias("t")).select("passage", "low", "high", "t.*"), "rarest-pairs")
-    index = postings(_tokens(source), materialize(anchors.select("term").distinct(), "anchor-terms"))
-    hits = _beside(index, anchors, "term").withColumn("shift", F.col("position") - F.col("offset"))
-    order = Window.partitionBy("id", "twin", "passage", "low", "high").orderBy("shift", "offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = lambda c: F.last(F.when(F.col("offset") == F.col(c), F.col("shift")), ignorenulls=True).over(order)
-    other = F.when(F.col("offset") == F.col("low"), last("high")).otherwise(last("low"))
-    near = hits.withColumn("last", F.struct(other.alias("shift"))).filter(F.col("shift") - F.col("last.shift") <= slack)
-    near = near.join(passages.select("passage", F.explode("items").alias("item")), "passage")
-    return near.select(F.col("id").alias(id_col), "item", "position", (F.col("shift") - F.col("last.shift")).alias("gap")).distinct()
+    made, hits = _hits(token_table(docs, id_col, text_col), items, window)
+    order = Window.partitionBy("id", "twin", "segment").orderBy("at", "bit", "position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda bit: F.last(F.when(F.col("bit") == bit, F.struct("at", "position")), ignorenulls=True).over(order)
+    near = hits.distinct().withColumn("other", F.when(F.col("bit") == 0, last(1)).otherwise(last(0)))
+    near = near.withColumn("gap", F.col("at") - F.col("other.at")).filter((F.col("gap") <= slack) & (F.col("position") != F.col("other.position")))
+    near = _beside(near, made.select("segment", "items"), "segment")
+    return near.select(F.nullif("id", F.lit(-(1 << 63))).alias(id_col), F.explode("items").alias("item"), "position", "gap").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
