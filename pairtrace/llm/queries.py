@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairtrace.llm import bpe, decontam, line_dedup, pii, quality, sharding, simhash, suffix_dedup, topk, toxicity
+from pairtrace.llm import bpe, conversations, decontam, line_dedup, pii, quality, sharding, simhash, suffix_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The proximity matches of op2's index: where an item's rarest terms stand near their distance."""
     return decontam.proximity_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -65,8 +69,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_decontamination, op3_exact_topk, op4_pii, op5_suffix_dedup,
-        op6_sharding, op7_toxicity, op8_line_dedup, op9_simhash, op10_bpe, benchmark_proximity,
+        op6_sharding, op7_toxicity, op8_line_dedup, op9_simhash, op10_bpe, op11_conversation_repair,
+        benchmark_proximity,
     )
 }
 
-ORACLES = {"op2_decontamination": decontam.ORACLE, "op3_exact_topk": topk.ORACLE, "op8_line_dedup": line_dedup.ORACLE}
+ORACLES = {
+    "op2_decontamination": decontam.ORACLE, "op3_exact_topk": topk.ORACLE, "op8_line_dedup": line_dedup.ORACLE,
+    "op11_conversation_repair": conversations.ORACLE,
+}
