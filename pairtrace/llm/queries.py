@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairtrace.llm import bpe, conversations, decontam, line_dedup, pii, quality, sharding, simhash, spelling, suffix_dedup, topk, toxicity
+from pairtrace.llm import bpe, conversations, decontam, line_dedup, minhash, pii, quality, sharding, simhash, spelling, suffix_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), slips=97)
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.linked_sets(_table(spark, sf_dir, "documents"))
+
+
 def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The proximity matches of op2's index: where an item's rarest terms stand near their distance."""
     return decontam.proximity_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -74,11 +78,12 @@ QUERIES = {
     for f in (
         op1_quality_classifier, op2_decontamination, op3_exact_topk, op4_pii, op5_suffix_dedup,
         op6_sharding, op7_toxicity, op8_line_dedup, op9_simhash, op10_bpe, op11_conversation_repair, op12_spelling_variants,
-        benchmark_proximity,
+        op13_minhash, benchmark_proximity,
     )
 }
 
 ORACLES = {
     "op2_decontamination": decontam.ORACLE, "op3_exact_topk": topk.ORACLE, "op8_line_dedup": line_dedup.ORACLE,
     "op11_conversation_repair": conversations.ORACLE, "op12_spelling_variants": spelling.ORACLE,
+    "op13_minhash": minhash.ORACLE,
 }
