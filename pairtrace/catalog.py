@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pairtrace.functions.expr import np_round
 from pairtrace.functions.shared import changed_at, generation
 from pairtrace.operators import clean, graph, pairs, rules
-from pairtrace.oracle import PAIR, with_steps
+from pairtrace.oracle import PAIR, exact_blend, exact_mean, exact_ratio, exact_sum, with_steps
 from pairtrace.plans.detection import Detection
 from pairtrace.sources.trips import TABLES, trips
 
@@ -161,7 +161,7 @@ def _(spark, d):
     return _detect(spark, d).risk
 
 
-@register("pair_risk_features", f"{PAIR}, gmv_percentile, gap_score, temporal_score, low_value_score, suspected_ghost_score, pair_risk_score, business_impact_score", "risk")
+@register("pair_risk_features", f"{PAIR}, avg_gmv_percentile_by_cohort, gap_score, temporal_score, low_value_farming_score, suspected_ghost_score, pair_risk_score, business_impact_score", "risk")
 def _(spark, d):
     return _detect(spark, d).risk
 
@@ -224,16 +224,16 @@ def _(spark, d):
     return graph.shared_entity_counts(x.entities, x.degrees)
 
 
-@register("graph_features", f"{PAIR}, {_NET}, network_support_score, network_risk_score, fraud_risk_score, investigation_priority", "networked")
+@register("graph_features", f"{PAIR}, {_NET}, network_support_score, network_risk_score, fraud_risk_score, investigation_priority_score", "networked")
 def _(spark, d):
     return _detect(spark, d).networked
 
 
 @register(
     "graph_quality", "window_id, metric, value",
-    """(UNPIVOT (SELECT window_id, count(*)::DOUBLE AS candidate_pairs, count(*)::DOUBLE AS graph_nodes, sum(linked_pair_count)::DOUBLE / 2 AS graph_edges,
+    f"""(UNPIVOT (SELECT window_id, count(*)::DOUBLE AS candidate_pairs, count(*)::DOUBLE AS graph_nodes, sum(linked_pair_count)::DOUBLE / 2 AS graph_edges,
       count(DISTINCT component_id)::DOUBLE AS component_count, max(component_size)::DOUBLE AS largest_component_size, round_even(max(component_size) / count(*), 4) AS largest_component_share,
-      (count(*) FILTER (WHERE linked_pair_count = 0))::DOUBLE AS isolated_pairs, round_even(avg(linked_pair_count), 4) AS avg_linked_pair_count,
+      (count(*) FILTER (WHERE linked_pair_count = 0))::DOUBLE AS isolated_pairs, {exact_mean("linked_pair_count", 4)} AS avg_linked_pair_count,
       round_even(quantile_cont(linked_pair_count, 0.9), 4)::DOUBLE AS p90_linked_pair_count FROM networked GROUP BY window_id) ON COLUMNS(* EXCLUDE window_id) INTO NAME metric VALUE value)""",
     doubles="value",
 )
@@ -244,8 +244,8 @@ def _(spark, d):
 
 @register(
     "graph_signal_summary", "window_id, signal, entities, eligible_entities, filtered_entities, avg_degree, max_degree, avg_rarity, retained_edges",
-    """(SELECT d.*, coalesce(retained_edges, 0) AS retained_edges FROM (SELECT window_id, signal, count(*) AS entities, count(*) FILTER (WHERE eligible) AS eligible_entities,
-      count(*) FILTER (WHERE NOT eligible) AS filtered_entities, round_even(avg(degree), 4) AS avg_degree, max(degree) AS max_degree, round_even(avg(rarity), 4) AS avg_rarity FROM degrees GROUP BY ALL) d
+    f"""(SELECT d.*, coalesce(retained_edges, 0) AS retained_edges FROM (SELECT window_id, signal, count(*) AS entities, count(*) FILTER (WHERE eligible) AS eligible_entities,
+      count(*) FILTER (WHERE NOT eligible) AS filtered_entities, {exact_mean("degree", 4)} AS avg_degree, max(degree) AS max_degree, {exact_mean("rarity", 4)} AS avg_rarity FROM degrees GROUP BY ALL) d
       LEFT JOIN (SELECT window_id, s AS signal, count(*) AS retained_edges FROM (SELECT window_id, unnest(signal_types) AS s FROM edges) GROUP BY ALL) e USING (window_id, signal))""",
 )
 def _(spark, d):
@@ -263,12 +263,12 @@ def _(spark, d):
     return _detect(spark, d).reasons
 
 
-@register("rule_assignment", f"{PAIR}, triggered_rules, reason_codes, business_rule, business_rule_label, business_rule_score", "summary")
+@register("rule_assignment", f"{PAIR}, triggered_business_rules, triggered_reason_codes, business_rule, business_rule_label, business_rule_score", "summary")
 def _(spark, d):
     return _detect(spark, d).pair_summary
 
 
-@register("flagged_orders", f"{PAIR}, order_id, order_date, rule_name, reason_code, risk_tier, priority_score, n_trips, ghost_rate, high_confidence, component_id, gmv, rule_version, merchant_id, pair_ratio, customer_repeat_ratio, pair_orders, triggered_rules, reason_codes, business_rule_score, business_rule_story, flag_reason, trip_threshold, active_days",
+@register("flagged_orders", f"{PAIR}, order_id, order_date, rule_name, reason_code, risk_tier, priority_score, n_trips, ghost_rate, high_confidence, component_id, gmv, rule_version, merchant_id, pair_ratio, customer_repeat_ratio, pair_orders, triggered_business_rules, triggered_reason_codes, business_rule_score, business_rule_story, flag_reason, trip_threshold, active_days",
     "(SELECT *, 'kbc_v2_pair_graph_core' AS rule_version, CAST(NULL AS VARCHAR) AS merchant_id, pair_share_driver AS pair_ratio, pair_share_customer AS customer_repeat_ratio, n_trips AS pair_orders FROM flags)",
     doubles="ghost_rate, gmv, pair_ratio, customer_repeat_ratio, trip_threshold")
 def _(spark, d):
@@ -276,46 +276,56 @@ def _(spark, d):
 
 
 _EVIDENCE = {
-    **dict.fromkeys("ghost_rate pair_share_driver pair_share_customer volume_score raw_concentration support_factor concentration_score temporal_score low_value_score dominant_route_share component_density".split(), 4),
+    **dict.fromkeys("ghost_rate pair_share_driver pair_share_customer volume_score raw_concentration support_factor concentration_score temporal_score low_value_farming_score dominant_route_share component_density".split(), 4),
     **dict.fromkeys("pair_core_score pair_collusion_score suspected_ghost_score pair_risk_score business_rule_score network_support_score network_risk_score business_impact_score fraud_risk_score priority_score".split(), 2),
     "min_gap_min": 3,
 }
-_NAMES = "n_trips n_ghost linked_pair_count supporting_signal_count component_size business_rule business_rule_label triggered_rules reason_codes dominant_route component_id driver_id customer_id high_confidence".split()
+_NAMES = "n_trips n_ghost linked_pair_count supporting_signal_count component_size business_rule business_rule_label triggered_business_rules triggered_reason_codes dominant_route component_id driver_id customer_id high_confidence".split()
 
 
-@register("flag_evidence", f"window_id, order_id, reason_code, {', '.join([*_EVIDENCE, *_NAMES])}, suspected_ghost_rate, investigation_priority",
+@register("flag_evidence", f"window_id, order_id, reason_code, {', '.join([*_EVIDENCE, *_NAMES])}, suspected_ghost_rate, investigation_priority_score",
     f"""(SELECT window_id, order_id, reason_code, {', '.join(f'round_even({c}, {n}) AS {c}' for c, n in _EVIDENCE.items())}, {', '.join(_NAMES)}, round_even(ghost_rate, 4) AS suspected_ghost_rate,
-      round_even(priority_score, 2) AS investigation_priority FROM flags)""")
+      round_even(priority_score, 2) AS investigation_priority_score FROM flags)""")
 def _(spark, d):
     return _detect(spark, d).flags.select("window_id", "order_id", "reason_code", "evidence.*")
 
 
-@register("daily_flag_summary", "domain, order_date, rule_name, flagged_orders, flagged_customers, model_overlap, gmv_at_risk, discount_at_risk",
-    """(SELECT domain, order_date, rule_name, count(*) AS flagged_orders, count(DISTINCT customer_id) AS flagged_customers, 0 AS model_overlap,
-      round_even(sum(gmv), 4) AS gmv_at_risk, round_even(sum(discount), 4) AS discount_at_risk FROM once GROUP BY ALL)""")
+_VALUE = f"coalesce({exact_sum('gmv', 6)}, 0) AS total_gmv, coalesce({exact_sum('discount', 6)}, 0) AS total_discount"
+
+
+def _means(of: dict[str, str]) -> str:
+    return ", ".join(f"{exact_mean(c, 6)} AS {name}" for name, c in of.items())
+
+
+@register("daily_flag_summary", "domain, order_date, rule_name, flagged_orders, flagged_customers, model_overlap_orders, total_gmv, total_discount",
+    f"""(SELECT domain, order_date, rule_name, count(*) AS flagged_orders, count(DISTINCT customer_id) AS flagged_customers, 0 AS model_overlap_orders, {_VALUE} FROM once GROUP BY ALL)""")
 def _(spark, d):
     return rules.daily_flag_summary(_detect(spark, d).flags)
 
 
-@register("rule_comparison", "domain, rule_name, flagged_orders, flagged_customers, avg_priority_score, avg_network_risk_score, avg_pair_risk_score, avg_ghost_rate, model_overlap",
-    """(SELECT domain, rule_name, count(*) AS flagged_orders, count(DISTINCT customer_id) AS flagged_customers, round_even(avg(priority_score), 4) AS avg_priority_score,
-      round_even(avg(network_risk_score), 4) AS avg_network_risk_score, round_even(avg(pair_risk_score), 4) AS avg_pair_risk_score, round_even(avg(ghost_rate), 4) AS avg_ghost_rate, 0 AS model_overlap FROM once GROUP BY ALL)""")
+@register("rule_comparison", "domain, rule_name, flagged_orders, flagged_customers, avg_priority_score, avg_network_support_score, avg_pair_risk_score, avg_ghost_score, model_overlap_orders, model_overlap_rate",
+    f"""(SELECT domain, rule_name, count(*) AS flagged_orders, count(DISTINCT customer_id) AS flagged_customers, {_means({"avg_priority_score": "priority_score", "avg_network_support_score": "network_support_score",
+      "avg_pair_risk_score": "pair_risk_score", "avg_ghost_score": "suspected_ghost_score"})}, 0 AS model_overlap_orders, CAST(0 AS DOUBLE) AS model_overlap_rate FROM once GROUP BY ALL)""")
 def _(spark, d):
     return rules.rule_comparison(_detect(spark, d).flags)
 
 
-@register("priority_recommendations", "domain, rule_name, flagged_orders, high_confidence_orders, gmv_at_risk, priority_score",
-    """(SELECT domain, rule_name, count(*) AS flagged_orders, count(*) FILTER (WHERE high_confidence) AS high_confidence_orders, round_even(sum(gmv), 4) AS gmv_at_risk,
-      round_even(0.35 * avg(pair_risk_score) + 0.15 * avg(network_risk_score) + 0.20 * avg(business_impact_score) + 0.30 * avg(ghost_rate), 2) AS priority_score FROM once GROUP BY ALL)""")
+@register("priority_recommendations", "domain, rule_name, flagged_orders, high_confidence_orders, total_discount, total_gmv, avg_pair_core_score, avg_network_support_score, avg_pair_risk_score, avg_ghost_score, avg_business_impact_score, priority_score, recommendation, model_overlap_rate",
+    f"""(SELECT domain, rule_name, count(*) AS flagged_orders, count(*) FILTER (WHERE high_confidence) AS high_confidence_orders, {_VALUE}, {_means({"avg_pair_core_score": "pair_core_score",
+      "avg_network_support_score": "network_support_score", "avg_pair_risk_score": "pair_risk_score", "avg_ghost_score": "suspected_ghost_score", "avg_business_impact_score": "business_impact_score"})},
+      {exact_blend({"pair_risk_score": 35, "network_support_score": 15, "business_impact_score": 20, "suspected_ghost_score": 30}, 2)} AS priority_score,
+      '{rules.RECOMMENDATION}' AS recommendation, CAST(0 AS DOUBLE) AS model_overlap_rate FROM once GROUP BY ALL)""")
 def _(spark, d):
     return rules.priority_recommendations(_detect(spark, d).flags)
 
 
-@register("component_case_summary", "window_id, component_id, drivers, customers, pairs, high_risk_pairs, high_risk_ratio, avg_fraud_risk, max_fraud_risk, supporting_signals, component_edge_count, component_density, avg_network_risk, risk_tier",
-    """(SELECT *, round_even(high_risk_pairs / pairs, 4) AS high_risk_ratio, CASE WHEN max_fraud_risk >= 80 THEN 'IMMEDIATE_REVIEW' WHEN max_fraud_risk >= 65 THEN 'HIGH_RISK' WHEN max_fraud_risk >= 50 THEN 'MONITOR' ELSE 'LOW_PRIORITY' END AS risk_tier FROM (
-      SELECT window_id, component_id, count(DISTINCT driver_id) AS drivers, count(DISTINCT customer_id) AS customers, count(*) AS pairs, count(*) FILTER (WHERE investigation_priority >= 65) AS high_risk_pairs,
-      round_even(avg(fraud_risk_score), 4) AS avg_fraud_risk, max(fraud_risk_score) AS max_fraud_risk, sum(supporting_signal_count)::BIGINT AS supporting_signals, max(component_edge_count) AS component_edge_count,
-      max(component_density) AS component_density, round_even(avg(network_risk_score), 4) AS avg_network_risk FROM networked GROUP BY ALL))""")
+@register("component_case_summary", "window_id, component_id, driver_count, customer_count, pair_count, high_risk_pair_count, high_risk_pair_ratio, average_pair_score, maximum_pair_score, rare_shared_entity_count, weighted_internal_edge_sum, component_density, network_risk_score, component_risk_tier",
+    f"""(SELECT *, {exact_ratio("high_risk_pair_count", "pair_count", 4)} AS high_risk_pair_ratio,
+      CASE WHEN network_risk_score >= 80 THEN 'IMMEDIATE_REVIEW' WHEN network_risk_score >= 65 THEN 'HIGH_RISK' WHEN network_risk_score >= 50 THEN 'MONITOR' ELSE 'LOW_PRIORITY' END AS component_risk_tier FROM (
+      SELECT window_id, component_id, count(DISTINCT driver_id) AS driver_count, count(DISTINCT customer_id) AS customer_count, count(*) AS pair_count,
+      count(*) FILTER (WHERE investigation_priority_score >= 65) AS high_risk_pair_count, {exact_mean("fraud_risk_score", 2)} AS average_pair_score, round_even(max(fraud_risk_score), 2) AS maximum_pair_score,
+      sum(supporting_signal_count)::BIGINT AS rare_shared_entity_count, max(component_edge_count) AS weighted_internal_edge_sum, round_even(max(component_density), 2) AS component_density,
+      {exact_mean("network_risk_score", 2)} AS network_risk_score FROM networked GROUP BY ALL))""")
 def _(spark, d):
     return rules.component_case_summary(_detect(spark, d).networked)
 
@@ -324,7 +334,7 @@ def _(spark, d):
     f"""(SELECT DISTINCT {PAIR}, 'derived' AS data_quality_level, flag_reason AS description, reason_code, supporting_signal, round_even(CASE reason_code WHEN 'KB-C_EXTREME_VOLUME' THEN n_trips WHEN 'KB-C_TIGHT_PAIR_SHARE' THEN concentration_score
       WHEN 'KB-C_SUSPICIOUS_COMPONENT' THEN component_size WHEN 'KB-C_HIGH_GHOST_RATE' THEN ghost_rate WHEN 'KB-C_SUPERFAST_GAP' THEN min_gap_min ELSE dominant_route_share END, 4) AS observed_value,
       round_even(CASE reason_code WHEN 'KB-C_EXTREME_VOLUME' THEN cohort_trip_threshold WHEN 'KB-C_TIGHT_PAIR_SHARE' THEN 0.6 WHEN 'KB-C_SUSPICIOUS_COMPONENT' THEN 3.0
-      WHEN 'KB-C_HIGH_GHOST_RATE' THEN 0.5 WHEN 'KB-C_SUPERFAST_GAP' THEN 2.0 ELSE 0.7 END, 4) AS threshold, round_even(investigation_priority, 2) AS score_contribution FROM reasons)""")
+      WHEN 'KB-C_HIGH_GHOST_RATE' THEN 0.5 WHEN 'KB-C_SUPERFAST_GAP' THEN 2.0 ELSE 0.7 END, 4) AS threshold, round_even(investigation_priority_score, 2) AS score_contribution FROM reasons)""")
 def _(spark, d):
     return rules.pair_evidence(_detect(spark, d).reasons)
 

@@ -43,6 +43,41 @@ def numeric_or_default(df: DataFrame, name: str, default: float) -> Column:
     return F.coalesce(F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double")), F.lit(default))
 
 
+#: Doubles count in sums as whole billionths, which add up alike in any order.
+UNITS = 9
+
+
+def _whole(c: Column | str, units: int) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rint(c.cast("double") * float(10**units)).cast("decimal(28,0)")
+
+
+def exact_ratio(top: Column, bottom: Column, digits: int) -> Column:
+    """top / bottom of whole numbers as double, rounded half-even once at ``digits``; null where bottom is 0."""
+    whole = lambda c: c.cast("decimal(38,0)")
+    a, b = whole(whole(top) * F.lit(10**digits).cast("decimal(18,0)")), F.nullif(whole(bottom), F.lit(0).cast("decimal(38,0)"))
+    quotient = F.call_function("div", a, b)
+    twice = F.abs(2 * (a - whole(quotient * b))) - F.abs(b)
+    up = (twice > 0) | ((twice == 0) & (quotient % 2 != 0))
+    return (quotient + F.when(up, F.signum(a).cast("long")).otherwise(0)) / float(10**digits)
+
+
+def exact_sum(c: Column | str, units: int = UNITS) -> Column:
+    """Aggregate: the sum as double, of values at ``units`` digits, the same in any order of the rows; null without values."""
+    return F.sum(_whole(c, units)).cast("double") / float(10**units)
+
+
+def exact_mean(c: Column | str, digits: int, units: int = UNITS) -> Column:
+    """Aggregate: the mean of values at ``units`` digits, rounded half-even once at ``digits``, the same in any order of the rows."""
+    return exact_ratio(F.sum(_whole(c, units)), F.count(c) * F.lit(10**units).cast("decimal(18,0)"), digits)
+
+
+def exact_blend(weights: dict[str, int], percent: int, digits: int, units: int = UNITS) -> Column:
+    """Aggregate: means of columns without nulls, weighted in parts of ``percent``, rounded half-even once at ``digits``."""
+    top = sum((F.sum(_whole(c, units)).cast("decimal(36,0)") * w for c, w in weights.items()), F.lit(0).cast("decimal(38,0)"))
+    return exact_ratio(top, F.count("*") * F.lit(percent * 10**units).cast("decimal(18,0)"), digits)
+
+
 def running_total(rows: DataFrame, keys: list[str], order: list[Column], amount: Column, out: str) -> DataFrame:
     """``rows`` with the running sum of ``amount`` inside ``keys`` in the total order ``order``.
 

@@ -8,7 +8,7 @@ from pairtrace.catalog import _detect, register
 from pairtrace.functions.shared import fresh_path
 from pairtrace.operators import property_graph as pg
 from pairtrace.operators import reports
-from pairtrace.oracle import PAIR
+from pairtrace.oracle import PAIR, exact_mean
 from pairtrace.sources import orders
 from pairtrace.sources.trips import trips
 from pairtrace.streaming import ingest
@@ -62,30 +62,30 @@ for _grain in reports.GRAINS:
         return reports.period_summary(_detect(spark, d).flags, grain)
 
 
-@register("overview_metrics", "flagged_orders, flagged_drivers, flagged_customers, largest_component",
-    f"(SELECT {_ORDERS}, count(DISTINCT driver_id) AS flagged_drivers, count(DISTINCT customer_id) AS flagged_customers, coalesce(max(component_size), 0) AS largest_component FROM flags)")
+@register("overview_metrics", "flagged_orders, total_orders_in_scope, flagged_drivers, flagged_customers, largest_component_size",
+    f"(SELECT {_ORDERS}, count(DISTINCT driver_id) AS flagged_drivers, count(DISTINCT customer_id) AS flagged_customers, coalesce(max(component_size), 0) AS largest_component_size, count(DISTINCT order_id) AS total_orders_in_scope FROM flags)")
 def _(spark, d):
     return reports.overview_metrics(_detect(spark, d).flags)
 
 
 @register("rule_overview", "business_rule_label, flagged_orders, flagged_customers, avg_priority_score, business_rule_story",
-    f"(SELECT business_rule_label, {_ORDERS}, count(DISTINCT customer_id) AS flagged_customers, round_even(avg(priority_score), 4) AS avg_priority_score, min(business_rule_story) AS business_rule_story FROM flags GROUP BY ALL)")
+    f"(SELECT business_rule_label, {_ORDERS}, count(DISTINCT customer_id) AS flagged_customers, {exact_mean("priority_score", 4)} AS avg_priority_score, min(business_rule_story) AS business_rule_story FROM flags GROUP BY ALL)")
 def _(spark, d):
     return reports.rule_overview(_detect(spark, d).flags)
 
 
-@register("reason_overview", "reason_code, pair_rows, avg_investigation_priority, avg_ghost_rate, supporting_signal, flag_reason",
-    """(SELECT reason_code, count(*) AS pair_rows, round_even(avg(investigation_priority), 4) AS avg_investigation_priority, round_even(avg(ghost_rate), 4) AS avg_ghost_rate,
-      min(supporting_signal) AS supporting_signal, min(flag_reason) AS flag_reason FROM reasons GROUP BY ALL)""")
+@register("reason_overview", "reason_code, affected_pairs, avg_priority_score, avg_ghost_rate, supporting_signal, flag_reason_vi",
+    f"""(SELECT reason_code, count(*) AS affected_pairs, {exact_mean("investigation_priority_score", 4)} AS avg_priority_score, {exact_mean("ghost_rate", 4)} AS avg_ghost_rate,
+      min(supporting_signal) AS supporting_signal, min(flag_reason) AS flag_reason_vi FROM reasons GROUP BY ALL)""")
 def _(spark, d):
     return reports.reason_overview(_detect(spark, d).reasons)
 
 
-@register("component_overview", "window_id, component_id, component_label, flagged_orders, drivers, customers, pairs, top_service, top_rule, max_priority_score, avg_priority_score, avg_network_risk_score, component_size, avg_network_support_score, component_edge_count, component_density, top_rule_story",
-    f"""(SELECT *, 'WCC-' || lpad(CAST(row_number() OVER (PARTITION BY window_id ORDER BY component_size DESC, max_priority_score DESC, flagged_orders DESC, component_id) AS VARCHAR), 3, '0') AS component_label FROM (
-      SELECT window_id, component_id, {_ORDERS}, count(DISTINCT driver_id) AS drivers, count(DISTINCT customer_id) AS customers, count(DISTINCT driver_id || '|' || customer_id) AS pairs,
-        max(priority_score) AS max_priority_score, round_even(avg(priority_score), 4) AS avg_priority_score, round_even(avg(network_risk_score), 4) AS avg_network_risk_score, max(component_size) AS component_size,
-        round_even(avg(network_support_score), 4) AS avg_network_support_score, max(component_edge_count) AS component_edge_count, max(component_density) AS component_density, min(business_rule_story) AS top_rule_story
+@register("component_overview", "window_id, component_id, component_display_id, flagged_orders, flagged_drivers, flagged_customers, flagged_pairs, top_service, top_rule, max_priority_score, avg_priority_score, avg_network_risk_score, component_size, avg_network_support_score, component_edge_count, component_density, top_rule_story",
+    f"""(SELECT *, 'WCC-' || lpad(CAST(row_number() OVER (PARTITION BY window_id ORDER BY component_size DESC, max_priority_score DESC, flagged_orders DESC, component_id) AS VARCHAR), 3, '0') AS component_display_id FROM (
+      SELECT window_id, component_id, {_ORDERS}, count(DISTINCT driver_id) AS flagged_drivers, count(DISTINCT customer_id) AS flagged_customers, count(DISTINCT driver_id || '|' || customer_id) AS flagged_pairs,
+        max(priority_score) AS max_priority_score, {exact_mean("priority_score", 4)} AS avg_priority_score, {exact_mean("network_risk_score", 4)} AS avg_network_risk_score, max(component_size) AS component_size,
+        {exact_mean("network_support_score", 4)} AS avg_network_support_score, max(component_edge_count) AS component_edge_count, max(component_density) AS component_density, min(business_rule_story) AS top_rule_story
       FROM flags GROUP BY ALL) JOIN {_top("service_name", "top_service")} USING (window_id, component_id) JOIN {_top("business_rule_label", "top_rule")} USING (window_id, component_id))""")
 def _(spark, d):
     return reports.component_overview(_detect(spark, d).flags)
@@ -103,7 +103,7 @@ _MOST = ("n_trips", "n_ghost", "ghost_rate", "priority_score", "supporting_signa
 
 @register("rule_cluster_summary", f"{PAIR}, business_rule_label, flagged_orders, {', '.join(f'max_{c}' for c in _MOST)}, min_gap_min, high_confidence, avg_gmv, avg_pair_core_score, avg_network_support_score, top_risk_tier",
     f"""(SELECT {PAIR}, business_rule_label, {_ORDERS}, {', '.join(f'max({c}) AS max_{c}' for c in _MOST)}, min(min_gap_min) AS min_gap_min, bool_or(high_confidence) AS high_confidence,
-      avg(avg_gmv) AS avg_gmv, {', '.join(f'round_even(avg({c}), 2) AS avg_{c}' for c in ('pair_core_score', 'network_support_score'))},
+      {exact_mean('avg_gmv', 6, 6)} AS avg_gmv, {', '.join(f'{exact_mean(c, 2)} AS avg_{c}' for c in ('pair_core_score', 'network_support_score'))},
       max_by(risk_tier, (priority_score, risk_tier)) AS top_risk_tier FROM flags GROUP BY ALL)""",
     doubles="max_ghost_rate, min_gap_min, avg_gmv")
 def _(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.config import GraphConfig
-from pairtrace.functions.expr import np_round, pair_key, running_total
+from pairtrace.functions.expr import exact_mean, exact_sum, np_round, pair_key, running_total
 from pairtrace.operators.clean import normalize_entity
 from pairtrace.operators.components import connected_components
 from pairtrace.operators.scoring import network_scores
@@ -54,7 +54,7 @@ def signal_edges(entities: DataFrame, degrees: DataFrame, cfg: GraphConfig = Gra
 
 def pair_edges(edges: DataFrame, cfg: GraphConfig = GraphConfig()) -> DataFrame:
     df = edges.groupBy("window_id", "left", "right").agg(
-        F.sum("weight").alias("weight"), F.array_sort(F.collect_set("signal")).alias("signal_types"),
+        exact_sum("weight").alias("weight"), F.array_sort(F.collect_set("signal")).alias("signal_types"),
         F.count("*").alias("shared_entity_count"), F.max("gap_days").alias("max_gap_days"),
     )
     several = (F.size("signal_types") >= cfg.min_shared_signals) & (F.col("weight") >= cfg.min_edge_weight)
@@ -125,7 +125,7 @@ def graph_quality(pairs: DataFrame, edges: DataFrame, members: DataFrame) -> Dat
     )
     links = members.join(linked_pair_count(edges), ["window_id", "pair_key"], "left").fillna(0, ["linked_pair_count"]).groupBy("window_id").agg(
         F.sum((F.col("linked_pair_count") == 0).cast("double")).alias("isolated_pairs"), (F.sum("linked_pair_count") / 2).alias("graph_edges"),
-        np_round(F.avg("linked_pair_count"), 4).alias("avg_linked_pair_count"), np_round(F.percentile("linked_pair_count", F.lit(0.9)), 4).alias("p90_linked_pair_count"),
+        exact_mean("linked_pair_count", 4).alias("avg_linked_pair_count"), np_round(F.percentile("linked_pair_count", F.lit(0.9)), 4).alias("p90_linked_pair_count"),
     )
     df = sizes.join(links, "window_id").withColumns({"candidate_pairs": F.col("graph_nodes"), "largest_component_share": np_round(F.col("largest_component_size") / F.col("graph_nodes"), 4)})
     return df.unpivot(["window_id"], [c for c in df.columns if c != "window_id"], "metric", "value")
@@ -134,7 +134,7 @@ def graph_quality(pairs: DataFrame, edges: DataFrame, members: DataFrame) -> Dat
 def graph_signal_summary(degrees: DataFrame, edges: DataFrame) -> DataFrame:
     df = degrees.groupBy("window_id", "signal").agg(
         F.count("*").alias("entities"), F.sum(F.col("eligible").cast("long")).alias("eligible_entities"), F.sum((~F.col("eligible")).cast("long")).alias("filtered_entities"),
-        np_round(F.avg("degree"), 4).alias("avg_degree"), F.max("degree").alias("max_degree"), np_round(F.avg("rarity"), 4).alias("avg_rarity"),
+        exact_mean("degree", 4).alias("avg_degree"), F.max("degree").alias("max_degree"), exact_mean("rarity", 4).alias("avg_rarity"),
     )
     kept = edges.select("window_id", F.explode("signal_types").alias("signal")).groupBy("window_id", "signal").agg(F.count("*").alias("retained_edges"))
     return df.join(kept, ["window_id", "signal"], "left").fillna(0, ["retained_edges"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairtrace.config import PairConfig, ShortlistConfig
-from pairtrace.functions.expr import PAIR_KEY, clip, np_round, ratio, running_total, truth
+from pairtrace.functions.expr import PAIR_KEY, clip, exact_mean, exact_sum, np_round, ratio, running_total, truth
 from pairtrace.functions.shared import materialize
 
 
@@ -150,9 +150,9 @@ def candidate_orders(active: DataFrame, pairs: DataFrame) -> DataFrame:
 def pair_rollups(candidates: DataFrame) -> DataFrame:
     """Sums of all-null columns are 0; modal values ignore nulls and break ties to the smallest."""
     return candidates.groupBy(PAIR_KEY).agg(
-        F.avg("gmv").alias("avg_gmv"),
-        F.coalesce(F.sum("gmv"), F.lit(0.0)).alias("total_gmv"),
-        F.coalesce(F.sum("discount"), F.lit(0.0)).alias("total_discount"),
+        exact_mean("gmv", 6, 6).alias("avg_gmv"),
+        F.coalesce(exact_sum("gmv", 6), F.lit(0.0)).alias("total_gmv"),
+        F.coalesce(exact_sum("discount", 6), F.lit(0.0)).alias("total_discount"),
         F.countDistinct("order_date").alias("active_days"),
         F.max("order_date").alias("latest_order_date"),
         F.mode("last_dropoff_province_name", True).alias("top_dropoff_province_name"),

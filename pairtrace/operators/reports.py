@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairtrace.functions.expr import PAIR_KEY, np_round, running_total
+from pairtrace.functions.expr import PAIR_KEY, exact_mean, running_total
 
 UNKNOWN = "Không rõ"
 GRAINS = ("day", "week", "month")
@@ -27,7 +27,7 @@ def _distinct(c: str | Column, name: str) -> Column:
 
 
 def _avg(c: str) -> Column:
-    return np_round(F.avg(c), 4).alias(f"avg_{c}")
+    return exact_mean(c, 4).alias(f"avg_{c}")
 
 
 def normalize_flags(flags: DataFrame, signal_texts: dict[str, str] = SIGNAL_TEXTS, reason_texts: dict[str, str] | None = None) -> DataFrame:
@@ -78,31 +78,36 @@ def period_summary(flags: DataFrame, grain: str) -> DataFrame:
 def overview_metrics(flags: DataFrame) -> DataFrame:
     return flags.agg(
         _distinct("order_id", "flagged_orders"), _distinct("driver_id", "flagged_drivers"), _distinct("customer_id", "flagged_customers"),
-        F.coalesce(F.max("component_size"), F.lit(0)).alias("largest_component"),
+        _distinct("order_id", "total_orders_in_scope"),
+        F.coalesce(F.max("component_size"), F.lit(0)).alias("largest_component_size"),
     )
 
 
 def rule_overview(flags: DataFrame) -> DataFrame:
     story = F.coalesce(F.min("business_rule_story"), F.lit("")).alias("business_rule_story")
-    return flags.groupBy("business_rule_label").agg(_distinct("order_id", "flagged_orders"), _distinct("customer_id", "flagged_customers"), _avg("priority_score"), story)
+    df = flags.groupBy("business_rule_label").agg(_distinct("order_id", "flagged_orders"), _distinct("customer_id", "flagged_customers"), _avg("priority_score"), story)
+    return df.orderBy(F.desc("flagged_orders"), F.desc("avg_priority_score"), "business_rule_label")
 
 
 def reason_overview(reasons: DataFrame) -> DataFrame:
-    return reasons.groupBy("reason_code").agg(F.count("*").alias("pair_rows"), _avg("investigation_priority"), _avg("ghost_rate"), F.min("supporting_signal").alias("supporting_signal"), F.coalesce(F.min("flag_reason"), F.lit("")).alias("flag_reason"))
+    """Pairs that a reason affects, with their mean priority and ghost rate; most pairs first."""
+    texts = [F.min("supporting_signal").alias("supporting_signal"), F.coalesce(F.min("flag_reason"), F.lit("")).alias("flag_reason_vi")]
+    df = reasons.groupBy("reason_code").agg(F.count("*").alias("affected_pairs"), exact_mean("investigation_priority_score", 4).alias("avg_priority_score"), _avg("ghost_rate"), *texts)
+    return df.orderBy(F.desc("affected_pairs"), F.desc("avg_priority_score"), "reason_code")
 
 
 def component_overview(flags: DataFrame) -> DataFrame:
     """One row a component, numbered by size, highest priority and orders."""
     df = flags.groupBy("window_id", "component_id").agg(
-        _distinct("order_id", "flagged_orders"), _distinct("driver_id", "drivers"), _distinct("customer_id", "customers"),
-        _distinct(F.struct("driver_id", "customer_id"), "pairs"), F.coalesce(F.mode("service_name", True), F.lit(UNKNOWN)).alias("top_service"),
+        _distinct("order_id", "flagged_orders"), _distinct("driver_id", "flagged_drivers"), _distinct("customer_id", "flagged_customers"),
+        _distinct(F.struct("driver_id", "customer_id"), "flagged_pairs"), F.coalesce(F.mode("service_name", True), F.lit(UNKNOWN)).alias("top_service"),
         F.coalesce(F.mode("business_rule_label", True), F.lit(UNKNOWN)).alias("top_rule"), F.max("priority_score").alias("max_priority_score"),
         _avg("priority_score"), _avg("network_risk_score"), F.max("component_size").alias("component_size"),
         _avg("network_support_score"), F.max("component_edge_count").alias("component_edge_count"), F.max("component_density").alias("component_density"),
         F.coalesce(F.min("business_rule_story"), F.lit("")).alias("top_rule_story"),
     )
     order = [F.desc("component_size"), F.desc("max_priority_score"), F.desc("flagged_orders"), F.asc("component_id")]
-    return running_total(df, ["window_id"], order, F.lit(1), "component_rank").withColumn("component_label", F.format_string("WCC-%03d", "component_rank"))
+    return running_total(df, ["window_id"], order, F.lit(1), "component_rank").withColumn("component_display_id", F.format_string("WCC-%03d", "component_rank"))
 
 
 def breakdown(flags: DataFrame, dimension: str, top: int = 10) -> DataFrame:
@@ -114,7 +119,7 @@ def breakdown(flags: DataFrame, dimension: str, top: int = 10) -> DataFrame:
 def rule_cluster_summary(flags: DataFrame, keys: tuple[str, ...] = (*PAIR_KEY, "business_rule_label")) -> DataFrame:
     """Per business rule and pair: its orders, its strongest figures, and the tier of its highest priority; highest priority first."""
     most = {f"max_{c}": F.max(c) for c in ("n_trips", "n_ghost", "ghost_rate", "priority_score", "supporting_signal_count", "linked_pair_count", "component_size")}
-    mean = {"avg_gmv": F.avg("avg_gmv"), **{f"avg_{c}": np_round(F.avg(c), 2) for c in ("pair_core_score", "network_support_score")}}
+    mean = {"avg_gmv": exact_mean("avg_gmv", 6, 6), **{f"avg_{c}": exact_mean(c, 2) for c in ("pair_core_score", "network_support_score")}}
     rest = {"min_gap_min": F.min("min_gap_min"), "high_confidence": F.bool_or("high_confidence"), "top_risk_tier": F.max_by("risk_tier", F.struct("priority_score", "risk_tier"))}
     df = flags.groupBy(*keys).agg(_distinct("order_id", "flagged_orders"), *[c.alias(name) for name, c in (most | mean | rest).items()])
     return df.orderBy(F.desc("max_priority_score"), *keys)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.config import RuleConfig
-from pairtrace.functions.expr import PAIR_KEY, np_round, numeric_or_default, truth
+from pairtrace.functions.expr import PAIR_KEY, exact_blend, exact_mean, exact_ratio, exact_sum, np_round, numeric_or_default, truth
 from pairtrace.operators.scoring import RULE_SCORES
 
 RULE_NAME = "REPEATED_CUSTOMER_DRIVER"
@@ -81,8 +81,8 @@ def with_triggered(reasons: DataFrame) -> DataFrame:
     """Reasons with all rules and codes of their pair, in reason order."""
     lists = reasons.groupBy(PAIR_KEY).agg(F.array_sort(F.collect_list(F.struct("reason_order", "reason_code", "business_rule"))).alias("__l"))
     lists = lists.select(
-        *PAIR_KEY, F.array_join(F.array_distinct(F.transform("__l", lambda x: x["business_rule"])), " | ").alias("triggered_rules"),
-        F.array_join(F.transform("__l", lambda x: x["reason_code"]), " | ").alias("reason_codes"),
+        *PAIR_KEY, F.array_join(F.array_distinct(F.transform("__l", lambda x: x["business_rule"])), " | ").alias("triggered_business_rules"),
+        F.array_join(F.transform("__l", lambda x: x["reason_code"]), " | ").alias("triggered_reason_codes"),
     )
     return reasons.join(lists, PAIR_KEY)
 
@@ -90,7 +90,7 @@ def with_triggered(reasons: DataFrame) -> DataFrame:
 def finalize_rule_assignment(pairs: DataFrame, reasons: DataFrame) -> DataFrame:
     """Triggered rules and codes in reason order, and the primary rule: the triggered one of highest score."""
     score = F.coalesce(*[F.when(F.col("business_rule") == r, F.col(s)) for r, s in RULE_SCORES.items()])
-    per_pair = with_triggered(reasons).withColumn("__s", score).groupBy(*PAIR_KEY, "triggered_rules", "reason_codes").agg(
+    per_pair = with_triggered(reasons).withColumn("__s", score).groupBy(*PAIR_KEY, "triggered_business_rules", "triggered_reason_codes").agg(
         F.max_by("business_rule", F.struct("__s", -F.col("reason_order"))).alias("__primary"), F.max("__s").alias("__score")
     )
     df = pairs.join(per_pair, PAIR_KEY, "left")
@@ -107,12 +107,12 @@ def risk_tier(priority: Column) -> Column:
 #: Figures of a pair that a flag shows, with the digits that its evidence keeps; absent ones count as 0.
 SCORES = {
     **dict.fromkeys(("ghost_rate", "pair_share_driver", "pair_share_customer", "volume_score", "raw_concentration", "support_factor", "concentration_score"), 4),
-    **dict.fromkeys(("pair_core_score", "pair_collusion_score"), 2), "temporal_score": 4, "low_value_score": 4,
+    **dict.fromkeys(("pair_core_score", "pair_collusion_score"), 2), "temporal_score": 4, "low_value_farming_score": 4,
     **dict.fromkeys(("suspected_ghost_score", "pair_risk_score", "business_rule_score", "network_support_score", "network_risk_score", "business_impact_score", "fraud_risk_score"), 2),
     "dominant_route_share": 4, "component_density": 4,
 }
 COUNTS = ("n_trips", "n_ghost", "linked_pair_count", "supporting_signal_count", "component_size", "component_edge_count", *(f"shared_{s}_count" for s in ("payment", "promo", "pickup", "dropoff", "route")))
-TEXTS = ("business_rule", "business_rule_label", "triggered_rules", "reason_codes", "dominant_route", "component_id")
+TEXTS = ("business_rule", "business_rule_label", "triggered_business_rules", "triggered_reason_codes", "dominant_route", "component_id")
 
 
 def evidence_struct() -> Column:
@@ -120,7 +120,7 @@ def evidence_struct() -> Column:
     figures = {c: np_round(c, n).alias(c) for c, n in SCORES.items()}
     figures |= {c: F.col(c) for c in (*COUNTS[:5], *TEXTS, "driver_id", "customer_id", "high_confidence")}
     figures |= {"min_gap_min": np_round("min_gap_min", 3).alias("min_gap_min"), "suspected_ghost_rate": np_round("ghost_rate", 4).alias("suspected_ghost_rate")}
-    figures |= {c: np_round("priority_score", 2).alias(c) for c in ("investigation_priority", "priority_score")}
+    figures |= {c: np_round("priority_score", 2).alias(c) for c in ("investigation_priority_score", "priority_score")}
     return F.struct(*figures.values())
 
 
@@ -133,10 +133,10 @@ def flagged_orders(candidates: DataFrame, reasons: DataFrame, flagged_at: str |
     given = {c: numeric_or_default(reasons, c, 0.0).alias(c) for c in SCORES}
     given |= {c: numeric_or_default(reasons, c, 0.0).cast("long").alias(c) for c in COUNTS}
     given |= {c: named(c, "string").alias(c) for c in (*TEXTS, "rule_name", "reason_code", "supporting_signal", "business_rule_story", "flag_reason", "volume_cohort", "top_service_name", "top_pickup_province_name", "top_dropoff_province_name")}
-    given |= {c: named(c, "double").alias(c) for c in ("min_gap_min", "avg_gmv", "total_gmv", "total_discount", "trip_threshold", "cohort_trip_threshold", "gmv_percentile", "trip_count_percentile", *RULE_SCORES.values())}
+    given |= {c: named(c, "double").alias(c) for c in ("min_gap_min", "avg_gmv", "total_gmv", "total_discount", "trip_threshold", "cohort_trip_threshold", "avg_gmv_percentile_by_cohort", "trip_count_percentile", *RULE_SCORES.values())}
     given |= {"high_confidence": F.coalesce(named("high_confidence", "boolean"), F.lit(False)).alias("high_confidence"), "latest_order_date": named("latest_order_date", "date").alias("latest_order_date")}
     given |= {"active_days": named("active_days", "long").alias("active_days")}
-    priority = F.coalesce(*[named(c, "double") for c in ("priority_score", "investigation_priority", "pair_risk_score")])
+    priority = F.coalesce(*[named(c, "double") for c in ("priority_score", "investigation_priority_score", "pair_risk_score")])
     facts = reasons.select(*PAIR_KEY, priority.alias("priority_score"), *given.values())
     facts = facts.withColumns({"risk_tier": risk_tier(F.col("priority_score")), "evidence": evidence_struct()})
     orders = candidates.select(*PAIR_KEY, "order_id", "order_date", "order_time_local_tz", "complete_time_local_tz", "service_name", "payment_method", "gmv", "discount", F.coalesce("promotion_code", F.lit("")).alias("promotion_code"))
@@ -146,46 +146,66 @@ def flagged_orders(candidates: DataFrame, reasons: DataFrame, flagged_at: str |
     return df.withColumns(same | fixed)
 
 
+#: Figures of an order that the reports over rules read.
+_REPORTED = ("gmv", "discount", "priority_score", "network_support_score", "pair_risk_score", "pair_core_score", "suspected_ghost_score", "business_impact_score")
+# Fixed value: what a recommendation says.
+RECOMMENDATION = (
+    "Prioritize pairs with strong ghost evidence first, then confirm pair concentration and only use the shared-entity network as supporting evidence for coordinated behavior."
+)
+
+
 def _once_per_rule(flags: DataFrame) -> DataFrame:
-    """One row an order and rule: the one of highest priority, then least reason code."""
-    best = F.max_by(F.struct("domain", "order_date", "customer_id", "gmv", "discount", "priority_score", "network_risk_score", "pair_risk_score", "ghost_rate", "business_impact_score", "high_confidence"), F.struct("priority_score", "driver_id", "customer_id", "order_time_local_tz", "gmv"))
+    """One row an order and rule: the one of highest priority, then of the greatest ids, time and value."""
+    best = F.max_by(F.struct("domain", "order_date", "customer_id", *_REPORTED, "high_confidence"), F.struct("priority_score", "driver_id", "customer_id", "order_time_local_tz", "gmv"))
     return flags.groupBy("order_id", "rule_name").agg(best.alias("x")).select("order_id", "rule_name", "x.*")
 
 
+def _total(c: str) -> Column:
+    return F.coalesce(exact_sum(c, 6), F.lit(0.0)).alias(f"total_{c}")
+
+
 def daily_flag_summary(flags: DataFrame) -> DataFrame:
-    return _once_per_rule(flags).groupBy("domain", "order_date", "rule_name").agg(
-        F.countDistinct("order_id").alias("flagged_orders"), F.countDistinct("customer_id").alias("flagged_customers"), F.lit(0).alias("model_overlap"),
-        np_round(F.coalesce(F.sum("gmv"), F.lit(0.0)), 4).alias("gmv_at_risk"), np_round(F.coalesce(F.sum("discount"), F.lit(0.0)), 4).alias("discount_at_risk"),
+    """Per day and rule: distinct orders and customers and their value; by day, then most orders first."""
+    df = _once_per_rule(flags).groupBy("domain", "order_date", "rule_name").agg(
+        F.countDistinct("order_id").alias("flagged_orders"), F.countDistinct("customer_id").alias("flagged_customers"), F.lit(0).alias("model_overlap_orders"), _total("gmv"), _total("discount")
     )
+    return df.orderBy("order_date", F.desc("flagged_orders"), "domain", "rule_name")
 
 
 def rule_comparison(flags: DataFrame) -> DataFrame:
+    """Per rule: orders, customers and mean scores over the orders, at six digits."""
+    means = {"avg_priority_score": "priority_score", "avg_network_support_score": "network_support_score", "avg_pair_risk_score": "pair_risk_score", "avg_ghost_score": "suspected_ghost_score"}
     return _once_per_rule(flags).groupBy("domain", "rule_name").agg(
         F.countDistinct("order_id").alias("flagged_orders"), F.countDistinct("customer_id").alias("flagged_customers"),
-        *[np_round(F.avg(c), 4).alias(f"avg_{c}") for c in ("priority_score", "network_risk_score", "pair_risk_score", "ghost_rate")], F.lit(0).alias("model_overlap"),
+        *[exact_mean(c, 6).alias(name) for name, c in means.items()], F.lit(0).alias("model_overlap_orders"), F.lit(0.0).alias("model_overlap_rate"),
     )
 
 
 def priority_recommendations(flags: DataFrame) -> DataFrame:
-    df = _once_per_rule(flags).groupBy("domain", "rule_name").agg(
-        F.countDistinct("order_id").alias("flagged_orders"), F.sum(F.col("high_confidence").cast("long")).alias("high_confidence_orders"),
-        np_round(F.coalesce(F.sum("gmv"), F.lit(0.0)), 4).alias("gmv_at_risk"),
-        *[F.avg(c).alias(f"__{c}") for c in ("pair_risk_score", "network_risk_score", "business_impact_score", "ghost_rate")],
+    """Per rule its priority: 35 % pair risk, 15 % network support, 20 % impact, 30 % ghost score, of mean scores; highest first."""
+    scores = {c: F.coalesce(c, F.lit(0.0)) for c in _REPORTED if c.endswith("_score")}
+    means = {"avg_ghost_score": "suspected_ghost_score", **{f"avg_{c}": c for c in ("pair_core_score", "network_support_score", "pair_risk_score", "business_impact_score")}}
+    blend = {"pair_risk_score": 35, "network_support_score": 15, "business_impact_score": 20, "suspected_ghost_score": 30}
+    df = _once_per_rule(flags).withColumns(scores).groupBy("domain", "rule_name").agg(
+        F.countDistinct("order_id").alias("flagged_orders"), F.sum(F.col("high_confidence").cast("long")).alias("high_confidence_orders"), _total("discount"), _total("gmv"),
+        *[exact_mean(c, 6).alias(name) for name, c in means.items()], exact_blend(blend, 100, 2).alias("priority_score"),
     )
-    score = 0.35 * F.col("__pair_risk_score") + 0.15 * F.col("__network_risk_score") + 0.20 * F.col("__business_impact_score") + 0.30 * F.col("__ghost_rate")
-    return df.withColumn("priority_score", np_round(score, 2)).drop("__pair_risk_score", "__network_risk_score", "__business_impact_score", "__ghost_rate")
+    return df.withColumns({"recommendation": F.lit(RECOMMENDATION), "model_overlap_rate": F.lit(0.0)}).orderBy(F.desc("priority_score"), F.desc("flagged_orders"), "domain", "rule_name")
 
 
 def component_case_summary(pairs: DataFrame) -> DataFrame:
+    """Per component: its pairs, those of high risk, and its tier by the mean network risk; highest first."""
     df = pairs.groupBy("window_id", "component_id").agg(
-        F.countDistinct("driver_id").alias("drivers"), F.countDistinct("customer_id").alias("customers"), F.count("*").alias("pairs"),
-        F.sum((F.col("investigation_priority") >= 65).cast("long")).alias("high_risk_pairs"), np_round(F.avg("fraud_risk_score"), 4).alias("avg_fraud_risk"),
-        F.max("fraud_risk_score").alias("max_fraud_risk"), F.sum("supporting_signal_count").alias("supporting_signals"), F.max("component_edge_count").alias("component_edge_count"),
-        F.max("component_density").alias("component_density"), np_round(F.avg("network_risk_score"), 4).alias("avg_network_risk"),
+        F.countDistinct("driver_id").alias("driver_count"), F.countDistinct("customer_id").alias("customer_count"), F.count("*").alias("pair_count"),
+        F.coalesce(F.sum((F.col("investigation_priority_score") >= 65).cast("long")), F.lit(0).cast("long")).alias("high_risk_pair_count"),
+        exact_mean("fraud_risk_score", 2).alias("average_pair_score"), np_round(F.max("fraud_risk_score"), 2).alias("maximum_pair_score"),
+        F.sum("supporting_signal_count").alias("rare_shared_entity_count"), F.max("component_edge_count").alias("weighted_internal_edge_sum"),
+        np_round(F.max("component_density"), 2).alias("component_density"), exact_mean("network_risk_score", 2).alias("network_risk_score"),
     )
-    top = F.col("max_fraud_risk")
-    tier = F.when(top >= 80, "IMMEDIATE_REVIEW").when(top >= 65, "HIGH_RISK").when(top >= 50, "MONITOR").otherwise("LOW_PRIORITY")
-    return df.withColumns({"high_risk_ratio": np_round(F.col("high_risk_pairs") / F.col("pairs"), 4), "risk_tier": tier})
+    risk = F.col("network_risk_score")
+    tier = F.when(risk >= 80, "IMMEDIATE_REVIEW").when(risk >= 65, "HIGH_RISK").when(risk >= 50, "MONITOR").otherwise("LOW_PRIORITY")
+    share = exact_ratio(F.col("high_risk_pair_count"), F.col("pair_count"), 4)
+    return df.withColumns({"high_risk_pair_ratio": share, "component_risk_tier": tier}).orderBy("window_id", F.desc("network_risk_score"), F.desc("pair_count"), "component_id")
 
 
 def pair_evidence(reasons: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
@@ -199,7 +219,7 @@ def pair_evidence(reasons: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFra
     return reasons.select(
         *PAIR_KEY, "reason_code", "supporting_signal", np_round(pick(0), 4).alias("observed_value"), np_round(pick(1), 4).alias("threshold"),
         F.lit("derived").alias("data_quality_level"), F.col("flag_reason").alias("description"),
-        np_round(F.coalesce("investigation_priority", "pair_risk_score"), 2).alias("score_contribution"),
+        np_round(F.coalesce("investigation_priority_score", "pair_risk_score"), 2).alias("score_contribution"),
     ).distinct()
 
 

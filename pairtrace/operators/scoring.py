@@ -32,24 +32,24 @@ def pair_risk_features(pairs: DataFrame) -> DataFrame:
     df = cumulative_share(cumulative_share(df, ["window_id"], "total_discount", "__disc"), ["window_id"], "total_gmv", "__gmv")
     gap = clip((30 - F.coalesce("min_gap_min", F.lit(30.0))) / 30)
     temporal = clip(0.7 * gap + 0.3 * F.col("dominant_route_share"))
-    df = df.withColumns({"__gap": gap, "__temporal": temporal, "__pct": np_round("__gmv_pct", 4)})
-    df = df.withColumn("__low", clip(F.col("volume_score") * (1 - F.col("__pct"))))
+    df = df.withColumns({"__gap": gap, "__temporal": temporal})
+    df = df.withColumn("__low", clip(F.col("volume_score") * (1 - F.col("__gmv_pct"))))
     df = df.withColumn("__ghost", 100 * (0.5 * F.col("ghost_rate") + 0.3 * F.col("__temporal") + 0.2 * F.col("__low")))
     risk = np_round(0.45 * F.col("pair_collusion_score") + 0.55 * F.col("__ghost"), 2)
     df = df.withColumns(
         {
-            "gmv_percentile": F.col("__pct"),
+            "avg_gmv_percentile_by_cohort": np_round("__gmv_pct", 4),
             "gap_score": np_round("__gap", 4),
             "temporal_score": np_round("__temporal", 4),
-            "low_value_score": np_round("__low", 4),
+            "low_value_farming_score": np_round("__low", 4),
             "suspected_ghost_score": np_round("__ghost", 2),
             "pair_risk_score": risk,
             "business_impact_score": np_round(100 * (0.45 * F.col("__disc") + 0.35 * F.col("__gmv") + 0.20 * F.col("volume_score")), 2),
             "fraud_risk_score": risk,
-            "investigation_priority": risk,
+            "investigation_priority_score": risk,
         }
     )
-    return df.drop("__gmv_pct", "__disc", "__gmv", "__gap", "__temporal", "__pct", "__low", "__ghost")
+    return df.drop("__gmv_pct", "__disc", "__gmv", "__gap", "__temporal", "__low", "__ghost")
 
 
 def network_scores(pairs: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def network_scores(pairs: DataFrame) -> DataFrame:
     align = F.greatest(F.lit(0.35), F.least(F.lit(1.0), 0.35 + 0.35 * F.col("pair_collusion_score") / 100 + 0.30 * F.col("suspected_ghost_score") / 100))
     df = df.withColumn("network_risk_score", np_round(F.col("network_support_score") * align, 2))
     df = df.withColumn("fraud_risk_score", np_round(0.35 * F.col("pair_collusion_score") + 0.45 * F.col("suspected_ghost_score") + 0.20 * F.col("network_risk_score"), 2))
-    return df.withColumn("investigation_priority", np_round(0.75 * F.col("fraud_risk_score") + 0.25 * F.col("business_impact_score"), 2))
+    return df.withColumn("investigation_priority_score", np_round(0.75 * F.col("fraud_risk_score") + 0.25 * F.col("business_impact_score"), 2))
 
 
 def business_rule_scores(pairs: DataFrame) -> DataFrame:

@@ -12,6 +12,28 @@ _clip = lambda x: f"greatest(0.0, least(1.0, coalesce({x}, 0.0)))"
 _share = lambda n, d: f"coalesce(CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0), 0)"
 
 
+def exact_ratio(top: str, bottom: str, digits: int) -> str:
+    """SQL: top / bottom of whole numbers that are not negative, rounded half-even once."""
+    a = f"({top} * {10**digits})"
+    return f"(({a} // {bottom}) + CASE WHEN 2 * ({a} % {bottom}) > {bottom} OR (2 * ({a} % {bottom}) = {bottom} AND ({a} // {bottom}) % 2 = 1) THEN 1 ELSE 0 END) / 1e{digits}"
+
+
+def _whole(x: str, units: int) -> str:
+    return f"sum(CAST(round_even(CAST({x} AS DOUBLE) * 1e{units}, 0) AS HUGEINT))"
+
+
+def exact_sum(x: str, units: int = 9) -> str:
+    return f"CAST({_whole(x, units)} AS DOUBLE) / 1e{units}"
+
+
+def exact_mean(x: str, digits: int, units: int = 9) -> str:
+    return exact_ratio(_whole(x, units), f"(CAST(count({x}) AS HUGEINT) * {10**units})", digits)
+
+
+def exact_blend(weights: dict[str, int], digits: int, units: int = 9) -> str:
+    return exact_ratio("(" + " + ".join(f"{w} * {_whole(x, units)}" for x, w in weights.items()) + ")", f"(CAST(count(*) AS HUGEINT) * {100 * 10**units})", digits)
+
+
 def _entity(signal: str, column: str) -> str:
     bare = f"trim({column})"
     bad = f"lower({bare}) IN ('', 'nan', '<na>', 'none', 'null', 'unknown')"
@@ -80,7 +102,7 @@ shortlist AS (
     AND (pair_share_driver >= 0.4 OR pair_share_customer >= 0.6) AND (concentration_score >= 0.85 OR pair_core_score >= 50)))),
 candidates AS (SELECT a.* FROM active a SEMI JOIN shortlist USING ({PAIR})),
 rollups AS (
-  SELECT {PAIR}, avg(gmv) AS avg_gmv, coalesce(sum(gmv), 0) AS total_gmv, coalesce(sum(discount), 0) AS total_discount,
+  SELECT {PAIR}, {exact_mean("gmv", 6, 6)} AS avg_gmv, coalesce({exact_sum("gmv", 6)}, 0) AS total_gmv, coalesce({exact_sum("discount", 6)}, 0) AS total_discount,
     count(DISTINCT order_date) AS active_days, max(order_date) AS latest_order_date FROM candidates GROUP BY ALL),
 dropoffs AS (
   SELECT {PAIR}, last_dropoff_province_name AS top_dropoff_province_name FROM (SELECT {PAIR}, last_dropoff_province_name, count(*) AS n FROM candidates WHERE last_dropoff_province_name IS NOT NULL GROUP BY ALL)
@@ -96,13 +118,13 @@ details AS (
     coalesce(ghost_rate >= 0.5 AND n_trips >= 4, false) OR coalesce(min_gap_min >= 0 AND min_gap_min < 2 AND ghost_rate >= 0.2 AND n_trips >= 6, false) AS high_confidence
   FROM shortlist JOIN rollups USING ({PAIR}) JOIN gaps USING ({PAIR}) JOIN routes USING ({PAIR})),
 ranked AS (
-  SELECT *, round_even(cume_dist() OVER (PARTITION BY window_id, volume_cohort ORDER BY avg_gmv), 4) AS gmv_percentile,
-    cume_dist() OVER (PARTITION BY window_id ORDER BY round(total_discount, 6)) AS disc_pct, cume_dist() OVER (PARTITION BY window_id ORDER BY round(total_gmv, 6)) AS gmv_pct,
+  SELECT *, cume_dist() OVER (PARTITION BY window_id, volume_cohort ORDER BY avg_gmv) AS cohort_pct,
+    cume_dist() OVER (PARTITION BY window_id ORDER BY total_discount) AS disc_pct, cume_dist() OVER (PARTITION BY window_id ORDER BY total_gmv) AS gmv_pct,
     {_clip("(30 - coalesce(min_gap_min, 30.0)) / 30")} AS gap_raw FROM details),
-timed AS (SELECT *, {_clip("0.7 * gap_raw + 0.3 * dominant_route_share")} AS temporal_raw, {_clip("volume_score * (1 - gmv_percentile)")} AS low_raw FROM ranked),
+timed AS (SELECT *, {_clip("0.7 * gap_raw + 0.3 * dominant_route_share")} AS temporal_raw, {_clip("volume_score * (1 - cohort_pct)")} AS low_raw FROM ranked),
 ghosts AS (SELECT *, 100 * (0.5 * ghost_rate + 0.3 * temporal_raw + 0.2 * low_raw) AS ghost_raw FROM timed),
 risk AS (
-  SELECT *, round_even(gap_raw, 4) AS gap_score, round_even(temporal_raw, 4) AS temporal_score, round_even(low_raw, 4) AS low_value_score,
+  SELECT *, round_even(cohort_pct, 4) AS avg_gmv_percentile_by_cohort, round_even(gap_raw, 4) AS gap_score, round_even(temporal_raw, 4) AS temporal_score, round_even(low_raw, 4) AS low_value_farming_score,
     round_even(ghost_raw, 2) AS suspected_ghost_score, round_even(0.45 * pair_collusion_score + 0.55 * ghost_raw, 2) AS pair_risk_score,
     round_even(100 * (0.45 * disc_pct + 0.35 * gmv_pct + 0.20 * volume_score), 2) AS business_impact_score FROM ghosts),
 entities AS (
@@ -119,7 +141,7 @@ signal_edges AS (
     FROM linked a JOIN linked b ON a.window_id = b.window_id AND a.signal = b.signal AND a.entity = b.entity AND a.pair_key < b.pair_key) WHERE gap_days <= 3),
 edges AS (
   SELECT window_id, "left", "right", round_even(w, 4) AS weight, signal_types, shared_entity_count, max_gap_days FROM (
-    SELECT window_id, "left", "right", sum(weight) AS w, list_sort(list(DISTINCT signal)) AS signal_types, count(*) AS shared_entity_count, max(gap_days) AS max_gap_days
+    SELECT window_id, "left", "right", {exact_sum("weight")} AS w, list_sort(list(DISTINCT signal)) AS signal_types, count(*) AS shared_entity_count, max(gap_days) AS max_gap_days
     FROM signal_edges GROUP BY ALL) WHERE (len(signal_types) >= 2 AND w >= 1.35) OR (shared_entity_count >= 2 AND w >= 1.75)),
 ends AS (SELECT window_id, "left" AS pair_key, "right" AS other, signal_types FROM edges UNION ALL SELECT window_id, "right", "left", signal_types FROM edges),
 nodes AS (SELECT *, driver_id || '||' || customer_id AS pair_key FROM risk),
@@ -152,7 +174,7 @@ aligned AS (
   SELECT *, round_even(network_support_score * greatest(0.35, least(1.0, 0.35 + 0.35 * pair_collusion_score / 100 + 0.30 * suspected_ghost_score / 100)), 2) AS network_risk_score FROM supported),
 frauds AS (SELECT *, round_even(0.35 * pair_collusion_score + 0.45 * suspected_ghost_score + 0.20 * network_risk_score, 2) AS fraud_risk_score FROM aligned),
 ruled AS (
-  SELECT *, round_even(0.75 * fraud_risk_score + 0.25 * business_impact_score, 2) AS investigation_priority,
+  SELECT *, round_even(0.75 * fraud_risk_score + 0.25 * business_impact_score, 2) AS investigation_priority_score,
     round_even(100 * (0.60 * (pair_collusion_score / 100) + 0.25 * concentration_score + 0.15 * volume_score), 2) AS repeated_pair_rule_score,
     round_even(100 * (0.65 * suspected_ghost_score / 100 + 0.20 * temporal_score + 0.15 * ghost_rate), 2) AS ghost_trip_rule_score,
     round_even(100 * ((0.55 * {_clip("dominant_route_share")} + 0.20 * temporal_score + 0.15 * (pair_collusion_score / 100) + 0.10 * ghost_rate) * {_clip("n_trips / 6")}), 2) AS route_farming_rule_score,
@@ -172,21 +194,21 @@ reason_scores AS (
 primaries AS (
   SELECT {PAIR}, business_rule AS primary_rule, s AS primary_score FROM reason_scores QUALIFY row_number() OVER (PARTITION BY {PAIR} ORDER BY s DESC, reason_order) = 1),
 triggered AS (
-  SELECT {PAIR}, string_agg(reason_code, ' | ' ORDER BY reason_order) AS reason_codes FROM reasons GROUP BY ALL),
+  SELECT {PAIR}, string_agg(reason_code, ' | ' ORDER BY reason_order) AS triggered_reason_codes FROM reasons GROUP BY ALL),
 rule_lists AS (
-  SELECT {PAIR}, string_agg(business_rule, ' | ' ORDER BY o) AS triggered_rules FROM (SELECT {PAIR}, business_rule, min(reason_order) AS o FROM reasons GROUP BY ALL) GROUP BY ALL),
+  SELECT {PAIR}, string_agg(business_rule, ' | ' ORDER BY o) AS triggered_business_rules FROM (SELECT {PAIR}, business_rule, min(reason_order) AS o FROM reasons GROUP BY ALL) GROUP BY ALL),
 summary AS (
   SELECT *, {_LABEL_OF} AS business_rule_label FROM (
-    SELECT n.* REPLACE (coalesce(primary_rule, business_rule) AS business_rule, coalesce(primary_score, business_rule_score) AS business_rule_score), triggered_rules, reason_codes
+    SELECT n.* REPLACE (coalesce(primary_rule, business_rule) AS business_rule, coalesce(primary_score, business_rule_score) AS business_rule_score), triggered_business_rules, triggered_reason_codes
     FROM networked n LEFT JOIN primaries USING ({PAIR}) LEFT JOIN triggered USING ({PAIR}) LEFT JOIN rule_lists USING ({PAIR}))),
 flags AS (
   SELECT c.*, r.rule_name, r.reason_code, r.supporting_signal, r.business_rule, r.business_rule_label, r.n_trips, r.n_ghost, r.ghost_rate, r.high_confidence, r.component_id, r.component_size,
-    r.network_risk_score, r.pair_risk_score, r.business_impact_score, r.investigation_priority AS priority_score, 'ride' AS domain, r.avg_gmv, r.pair_core_score, r.network_support_score,
+    r.network_risk_score, r.pair_risk_score, r.business_impact_score, r.investigation_priority_score AS priority_score, 'ride' AS domain, r.avg_gmv, r.pair_core_score, r.network_support_score,
     r.min_gap_min, r.supporting_signal_count, r.linked_pair_count, r.component_density, r.component_edge_count, r.pair_share_driver, r.pair_share_customer, r.volume_score,
-    r.raw_concentration, r.support_factor, r.concentration_score, r.pair_collusion_score, r.temporal_score, r.low_value_score, r.suspected_ghost_score, r.business_rule_score,
-    r.fraud_risk_score, r.dominant_route, r.dominant_route_share, r.business_rule_story, r.flag_reason, t.reason_codes, l.triggered_rules, r.trip_threshold, r.active_days,
-    CASE WHEN (r.ghost_rate >= 0.8 AND r.n_trips >= 10) OR r.investigation_priority >= 80 THEN 'IMMEDIATE_REVIEW' WHEN r.investigation_priority >= 65 THEN 'HIGH_RISK'
-      WHEN r.investigation_priority >= 50 THEN 'MONITOR' ELSE 'LOW_PRIORITY' END AS risk_tier
+    r.raw_concentration, r.support_factor, r.concentration_score, r.pair_collusion_score, r.temporal_score, r.low_value_farming_score, r.suspected_ghost_score, r.business_rule_score,
+    r.fraud_risk_score, r.dominant_route, r.dominant_route_share, r.business_rule_story, r.flag_reason, t.triggered_reason_codes, l.triggered_business_rules, r.trip_threshold, r.active_days,
+    CASE WHEN (r.ghost_rate >= 0.8 AND r.n_trips >= 10) OR r.investigation_priority_score >= 80 THEN 'IMMEDIATE_REVIEW' WHEN r.investigation_priority_score >= 65 THEN 'HIGH_RISK'
+      WHEN r.investigation_priority_score >= 50 THEN 'MONITOR' ELSE 'LOW_PRIORITY' END AS risk_tier
   FROM candidates c JOIN reasons r USING ({PAIR}) JOIN triggered t USING ({PAIR}) JOIN rule_lists l USING ({PAIR})),
 once AS (
   SELECT * FROM flags QUALIFY row_number() OVER (PARTITION BY order_id, rule_name ORDER BY priority_score DESC, driver_id DESC, customer_id DESC, order_time_local_tz DESC, gmv DESC) = 1)

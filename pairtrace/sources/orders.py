@@ -98,9 +98,9 @@ REPORT_TYPES = {
     "priority_score double, n_trips bigint, n_ghost bigint, ghost_rate double, min_gap_min double, avg_gmv double, high_confidence boolean, component_id string, component_size bigint, "
     "component_edge_count bigint, component_density double, network_risk_score double, network_support_score double, pair_core_score double, pair_risk_score double, business_impact_score double, "
     "supporting_signal_count bigint, linked_pair_count bigint, domain string",
-    "pair_summary": "window_id string, driver_id string, customer_id string, n_trips bigint, ghost_rate double, latest_order_date date, top_service_name string, business_rule_label string, investigation_priority double",
+    "pair_summary": "window_id string, driver_id string, customer_id string, n_trips bigint, ghost_rate double, latest_order_date date, top_service_name string, business_rule_label string, investigation_priority_score double",
     "pair_reasons": "window_id string, driver_id string, customer_id string, reason_code string, supporting_signal string, flag_reason string, latest_order_date date, top_service_name string, "
-    "business_rule_label string, investigation_priority double, ghost_rate double",
+    "business_rule_label string, investigation_priority_score double, ghost_rate double",
 }
 
 
