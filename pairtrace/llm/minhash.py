@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
 from pairtrace.llm.rows import tables, text_mark
-from pairtrace.llm.simhash import BROADCAST_ROWS, Groups, shingle_hashes, split_words
+from pairtrace.llm.simhash import BROADCAST_ROWS, shingle_hashes, split_words
 from pairtrace.operators.components import connected_components
 
 #: Values that a sketch retains, and the overlap that it must have with a partner's. A link at the
-#: least similarity, 0.85, has a smaller overlap with probability 4e-11 (a binomial tail, 48 draws).
-K, OVERLAP = 48, 22
+#: least similarity, 0.85, has a smaller overlap with probability 0.00000002 (a binomial tail, 48 draws),
+#: one of 0.9 with 0.000000000003.
+K, OVERLAP = 48, 25
+#: Partners of one document up to which pairs are compared one by one.
+FEW = 16
 _ABSENT = -(1 << 63)
 
 
@@ -91,26 +94,29 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
     return materialize(rows.join(materialize(lists.select("value", "members"), "value-lists"), "value"), "inverted-lists")
 
 
-def _overlaps(sketches: list[np.ndarray]):
-    """A function that gives the overlaps of one sketch with all."""
-    flat = np.concatenate(sketches)
-    starts = np.cumsum([0, *[s.size for s in sketches[:-1]]])
-    vocabulary, code = np.unique(flat, return_inverse=True)
+class Counted:
+    """Sets of numbers that count what one of them shares with each."""
 
-    def count(i: int) -> np.ndarray:
-        mark = np.zeros(vocabulary.size, np.int64)
-        mark[code[starts[i] : starts[i] + sketches[i].size]] = 1
-        return np.add.reduceat(mark[code], starts)
+    def __init__(self, sets: list[np.ndarray]):
+        self.row = np.repeat(np.arange(len(sets)), [s.size for s in sets])
+        self.ends = np.cumsum([0, *[s.size for s in sets]])
+        _, self.code = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(self.code.max(initial=-1) + 1, bool)
 
-    return count
+    def shared(self, i: int) -> np.ndarray:
+        mine = self.code[self.ends[i] : self.ends[i + 1]]
+        self.mark[mine] = True
+        found = np.bincount(self.row[self.mark[self.code]], minlength=self.ends.size - 1)
+        self.mark[mine] = False
+        return found
 
 
 def leader_pairs(sketches: list[np.ndarray], need: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """(leader, member): each member with the leader before it of largest overlap whose union passes; others lead."""
-    count, leaders, out = _overlaps(sketches), [0], []
+    count, leaders, out = Counted(sketches), [0], []
     for i in range(1, len(sketches)):
         at = np.array(leaders)
-        equal = count(i)[at]
+        equal = count.shared(i)[at]
         best = int(equal.argmax())
         lead = leaders[best]
         if equal[best] >= max(need[i], need[lead]) and union_passes(sketches[lead], sketches[i], percent):
@@ -178,18 +184,29 @@ def settled_pairs(
     A pair is compared in the list of the least value that both list; two asking rows are
     compared once, by their ``order``.
     """
-    first: dict[int, int] = {}
-    sets = Groups([first.setdefault(g, i) for i, g in enumerate(groups)])
-    count, out = _overlaps(sketches), []
-    need = np.array([needed(g.size, percent) for g in grams])
+    _, group = np.unique(groups, return_inverse=True)
+    sizes = np.array([g.size for g in grams])
+    need = np.array([needed(n, percent) for n in sizes.tolist()])
+    before, overlap, whole, out = Counted([x[x < value] for x in listed]), None, None, []
     for i in np.flatnonzero(asks).tolist():
-        can = answers & (count(i) >= np.maximum(need, need[i])) & ~(asks & (order <= order[i]))
-        can[i] = False
-        for j in np.flatnonzero(can).tolist():
-            if sets.top(j) == sets.top(i) or np.intersect1d(listed[i], listed[j], assume_unique=True)[0] != value:
-                continue
-            if union_passes(sketches[i], sketches[j], percent) and linked(grams[i], grams[j], percent):
-                sets.join(i, j)
+        can = answers & (group != group[i]) & ~(asks & (order <= order[i]))
+        can &= percent * np.maximum(sizes, sizes[i]) <= 100 * np.minimum(sizes, sizes[i])
+        if can.any():
+            can &= before.shared(i) == 0
+        if not can.any():
+            continue
+        overlap = overlap or Counted(sketches)
+        can &= overlap.shared(i) >= np.maximum(need, need[i])
+        found = np.flatnonzero(can)
+        if found.size > FEW:  # then all full sets are counted at once
+            whole = whole or Counted(grams)
+            both = whole.shared(i)[found]
+            found = found[100 * both >= percent * (sizes[found] + sizes[i] - both)]
+        else:
+            found = np.array([j for j in found.tolist() if union_passes(sketches[i], sketches[j], percent) and linked(grams[i], grams[j], percent)], np.int64)
+        for j in found.tolist():
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
                 out.append((i, j))
     return out
 
@@ -243,7 +260,7 @@ def _groups(sets: DataFrame, source: DataFrame, shingle: int, percent: int, most
 
 
 def linked_sets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85, most: int = 500, block: int = 500
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85, most: int = 500, block: int = 1_000
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row; component_id is the smallest id reachable over links, kept says that it is the row's own.
 

@@ -56,8 +56,9 @@ def corpus(seed):
     return [" ".join(w) for w in out] + ["", None, " \n", "one", "ONE", "one two", "\tone  two "]
 
 
-@pytest.mark.parametrize(("seed", "most", "block"), [(1, 500, 500), (2, 4, 3)])
-def test_components_equal_all_pairs(spark, seed, most, block):
+@pytest.mark.parametrize(("seed", "most", "block", "few"), [(1, 500, 500, 16), (2, 4, 3, 16), (3, 4, 40, 0)])
+def test_components_equal_all_pairs(spark, monkeypatch, seed, most, block, few):
+    monkeypatch.setattr(minhash, "FEW", few)
     rows = list(enumerate(corpus(seed), 10))
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, n int, id int").repartition(5)
     assert {tuple(r) for r in minhash.linked_sets(docs, most=most, block=block).collect()} == brute(rows)
