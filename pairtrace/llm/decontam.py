@@ -22,6 +22,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, RAREST = 10, 2
 #: Tables of up to so many bytes, spelled as JSON, are broadcast; larger ones are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
+#: Rows a word that a text's postings may give; texts beyond are looked up by window.
+CROWDED = 20
 
 
 def words(text: str) -> Column:
@@ -89,32 +91,64 @@ def segments(passages: DataFrame, frequencies: DataFrame, window: int = WINDOW)
 
 
 def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
-    """Stored index: (id, twin, position, term) for every occurrence of ``terms`` in the training texts."""
-    rows = tokens.select("id", "twin", F.posexplode("words").alias("position", "term"))
+    """Stored index: (id, twin, size, position, term) for every occurrence of ``terms`` in the training texts; size is the text's words."""
+    rows = tokens.select("id", "twin", F.size("words").alias("size"), F.posexplode("words").alias("position", "term"))
     return materialize(_beside(rows, terms, "term", "left_semi"), "postings")
 
 
-def _hits(tokens: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(segments, hits): hits (id, twin, segment, bit, position, at) put the segment's first word on document word ``at``, by its rarest term number ``bit``."""
+def _index(tokens: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(segments, anchors, postings): anchors (segment, bit, offset, term) are the rarest terms of each segment."""
     passages = test_passages(items)
     vocabulary = materialize(passages.select(F.explode("words").alias("term")).distinct(), "test-terms")
     frequencies = materialize(term_frequencies(tokens, vocabulary), "term-frequencies")
     made = segments(passages, frequencies, window)
     anchors = materialize(made.select("segment", F.posexplode(F.col("terms").cast("array<struct<offset:int,term:string>>")).alias("bit", "t")).select("segment", "bit", "t.*"), "rarest-terms")
-    index = postings(tokens, materialize(anchors.select("term").distinct(), "anchor-terms"))
-    return made, _beside(index, anchors, "term").select("id", "twin", "segment", "bit", "position", (F.col("position") - F.col("offset")).alias("at"))
+    return made, anchors, postings(tokens, materialize(anchors.select("term").distinct(), "anchor-terms"))
 
 
-def alignments(tokens: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def _hits(index: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(id, twin, segment, bit, position, at): the segment's first word would stand on document word ``at``, by its rarest term number ``bit``."""
+    return _beside(index, anchors, "term").select("id", "twin", "segment", "bit", "position", (F.col("position") - F.col("offset")).alias("at"))
+
+
+def crowded_texts(index: DataFrame, anchors: DataFrame, most: int = CROWDED) -> DataFrame:
+    """(id, twin) of texts whose postings meet over ``most`` segments a word: few words that many windows share."""
+    load = materialize(anchors.groupBy("term").agg(F.count("*").alias("segments")), "term-loads")
+    cost = _beside(index, load, "term").groupBy("id", "twin").agg(F.sum("segments").alias("rows"), F.max("size").alias("size"))
+    return materialize(cost.filter(F.col("rows") > most * F.col("size")).select("id", "twin"), "crowded-texts")
+
+
+def _by_windows(tokens: DataFrame, crowded: DataFrame, made: DataFrame) -> DataFrame:
+    """(id, twin, segment, at) of the crowded texts: each place's words, hashed, are looked up among the windows of all segments.
+
+    A text costs one row a word and window size, whatever its words; equal hashes are compared
+    by words later, like all candidates.
+    """
+    spots = F.sequence(F.lit(0), F.size("span") - F.col("wide"))
+    windows = made.select("segment", "wide", F.posexplode(F.transform(spots, lambda j: F.xxhash64(F.slice("span", j + 1, F.col("wide"))))).alias("j", "key"))
+    windows = materialize(windows, "window-keys")
+    widths = [r.wide for r in windows.select("wide").distinct().collect()]  # at most as many as a window has words
+    texts = _beside(tokens, crowded, ["id", "twin"], "left_semi").withColumn("wide", F.explode(F.array(*[F.lit(w) for w in widths]).cast("array<int>")))
+    places = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("wide")), lambda p: F.xxhash64(F.slice("words", p + 1, F.col("wide"))))
+    rows = texts.filter(F.size("words") >= F.col("wide")).select("id", "twin", "wide", F.posexplode(places).alias("p", "key"))
+    return _beside(rows, windows, ["wide", "key"]).select("id", "twin", "segment", (F.col("p") - F.col("j")).alias("at"))
+
+
+def alignments(tokens: DataFrame, items: DataFrame, window: int = WINDOW, most: int = CROWDED) -> tuple[DataFrame, DataFrame]:
     """(segments, candidates): candidates (id, twin, segment, ats) list where a segment's first word may stand in a text.
 
-    Every true window is among them, as all its rarest terms are then posted with that ``at``.
+    Every true window is among them: all its rarest terms are posted with that ``at``, and in a
+    crowded text its hash is found.
     """
-    made, hits = _hits(tokens, items, window)
+    made, anchors, index = _index(tokens, items, window)
+    crowded = crowded_texts(index, anchors, most)
+    several = not crowded.isEmpty()
+    index = _beside(index, crowded, ["id", "twin"], "left_anti") if several else index
     power = lambda n: F.pow(F.lit(2), n).cast("int")
-    met = hits.groupBy("id", "twin", "segment", "at").agg(F.bit_or(power(F.col("bit"))).alias("bits"))
+    met = _hits(index, anchors).groupBy("id", "twin", "segment", "at").agg(F.bit_or(power(F.col("bit"))).alias("bits"))
     need = made.select("segment", (power(F.size("terms")) - 1).alias("need"))
-    whole = _beside(met, need, "segment").filter("bits = need")
+    whole = _beside(met, need, "segment").filter("bits = need").select("id", "twin", "segment", "at")
+    whole = whole.unionByName(_by_windows(tokens, crowded, made).distinct()) if several else whole
     return made, materialize(whole.groupBy("id", "twin", "segment").agg(F.collect_list("at").alias("ats")), "alignments")
 
 
@@ -157,8 +191,8 @@ def find_benchmark_text(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     Items with null id or no words match nothing; equal items are compared once. Rows sharing an
     id are judged apart by their texts; repeated rows get equal results. A null id stays null,
     and further columns of either table may have any name. Empty tables give no hits or rows.
-    A text costs its words and one row for each place of a window's rarest terms, however often
-    the words repeat.
+    A text costs its words and one row for each place of a window's rarest terms; where that
+    would be over ``CROWDED`` rows a word, one row a word and window size.
     """
     tokens = token_table(docs, id_col, text_col)
     found = materialize(_found(tokens, items, window), "contaminated-texts")
@@ -177,7 +211,8 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slack: int = 3, window:
     distance is that of the item, and ``position`` that of the later hit. Windows of one word
     have no other term. Edge cases are those of ``find_benchmark_text``.
     """
-    made, hits = _hits(token_table(docs, id_col, text_col), items, window)
+    made, anchors, index = _index(token_table(docs, id_col, text_col), items, window)
+    hits = _hits(index, anchors)
     order = Window.partitionBy("id", "twin", "segment").orderBy("at", "bit", "position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = lambda bit: F.last(F.when(F.col("bit") == bit, F.struct("at", "position")), ignorenulls=True).over(order)
     near = hits.distinct().withColumn("other", F.when(F.col("bit") == 0, last(1)).otherwise(last(0)))
