@@ -28,6 +28,6 @@ def lowest_hashes(rows: DataFrame, bound: int, salt: int) -> DataFrame:
 
 
 def join_texts(docs: DataFrame, picked: DataFrame, text_col: str) -> DataFrame:
-    """Texts of the picked ids, one row each; ``picked`` holds at most the sample bound, so it is broadcast."""
+    """(picked columns, text): the least text of each picked id, however the rows are partitioned; ``picked`` holds at most the sample bound, so it is broadcast."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), "id").dropDuplicates(["id"])
+    return texts.join(F.broadcast(picked), "id").groupBy(*picked.columns).agg(F.min("text").alias("text"))

@@ -44,25 +44,24 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     of its host's pages.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    pages = docs.select(F.col(host_col).alias("host"), lines.alias("lines")).filter("lines is not null")
-    bad = materialize(boilerplate(pages, ratio, least), "boilerplate-lines")
-    per_host = bad.groupBy("host").agg(F.collect_set("key").alias("__bad"), F.lit(True).alias("__any"))
+    names = docs.columns
+    rows = docs.select(F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text"), F.struct(*names).alias("row"))
+    lines = F.split("text", "\n", -1)
+    bad = materialize(boilerplate(rows.select("host", lines.alias("lines")).filter("lines is not null"), ratio, least), "boilerplate-lines")
+    per_host = bad.groupBy(F.col("host").alias("of")).agg(F.collect_set("key").alias("bad"))
+    same = F.col("host").eqNullSafe(F.col("of"))
     if bad.count() <= BROADCAST_LINES:
-        joined = docs.join(F.broadcast(per_host.withColumnRenamed("host", "__host")), F.col(host_col).eqNullSafe(F.col("__host")), "left")
+        joined = rows.join(F.broadcast(per_host), same, "left")
     else:  # a hot host is dealt to 64 salted keys
         salts = 64
-        salted = per_host.withColumnRenamed("host", "__host").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = docs.withColumn("__s", F.pmod(F.xxhash64(F.lit(7), text_col), F.lit(salts)).cast("int")).join(
-            salted, F.col(host_col).eqNullSafe(F.col("__host")) & (F.col("__s") == F.col("__salt")), "left"
-        ).drop("__s", "__salt")
-    drops = lambda x: (F.trim(x) != "") & F.array_contains("__bad", F.xxhash64(F.trim(x)))
-    kept = F.when(F.col("__any"), F.filter(lines, lambda x: ~drops(x))).otherwise(lines)
-    out = joined.withColumn("__kept", kept).withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
-    out = out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
-    out = out.withColumn("n_dropped", F.when(F.col(text_col).isNull(), 0).otherwise(F.col("n_lines") - F.size("__kept")).cast("long"))
-    text = F.when(F.col(text_col).isNull(), None).when(F.col("n_dropped") == 0, F.col(text_col)).otherwise(F.array_join("__kept", "\n"))
-    return out.withColumn(text_col, text.cast("string")).drop("__kept", "__bad", "__any", "__host")
+        salted = per_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = rows.withColumn("s", F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(salts)).cast("int")).join(salted, same & (F.col("s") == F.col("salt")), "left")
+    drops = lambda x: (F.trim(x) != "") & F.array_contains("bad", F.xxhash64(F.trim(x)))
+    kept = F.when(F.col("bad").isNotNull(), F.filter(lines, lambda x: ~drops(x))).otherwise(lines)
+    counted = lambda c: F.when(F.col("text").isNull(), 0).otherwise(F.size(c)).cast("long")
+    out = joined.select("row", "text", kept.alias("kept"), counted(lines).alias("n_lines")).withColumn("n_dropped", F.col("n_lines") - counted("kept"))
+    text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join("kept", "\n"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names], "n_lines", "n_dropped")
 
 
 ORACLE = f"""
