@@ -27,6 +27,8 @@ from pairtrace.llm.rows import tables, text_mark
 from pairtrace.operators.components import connected_components
 
 CHUNK = 1 << 16
+#: Members of shards that a task of ``fingerprint_links`` takes at a time, besides those of one shard.
+MEMBERS = 20_000
 #: Bands of minima: two texts of similarity 0.8 share none of them with probability 0.00000005.
 BANDS, ROWS = 32, 4
 #: Radius of the trees that look for near copies, and links a text reports to each group that it touches.
@@ -168,24 +170,18 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, most: int = 20_000) -> Da
     """``(a, b)``: enough links between distinct fingerprints to span every linked set."""
 
     def run(batches):
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        code = table.column("shard").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        value = table.column("fp").to_numpy().view(np.uint64)
-        order = np.lexsort((value, code))
-        code, value = code[order], value[order]
-        cuts = np.r_[0, np.flatnonzero(np.diff(code)) + 1, code.size]
-        links: set[tuple[int, int]] = set()
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if hi - lo > 1:
-                links.update(shard_links(value[lo:hi].tolist(), radius))
-        ends = np.array(sorted(links), np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+        for table in tables(batches, "shard", least=MEMBERS):
+            shard, value = table.column("shard").to_numpy(zero_copy_only=False), table.column("fp").to_numpy().view(np.uint64)
+            cuts = np.r_[0, np.flatnonzero(shard[1:] != shard[:-1]) + 1, shard.size]
+            links: set[tuple[int, int]] = set()
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if hi - lo > 1:
+                    links.update(shard_links(np.sort(value[lo:hi]).tolist(), radius))
+            ends = np.array(sorted(links), np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     shards = _shards(fps, radius, most)
-    return shards.repartition("shard").mapInArrow(run, "a long, b long").distinct()
+    return shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
