@@ -33,12 +33,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each linked group; of rows sharing doc_id and text, one stays."""
+    """The document of least doc_id of each linked group; of rows sharing doc_id and text, that of the least other columns stays."""
     near = simhash.similar_documents(docs, shingle=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
     near = materialize(near, "near-copies")
     kept = without(docs, near.filter("NOT stays"))
     repeated = near.filter("stays").groupBy("doc_id", "text_mark").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    if repeated.isEmpty():
+        return kept
+    spelled = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]))
+    return kept.groupBy("doc_id", "text").agg(F.min_by(F.struct(*docs.columns), spelled).alias("row")).select("row.*")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
