@@ -73,7 +73,7 @@ class Detection:
 
     @cached_property
     def pair_summary(self) -> DataFrame:
-        return rules.finalize_rule_assignment(self.networked, self.reasons.drop("triggered_rules", "reason_codes"))
+        return rules.finalize_rule_assignment(self.networked, self.reasons.drop("triggered_business_rules", "triggered_reason_codes"))
 
     @cached_property
     def flags(self) -> DataFrame:
