@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairtrace.operators.property_graph import demo_base_orders
+from pairtrace.sources import manifest
 
 _STRINGS = (
     "order_id", "driver_id", "customer_id", "order_status", "service_name", "pickup_province_name", "pickup_district_name",
@@ -82,13 +84,31 @@ def read_known_pairs(spark: SparkSession, path: str | None) -> DataFrame:
     return spark.read.csv(path, header=True).select("driver_id", "customer_id") if path else spark.createDataFrame([], schema)
 
 
-def write_outputs(outputs: dict[str, DataFrame], folder: str) -> None:
-    """Flagged orders as Parquet by window; pairs and reasons as CSV, structs as JSON."""
-    outputs["flagged_orders"].write.mode("overwrite").partitionBy("window_id").parquet(f"{folder}/flagged_orders")
-    for name in ("pair_summary", "pair_reasons"):
-        df = outputs[name]
-        flat = [F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(c) for c in df.columns]
-        df.select(*flat).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
+def write_outputs(outputs: dict[str, DataFrame], folder: str, keep: int = 2) -> str:
+    """Publish the three result tables of one run together and return the run's folder.
+
+    Flagged orders are Parquet by window; pairs and reasons are CSV, structs as JSON. All are
+    written under a new run id, then one manifest makes them the current set: whoever reads
+    meanwhile, or after a run that was interrupted, finds the set before. Runs older than the
+    last ``keep`` are removed.
+    """
+    spark = outputs["flagged_orders"].sparkSession
+    run, schemas = f"run-{uuid.uuid4().hex}", {}
+    for name in ("flagged_orders", "pair_summary", "pair_reasons"):
+        df, path = outputs[name], f"{folder}/runs/{run}/{name}"
+        if name == "flagged_orders":
+            df.write.partitionBy("window_id").parquet(path)
+        else:
+            df = df.select(*[F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(c) for c in df.columns])
+            df.write.csv(path, header=True, escape='"')
+        schemas[name] = df.schema.jsonValue()
+    before = manifest.latest(spark, folder) or {"runs": []}
+    runs = [*before["runs"], run][-keep:]
+    manifest.publish(spark, folder, {"run": run, "runs": runs, "schemas": schemas})
+    for old in before["runs"]:
+        if old not in runs:
+            manifest.remove(spark, f"{folder}/runs/{old}")
+    return f"{folder}/runs/{run}"
 
 
 #: What report queries read of each table; a missing table is empty and has these columns.
@@ -109,15 +129,24 @@ def write_demo_base_orders(orders: DataFrame, path: str, max_orders: int | None
     demo_base_orders(orders, max_orders).write.mode("overwrite").parquet(path)
 
 
-def read_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The written tables; one that is missing is empty, with the columns that reports read."""
+def read_reports(spark: SparkSession, folder: str, window_id: str | None = None) -> dict[str, DataFrame]:
+    """The current set of result tables in the types they were written with, of one window where given.
+
+    Nothing is inferred: ids stay texts whatever they look like, and the files are read once. In
+    CSV an empty text is a blank field like a null, so it comes back as null.
+    One window of the flagged orders reads that window's files only. A table that is missing is
+    empty, with the columns that reports read.
+    """
+    current = manifest.latest(spark, folder)
     out = {}
-    for name, load in (
-        ("flagged_orders", lambda p: spark.read.parquet(p)),
-        ("pair_summary", lambda p: spark.read.csv(p, header=True, inferSchema=True)),
-        ("pair_reasons", lambda p: spark.read.csv(p, header=True, inferSchema=True)),
-    ):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        out[name] = load(f"{folder}/{name}") if there else spark.createDataFrame([], REPORT_TYPES[name])
+    for name, columns in REPORT_TYPES.items():
+        if current is None:
+            out[name] = spark.createDataFrame([], columns)
+            continue
+        path, schema = f"{folder}/runs/{current['run']}/{name}", T.StructType.fromJson(current["schemas"][name])
+        if name == "flagged_orders":
+            df = spark.read.schema(schema).parquet(path)
+        else:
+            df = spark.read.schema(schema).csv(path, header=True, escape='"', multiLine=True, enforceSchema=False)
+        out[name] = df.filter(F.col("window_id") == window_id) if window_id is not None else df
     return out

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pairtrace.sources import orders
+from pairtrace.sources import manifest, orders
 
 
 def test_orders_of_a_folder_get_missing_columns_and_windows(spark, tmp_path):
@@ -49,6 +49,45 @@ def test_results_are_written_and_read_again(spark, tmp_path):
     assert all(df.count() == 0 for df in orders.read_reports(spark, str(tmp_path / "nowhere")).values())
 
 
+def report_tables(spark, driver="007"):
+    flags = spark.createDataFrame([("o1", "2026-07-14", driver, dt.datetime(2026, 7, 14, 10), 1.5), ("o2", "2026-07-15", driver, None, None)], "order_id string, window_id string, driver_id string, complete_time_local_tz timestamp_ntz, gmv double")
+    rows = [("2026-07-14", driver, "1e5", 'said "yes", then\nleft', dt.date(2026, 7, 14), 3, True), ("2026-07-14", driver, "", None, None, None, None)]
+    pairs = spark.createDataFrame(rows, "window_id string, driver_id string, customer_id string, note string, latest_order_date date, n_trips long, high boolean").withColumn("evidence", F.struct("note", "n_trips"))
+    return {"flagged_orders": flags, "pair_summary": pairs, "pair_reasons": pairs.drop("evidence")}
+
+
+def test_reports_come_back_as_they_were_written(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    given = report_tables(spark)
+    orders.write_outputs(given, folder)
+    found = orders.read_reports(spark, folder)
+    for name, df in given.items():
+        assert dict(found[name].dtypes) == {c: "string" if c == "evidence" else t for c, t in df.dtypes}, name
+    order = lambda df, cs: sorted(map(str, df.select(*cs).collect()))
+    assert order(found["flagged_orders"], given["flagged_orders"].columns) == order(given["flagged_orders"], given["flagged_orders"].columns)
+    blank_null = given["pair_reasons"].withColumn("customer_id", F.nullif("customer_id", F.lit("")))
+    assert order(found["pair_reasons"], blank_null.columns) == order(blank_null, blank_null.columns)
+    joined = found["flagged_orders"].join(found["pair_summary"], ["window_id", "driver_id"]).filter("driver_id = '007'")
+    assert joined.count() == 2
+    one = orders.read_reports(spark, folder, window_id="2026-07-15")["flagged_orders"]
+    assert [r.order_id for r in one.collect()] == ["o2"] and len({r[0] for r in one.select("_metadata.file_path").collect()}) == 1
+    assert "PartitionFilters: [isnotnull(window_id" in one._jdf.queryExecution().toString()
+
+
+def test_an_interrupted_run_leaves_the_set_before(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    orders.write_outputs(report_tables(spark), folder)
+    broken = report_tables(spark, "008")
+    broken["pair_reasons"] = broken["pair_reasons"].withColumn("n_trips", F.raise_error(F.lit("stopped")).cast("long"))
+    with pytest.raises(Exception, match="stopped"):
+        orders.write_outputs(broken, folder)
+    assert all({r.driver_id for r in df.collect()} == {"007"} for df in orders.read_reports(spark, folder).values())
+    for driver in ("009", "010", "011"):
+        orders.write_outputs(report_tables(spark, driver), folder)
+    assert all({r.driver_id for r in df.collect()} == {"011"} for df in orders.read_reports(spark, folder).values())
+    assert len(manifest.children(spark, f"{folder}/manifests")) == 2 and len(manifest.latest(spark, folder)["runs"]) == 2
+
+
 def test_window_from_the_date_needs_no_file_name(spark, tmp_path):
     spark.createDataFrame([("o1", dt.date(2026, 7, 14))], "order_id string, order_date date").write.parquet(str(tmp_path / "one"))
     assert orders.read_orders(spark, str(tmp_path / "one"), window_from="date").first().window_id == "2026-07-14"
