@@ -64,11 +64,14 @@ def _sketched(source: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [np.unique(shingle_hashes(split_words(t), shingle)) for t in batch.column("text").to_pylist()]
-            keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            sketches = pa.array([bottom(s).view(np.int64) if s.size else None for s in sets], pa.list_(pa.int64()))
-            sizes = pa.array([s.size for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), sizes, keys, sketches], ["id", "mark", "n", "key", "sketch"])
+            sizes, keys, sketches = [], [], []
+            for text in batch.column("text"):  # one full set at a time
+                found = np.unique(shingle_hashes(split_words(text.as_py()), shingle))
+                sizes.append(found.size)
+                keys.append(xxhash.xxh3_128_digest(found))
+                sketches.append(bottom(found).view(np.int64).copy() if found.size else None)
+            columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), *columns], ["id", "mark", "n", "key", "sketch"])
 
     return source.mapInArrow(run, "id long, mark long, n long, key binary, sketch array<long>")
 
@@ -154,8 +157,10 @@ def _full_sets(nodes: DataFrame, sets: DataFrame, source: DataFrame, shingle: in
 
     def cut(batches):
         for batch in batches:
-            made = [np.unique(shingle_hashes(split_words(t), shingle)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "grams"])
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                made = [np.unique(shingle_hashes(split_words(t.as_py()), shingle)).tobytes() for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.binary())], ["node", "grams"])
 
     met = materialize(sets.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "id", "mark"), "listed-texts")
     small = met.count() <= BROADCAST_ROWS
