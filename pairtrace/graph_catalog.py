@@ -439,14 +439,14 @@ def _ingested(spark, d):
     for n, part in enumerate(_HALVES(trips(spark, d))):
         part.write.mode("append").parquet(arrivals)
         schema = part.schema if n == 0 else schema
-        ingest.incremental_ingest(spark, arrivals, table, marks, schema, buckets=8, counters=counters).awaitTermination()
+        ingest.incremental_ingest(spark, arrivals, table, marks, schema, counters=counters).awaitTermination()
     return table, counters
 
 
 @register("incremental_ingest", "order_id, driver_id, customer_id, order_date", f"""(SELECT * FROM (SELECT order_id, driver_id, customer_id, order_date FROM trips WHERE order_date < DATE '1996-01-01'
       QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY order_time_local_tz, driver_id, customer_id, order_date) = 1) ANTI JOIN {_FRESH} USING (order_id) UNION ALL SELECT * FROM {_FRESH})""")
 def _(spark, d):
-    return spark.read.parquet(_ingested(spark, d)[0])
+    return ingest.read_table(spark, _ingested(spark, d)[0])
 
 
 @register("ingest_counters", "batch, metric, value", f"""(SELECT 0 AS batch, 'new' AS metric, count(DISTINCT order_id) AS value FROM {_OLD} UNION ALL SELECT 0, 'updated', 0 UNION ALL SELECT 0, 'valid', count(DISTINCT order_id) FROM {_OLD}

@@ -1,53 +1,133 @@
-"""Incremental ingest of order files into a keyed Parquet table."""
+"""Incremental ingest of order files into a log-structured keyed table.
+
+A batch is appended as one segment, sorted by order id; older segments are left alone, so a
+batch costs what it holds and not what the table holds. Of an order id the row of the latest
+batch counts, which reading decides. Neighbouring segments of one size tier are merged into one
+of the next tier, so a row is rewritten once a tier. A manifest names the segments that count.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pairtrace.functions.shared import materialize
-from pairtrace.operators.property_graph import clean_wide_orders, upsert_orders
-
+from pairtrace.operators.property_graph import clean_wide_orders, first_per_order
+from pairtrace.sources import manifest
 
 #: Order of the rows of one batch that share an order id; the first stays. All columns that are left follow by name, so equal tables come from equal files.
 FIRST = ("order_time_local_tz", "driver_id", "customer_id")
+#: So many neighbouring segments of one tier are merged; bytes of the smallest tier, whose multiples by FANOUT bound the others.
+FANOUT, TIER_BYTES = 4, 1 << 24
+
+
+def tier(size: int) -> int:
+    n = 0
+    while size > TIER_BYTES * FANOUT**n:
+        n += 1
+    return n
+
+
+def _merged_schema(known: T.StructType, given: T.StructType) -> T.StructType:
+    kinds = {f.name: f.dataType for f in known.fields}
+    odd = [f.name for f in given.fields if kinds.get(f.name, f.dataType) != f.dataType]
+    if odd:
+        raise ValueError(f"columns change their type: {', '.join(odd)}")
+    return T.StructType([*known.fields, *[f for f in given.fields if f.name not in kinds]])
+
+
+def _rows(spark: SparkSession, schema: T.StructType, segments: list[dict]) -> DataFrame:
+    """Rows of the segments with ``batch``; of each order id that of the latest one."""
+    rows = spark.read.schema(schema).parquet(*[s["path"] for s in segments])
+    if len(segments) == 1:  # a segment has an order id once
+        return rows
+    others = [c for c in rows.columns if c != "order_id"]
+    return rows.groupBy("order_id").agg(F.max_by(F.struct(*others), "batch").alias("x")).select("order_id", "x.*").select(*rows.columns)
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of an ingested table, one an order id."""
+    state = manifest.latest(spark, table)
+    if state is None:
+        raise ValueError(f"nothing was ingested into {table}")
+    return _rows(spark, T.StructType.fromJson(state["schema"]), state["segments"]).drop("batch")
 
 
-def merge_batch(batch: DataFrame, table: str, buckets: int, order: list[str]) -> DataFrame | None:
-    """Upsert a batch and return its counters; only the buckets that its order ids fall into are rewritten.
+def _write_segment(rows: DataFrame, table: str, low: int, high: int) -> dict:
+    """Write the rows, sorted by order id, under a path of their own."""
+    spark, path = rows.sparkSession, f"{table}/segments/{low:012d}-{high:012d}-{uuid.uuid4().hex}"
+    rows.repartitionByRange("order_id").sortWithinPartitions("order_id").write.parquet(path)
+    return {"path": path, "low": low, "high": high, "bytes": manifest.written_bytes(spark, path)}
 
-    A batch that is run again gives the same table. None for a batch without rows.
+
+def _counters(spark: SparkSession, fresh: DataFrame, processed: int, schema: T.StructType, segments: list[dict]) -> DataFrame:
+    """(metric, value): new, updated, valid, processed. Only order ids between the batch's least and greatest are read of the table."""
+    low, high, valid = fresh.agg(F.min("order_id"), F.max("order_id"), F.count("*")).first()
+    updated = 0
+    if segments:
+        ids = spark.read.schema(schema).parquet(*[s["path"] for s in segments]).filter(F.col("order_id").between(low, high)).select("order_id")
+        updated = ids.join(fresh.select("order_id"), "order_id", "left_semi").distinct().count()
+    rows = [("new", valid - updated), ("updated", updated), ("valid", valid), ("processed", processed)]
+    return spark.createDataFrame(rows, "metric string, value long")
+
+
+def compact(spark: SparkSession, table: str) -> int:
+    """Merge the latest FANOUT segments as long as they are of one tier; returns the number of merges."""
+    merges = 0
+    while True:
+        state = manifest.latest(spark, table)
+        last = state["segments"][-FANOUT:]
+        if len(last) < FANOUT or len({tier(s["bytes"]) for s in last}) > 1:
+            return merges
+        rows = _rows(spark, T.StructType.fromJson(state["schema"]), last)
+        whole = _write_segment(rows, table, last[0]["low"], last[-1]["high"])
+        _publish(spark, table, state | {"segments": [*state["segments"][:-FANOUT], whole]}, [s["path"] for s in last])
+        merges += 1
+
+
+def _publish(spark: SparkSession, table: str, state: dict, gone: list[str]) -> None:
+    """Publish the state; segments that the state before it had replaced are removed, as no reader starts from them any more."""
+    earlier = state.get("replaced", [])
+    manifest.publish(spark, table, state | {"replaced": gone})
+    for path in earlier:
+        manifest.remove(spark, path)
+
+
+def merge_batch(batch: DataFrame, table: str, number: int, order: list[str], counters: str | None = None) -> None:
+    """Append a batch as a segment and publish it; a number that was published before changes nothing.
+
+    ``counters``: folder that gets the new, updated, valid and processed rows of the batch, a
+    part a batch, before it is published. A batch without rows writes nothing.
     """
     spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int")
-    fresh = materialize(clean_wide_orders(batch).withColumn("bucket", bucket), "ingest-batch")
-    touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
-        return None
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    old = spark.read.schema(fresh.schema).parquet(table).filter(F.col("bucket").isin(touched)) if there else fresh.limit(0)
-    whole = [*order, *sorted(c for c in fresh.columns if c not in order and c != "order_id")]
-    merged, counters = upsert_orders(old, fresh, whole)
-    merged, counters = materialize(merged, "ingest-merged"), materialize(counters, "ingest-counters")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
-    return counters
-
-
-def incremental_ingest(
-    spark: SparkSession, source: str, table: str, checkpoint: str, schema, buckets: int = 64, order: tuple[str, ...] = FIRST, counters: str | None = None
-) -> StreamingQuery:
-    """Read every new Parquet file of ``source`` once, merge it into ``table``, then stop.
-
-    ``counters``: folder for the new, updated, valid and processed rows of each batch, a part a
-    batch; a batch that is run again replaces its part.
-    """
+    state = manifest.latest(spark, table) or {"batch": -1, "schema": T.StructType([]).jsonValue(), "segments": []}
+    if number <= state["batch"]:
+        return
+    clean = materialize(clean_wide_orders(batch), "ingest-batch")
+    processed = clean.count()
+    if not processed:
+        return
+    whole = [*order, *sorted(c for c in clean.columns if c not in order and c != "order_id")]
+    fresh = first_per_order(clean, whole).select(*clean.columns, F.lit(number).cast("long").alias("batch"))
+    schema = _merged_schema(T.StructType.fromJson(state["schema"]), fresh.schema)
+    segment = _write_segment(fresh, table, number, number)
+    if counters:
+        written = spark.read.schema(fresh.schema).parquet(segment["path"])
+        made = _counters(spark, written, processed, schema, state["segments"])
+        made.coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={number}")
+    _publish(spark, table, state | {"batch": number, "schema": schema.jsonValue(), "segments": [*state["segments"], segment]}, [])
+    compact(spark, table)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        made = merge_batch(batch, table, buckets, list(order))
-        if counters and made is not None:
-            made.coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={number}")
 
+def incremental_ingest(spark: SparkSession, source: str, table: str, checkpoint: str, schema, order: tuple[str, ...] = FIRST, counters: str | None = None) -> StreamingQuery:
+    """Read every new Parquet file of ``source`` once, append it to ``table``, then stop; ``read_table`` gives the rows.
+
+    The checkpoint numbers the batches, so a batch that is run again is known by its number; a
+    table belongs to one checkpoint.
+    """
     stream = spark.readStream.schema(schema).parquet(source)
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda batch, n: merge_batch(batch, table, n, list(order), counters)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

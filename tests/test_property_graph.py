@@ -2,7 +2,11 @@
 
 import hashlib
 
+import pytest
+
 from pairtrace.operators import property_graph as pg
+from pairtrace.sources import manifest
+from pairtrace.streaming import ingest
 from pairtrace.streaming.ingest import incremental_ingest
 
 SCHEMA = "order_id string, driver_id string, customer_id string, order_status string, order_time_local_tz string"
@@ -26,16 +30,56 @@ def test_upsert_counts_and_keeps_the_first_of_a_batch(spark):
 def test_incremental_ingest_merges_new_files_once(spark, tmp_path):
     source, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
     load = lambda rows: spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(source)
-    run = lambda: incremental_ingest(spark, source, table, check, SCHEMA, buckets=4).awaitTermination()
+    run = lambda: incremental_ingest(spark, source, table, check, SCHEMA).awaitTermination()
     load([("a", "d1", "c1", "COMPLETED", "1"), ("b", "d1", "c1", "completed", "1"), (" ", "d1", "c1", "COMPLETED", "1")])
     run()
     load([("b", "d2", "c1", "COMPLETED", "2"), ("c", "d3", "c1", "CANCELLED", "2")])
     run()
     run()
-    rows = {r.order_id: (r.driver_id, r.is_completed) for r in spark.read.parquet(table).collect()}
+    rows = {r.order_id: (r.driver_id, r.is_completed) for r in ingest.read_table(spark, table).collect()}
     assert rows == {"a": ("d1", True), "b": ("d2", True), "c": ("d3", False)}
 
 
+def test_batches_are_appended_and_merged_by_size(spark, tmp_path, monkeypatch):
+    """A batch writes its own segment; four of a tier become one; batches that come again change nothing."""
+    table, counts = str(tmp_path / "table"), str(tmp_path / "counts")
+    batch = lambda n, rows: spark.createDataFrame([(f"o{i:05d}", f"d{n}", f"c{i}", "COMPLETED", str(n)) for i in rows], SCHEMA)
+    put = lambda n, rows: ingest.merge_batch(batch(n, rows), table, n, list(ingest.FIRST), counts)
+    put(0, range(4_000))
+    monkeypatch.setattr(ingest, "TIER_BYTES", manifest.latest(spark, table)["segments"][0]["bytes"] // 8)
+    first = manifest.latest(spark, table)["segments"][0]
+    seen, written = {first["path"]}, []
+    for n in range(1, 12):
+        put(n, range(n * 50, n * 50 + 60))
+        put(n, range(10))  # the same batch again, whatever it holds
+        state = manifest.latest(spark, table)
+        written.append(sum(s["bytes"] for s in state["segments"] if s["path"] not in seen))
+        seen |= {s["path"] for s in state["segments"]}
+        assert state["segments"][0] == first and len(state["segments"]) <= 1 + 2 * (ingest.FANOUT - 1)
+    assert all(w < first["bytes"] / 3 for w in written)
+    spans = [(s["low"], s["high"]) for s in manifest.latest(spark, table)["segments"]]
+    assert [n for low, high in spans for n in range(low, high + 1)] == list(range(12)) and 3 <= len(spans) < 12
+    want = {f"o{i:05d}": 0 for i in range(4_000)} | {f"o{i:05d}": n for n in range(1, 12) for i in range(n * 50, n * 50 + 60)}
+    rows = ingest.read_table(spark, table)
+    assert {r.order_id: int(r.driver_id[1:]) for r in rows.collect()} == want and rows.count() == len(want)
+    counted = {(r.batch, r.metric): r.value for r in spark.read.parquet(counts).collect()}
+    assert counted[0, "new"] == 4_000 and counted[3, "updated"] == 60 and counted[3, "valid"] == counted[3, "processed"] == 60 and len(counted) == 12 * 4
+    left = set(manifest.children(spark, f"{table}/segments"))
+    put(12, [])
+    assert left >= {s["path"].rpartition("/")[2] for s in manifest.latest(spark, table)["segments"]} and len(left) <= 6 + ingest.FANOUT
+
+
+def test_segments_take_new_columns_and_refuse_new_types(spark, tmp_path):
+    table = str(tmp_path / "table")
+    ingest.merge_batch(spark.createDataFrame([("a", "d", "c", "COMPLETED", "1")], SCHEMA), table, 0, list(ingest.FIRST))
+    ingest.merge_batch(spark.createDataFrame([("b", "d", "c", "COMPLETED", "2", 5)], SCHEMA + ", gmv int"), table, 1, list(ingest.FIRST))
+    assert {r.order_id: r.gmv for r in ingest.read_table(spark, table).collect()} == {"a": None, "b": 5}
+    with pytest.raises(ValueError, match="gmv"):
+        ingest.merge_batch(spark.createDataFrame([("b", "d", "c", "COMPLETED", "2", "5")], SCHEMA + ", gmv string"), table, 2, list(ingest.FIRST))
+    with pytest.raises(ValueError, match="nothing"):
+        ingest.read_table(spark, str(tmp_path / "none"))
+
+
 def test_component_subgraph_and_paths_take_all_orders(spark):
     flags = spark.createDataFrame([("c1", f"o{i:04d}") for i in range(450)] * 2 + [("c2", "x1")], "component_id string, order_id string")
     edges = [("PAID_BY", f"o{i:04d}", "card") for i in range(450)] + [("PICKUP_AT", f"o{i:04d}", "late") for i in range(400, 450)] + [("PAID_BY", "x1", "card"), ("USED_PROMO", "o0449", "once")]
