@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from pairtrace.config import PairConfig, ShortlistConfig
 from pairtrace.functions.expr import PAIR_KEY, clip, exact_mean, exact_sum, np_round, ratio, running_total, truth
+from pairtrace.functions.membership import maybe_among
 from pairtrace.functions.shared import materialize
 
+#: So many pairs of three ids are broadcast, about 100 bytes each.
+BROADCAST_PAIRS = 100_000
+
 
 def pair_counts(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
     trips = F.count("*") if cfg.trip_count == "rows" else F.countDistinct("order_id")
@@ -80,12 +84,14 @@ def volume_table(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
     return hist.select(*cohort, "n_trips", "trip_threshold", "cohort_trip_threshold", (F.col("__run") / F.col("__all")).alias("__pct"))
 
 
-def finalize_pair_stats(pairs: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
+def finalize_pair_stats(pairs: DataFrame, cfg: PairConfig = PairConfig(), base: DataFrame | None = None) -> DataFrame:
     """Cohort percentile, concentration, support factor, volume and concentration scores of unique pairs.
 
-    ``pairs`` have their counterparties and ``volume_cohort``.
+    ``pairs`` have their counterparties and ``volume_cohort``; ``base`` has the same pairs' window,
+    cohort and trips where these are at hand in a written table.
     """
-    df = pairs.join(volume_table(pairs, cfg), ["window_id", "volume_cohort", "n_trips"])
+    volumes = materialize(volume_table(pairs if base is None else base, cfg), "volumes")  # a row a cohort and trip count
+    df = pairs.join(volumes, ["window_id", "volume_cohort", "n_trips"])
     raw = clip(F.least("pair_share_driver", "pair_share_customer"))
     exp = F.least(1.0 / (F.col("driver_counterparties") + 1), 1.0 / (F.col("customer_counterparties") + 1))
     df = df.withColumns({"__raw": raw, "__exp": exp})
@@ -127,7 +133,7 @@ def pair_stats(active: DataFrame, cfg: PairConfig = PairConfig()) -> DataFrame:
             "ghost_rate": ratio(F.col("n_ghost"), F.col("n_trips")),
         }
     )
-    return finalize_pair_stats(materialize(df.drop("n_orders"), "pair-shares"), cfg)
+    return finalize_pair_stats(df.drop("n_orders"), cfg, base)
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -143,8 +149,15 @@ def shortlist(pairs: DataFrame, cfg: ShortlistConfig = ShortlistConfig()) -> Dat
 
 
 def candidate_orders(active: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Active orders of the shortlisted pairs; the engine broadcasts the keys when they are few."""
-    return active.join(pairs.select(PAIR_KEY), PAIR_KEY, "left_semi")
+    """Active orders of the shortlisted pairs.
+
+    Few keys are broadcast after they are counted. Beyond that a filter of fixed size drops most
+    other orders where they are read, and the rest meets the keys by a shuffle.
+    """
+    keys = pairs.select(PAIR_KEY)
+    if keys.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
+        return active.join(F.broadcast(keys), PAIR_KEY, "left_semi")
+    return maybe_among(active, keys, PAIR_KEY).join(keys.hint("merge"), PAIR_KEY, "left_semi")
 
 
 def pair_rollups(candidates: DataFrame) -> DataFrame:
@@ -160,18 +173,27 @@ def pair_rollups(candidates: DataFrame) -> DataFrame:
 
 
 def pair_gaps(candidates: DataFrame) -> DataFrame:
-    """Least minutes between consecutive orders of a pair."""
-    order = Window.partitionBy(PAIR_KEY).orderBy("order_time_local_tz", "order_id")
-    gap = F.timestamp_diff("MICROSECOND", F.lag("order_time_local_tz").over(order), F.col("order_time_local_tz")) / 60e6
-    return candidates.filter("order_time_local_tz IS NOT NULL").select(*PAIR_KEY, gap.alias("gap")).groupBy(PAIR_KEY).agg(F.min("gap").alias("min_gap_min"))
+    """Least minutes between consecutive orders of a pair; null for a single order.
+
+    Orders are dealt to ranges of (pair, time), so a pair of many orders is split. A range gives
+    its least gap inside and its first and last time of each pair; between ranges the last time
+    meets the next first one.
+    """
+    timed = candidates.filter("order_time_local_tz IS NOT NULL").select(*PAIR_KEY, F.unix_micros(F.col("order_time_local_tz").cast("timestamp")).alias("at"))
+    dealt = timed.repartitionByRange(*PAIR_KEY, "at").withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "time-ranges")
+    inside = Window.partitionBy(*PAIR_KEY, "part").orderBy("at")
+    ranges = dealt.withColumn("gap", F.col("at") - F.lag("at").over(inside)).groupBy(*PAIR_KEY, "part").agg(F.min("gap").alias("gap"), F.min("at").alias("first"), F.max("at").alias("last"))
+    between = Window.partitionBy(PAIR_KEY).orderBy("part")  # a row for each range that a pair reaches into
+    gaps = ranges.select(*PAIR_KEY, F.least("gap", F.col("first") - F.lag("last").over(between)).alias("gap"))
+    return gaps.groupBy(PAIR_KEY).agg((F.min("gap") / 60e6).alias("min_gap_min"))
 
 
 def dominant_route(candidates: DataFrame) -> DataFrame:
     """Most frequent route of each pair, ties to the smallest key."""
     votes = candidates.groupBy(*PAIR_KEY, "route_key").agg(F.count("*").alias("n"))
-    order = Window.partitionBy(PAIR_KEY).orderBy(F.desc("n"), F.asc("route_key"))
-    best = votes.withColumn("__r", F.row_number().over(order)).filter("__r = 1")
-    return best.select(*PAIR_KEY, F.col("route_key").alias("dominant_route"), F.col("n").alias("dominant_route_trips"))
+    best = votes.groupBy(PAIR_KEY).agg(F.min_by(F.struct("route_key", "n"), F.struct(-F.col("n"), "route_key")).alias("x"))
+    return best.select(*PAIR_KEY, F.col("x.route_key").alias("dominant_route"), F.col("x.n").alias("dominant_route_trips"))
 
 
 def enrich_pair_details(candidates: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -1,10 +1,13 @@
 """Literal fixtures: the locked pair, unsorted gaps, the hub, and edges apart in time."""
 
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pairtrace.config import GraphConfig, PairConfig, RuleConfig, ShortlistConfig
+from pairtrace.functions.membership import maybe_among
 from pairtrace.operators import clean, graph, pairs
 from pairtrace.operators.components import connected_components
 from pairtrace.plans.detection import Detection
@@ -22,8 +25,6 @@ def table(spark, rows):
     columns = sorted({c for r in rows for c in r})
     kinds = ", ".join(f"{c} {'double' if ORDER_TYPES[c] == 'double' else 'string'}" for c in columns)
     raw = spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], kinds)
-    from pyspark.sql import functions as F
-
     return derive_order_date(conform(raw, ORDER_TYPES)).withColumn("window_id", F.lit("all"))
 
 
@@ -50,6 +51,39 @@ def test_gap_ignores_input_order(spark):
     assert pairs.pair_gaps(active).first().min_gap_min == 0.9
 
 
+def test_gaps_of_a_pair_across_ranges(spark):
+    """One pair's orders fill several ranges; its least gap may lie inside one or between two."""
+    rnd = random.Random(6)
+    ids = "window_id string, driver_id string, customer_id string, s long"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be one
+    try:
+        for orders in (3, 60, 3_000):
+            times = {("d", "c"): sorted(rnd.sample(range(10**9, 2 * 10**9), orders)), ("d", "e"): [5], ("f", "c"): [7, 7], ("g", "c"): sorted(rnd.sample(range(10**6), 40))}
+            df = spark.createDataFrame([("w", d, c, t) for (d, c), ts in times.items() for t in ts], ids).repartition(7)
+            if orders == 3_000:
+                part = df.repartitionByRange("window_id", "driver_id", "customer_id", "s").filter("driver_id = 'd' AND customer_id = 'c'")
+                assert part.select(F.spark_partition_id()).distinct().count() > 1
+            rows = pairs.pair_gaps(df.withColumn("order_time_local_tz", F.timestamp_seconds("s").cast("timestamp_ntz"))).collect()
+            got = {(r.driver_id, r.customer_id): None if r.min_gap_min is None else round(r.min_gap_min * 60) for r in rows}
+            assert got == {k: min((b - a for a, b in zip(ts, ts[1:], strict=False)), default=None) for k, ts in times.items()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_candidate_orders_beyond_a_broadcast(spark, monkeypatch):
+    """Same rows either way; the filter drops most others before the shuffle and none that match."""
+    active = spark.range(20_000).select(F.lit("w").alias("window_id"), (F.col("id") % 1_000).cast("string").alias("driver_id"), F.when(F.col("id") % 9 > 0, (F.col("id") % 37).cast("string")).alias("customer_id"), F.col("id").alias("order_id"))
+    keys = active.filter("order_id % 101 = 0").select("window_id", "driver_id", "customer_id").distinct()
+    want = {r.order_id for r in pairs.candidate_orders(active, keys).collect()}
+    monkeypatch.setattr(pairs, "BROADCAST_PAIRS", -1)
+    assert {r.order_id for r in pairs.candidate_orders(active, keys).collect()} == want and len(want) > 150
+    some = maybe_among(active, keys, ["window_id", "driver_id", "customer_id"])
+    assert some.columns == active.columns and len(want) <= some.count() < 1.2 * len(want) + 1_000
+    assert maybe_among(active, keys, ["driver_id"], words=1).count() <= 20_000
+    nulls = active.filter("customer_id IS NULL")
+    assert maybe_among(nulls, nulls, ["driver_id", "customer_id"]).count() == nulls.count()
+
+
 @pytest.mark.parametrize("days", [None, 5])
 def test_hub_and_distant_use_give_no_edges(spark, days):
     rows = [order(f"o{i}", f"d{i}", f"c{i}", "2026-07-14T10:00:00", payment_method="Cash", promotion_code="HUB", pickup_address="X" if i < 2 else "Y", last_dropoff_address=f"z{i}") for i in range(3)]
