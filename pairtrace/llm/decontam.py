@@ -15,6 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairtrace.functions.membership import maybe_among
 from pairtrace.functions.shared import materialize
 from pairtrace.llm.rows import text_mark
 
@@ -157,7 +158,8 @@ def _found(tokens: DataFrame, items: DataFrame, window: int) -> DataFrame:
     made, candidates = alignments(tokens, items, window)
     parts = _beside(candidates, made.select("segment", "span", "wide", "items"), "segment")
     per_doc = materialize(parts.groupBy("id", "twin").agg(F.collect_list(F.struct("segment", "span", "wide", "items", "ats")).alias("found")), "aligned-texts")
-    rows = _beside(tokens.select("id", "twin", "words"), per_doc, ["id", "twin"])
+    # Texts without candidates are dropped before the rest is dealt to the candidates, at every size.
+    rows = maybe_among(tokens.select("id", "twin", "words"), per_doc, ["id", "twin"]).join(per_doc.hint("merge"), ["id", "twin"])
     word = F.get  # null beyond either end
 
     def starts(c: Column) -> Column:
