@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairtrace.catalog import _detect, register
-from pairtrace.functions.shared import fresh_path
+from pairtrace.functions.shared import fresh_path, generation
 from pairtrace.operators import property_graph as pg
 from pairtrace.operators import reports
+from pairtrace.operators.adjacency import AdjacencyIndex, seed_orders
 from pairtrace.oracle import PAIR, exact_mean
 from pairtrace.sources import orders
 from pairtrace.sources.trips import trips
@@ -156,6 +157,18 @@ _MARKS = "(SELECT order_id, round_even(max(priority_score), 2) AS priority_score
 _INFRA = "('PICKUP_AT', 'DROPOFF_AT', 'PAID_BY', 'USED_PROMO')"
 
 
+_graphs: dict[tuple, AdjacencyIndex] = {}
+
+
+def _graph(spark, d):
+    """The written edges of a folder; they serve as long as its detection does."""
+    key = (spark.sparkContext.applicationId, id(_detect(spark, d)), generation())
+    if key not in _graphs:
+        _graphs.clear()
+        _graphs[key] = AdjacencyIndex.write(pg.graph_edges(_keyed(spark, d)), fresh_path(spark, "adjacency"), 16)
+    return _graphs[key]
+
+
 def _keyed(spark, d):
     return pg.with_address_keys(pg.clean_wide_orders(trips(spark, d)))
 
@@ -270,6 +283,37 @@ for _actor in ("driver", "customer"):
         return pg.related_actors(x.active, x.shortlist, actor)
 
 
+_EARLY = _MARKS.replace("FROM flags", "FROM flags WHERE order_date < DATE '1997-01-01' OR reason_code LIKE '%GHOST%'")
+
+
+def _two_runs(spark, d):
+    """Marks of an earlier run, which knew some days and one reason, and those of the present one."""
+    flags = _detect(spark, d).flags
+    return pg.order_flags(flags.filter("order_date < DATE '1997-01-01' OR reason_code LIKE '%GHOST%'")), pg.order_flags(flags)
+
+
+@register("flag_changes", "order_id, change, priority_score, risk_tier", f"""(SELECT order_id, CASE WHEN o.order_id IS NULL THEN 'added' WHEN n.order_id IS NULL THEN 'removed' ELSE 'changed' END AS change, n.priority_score, n.risk_tier
+      FROM {_MARKS} n FULL JOIN {_EARLY} o USING (order_id) WHERE o.order_id IS NULL OR n.order_id IS NULL OR o.priority_score IS DISTINCT FROM n.priority_score OR o.risk_tier IS DISTINCT FROM n.risk_tier)""")
+def _(spark, d):
+    return pg.flag_changes(*_two_runs(spark, d))
+
+
+@register("refreshed_order_nodes", "order_id, driver_id, is_flagged, priority_score, risk_tier", f"(SELECT a.order_id, driver_id, m.order_id IS NOT NULL AS is_flagged, priority_score, risk_tier FROM active a LEFT JOIN {_EARLY} m ON a.order_id = m.order_id)")
+def _(spark, d):
+    """The present run's orders, brought back to the earlier marks."""
+    early, late = _two_runs(spark, d)
+    return pg.apply_flag_changes(pg.flag_orders(_detect(spark, d).active, late), pg.flag_changes(late, early))
+
+
+for _actor in ("driver", "customer"):
+
+    @register(f"refreshed_{_actor}_flags", f"{_actor}_id, flagged_order_count, is_flagged", f"""(SELECT *, flagged_order_count > 0 AS is_flagged FROM (
+          SELECT {_actor}_id, count(DISTINCT order_id) FILTER (WHERE order_id IN (SELECT order_id FROM flags)) AS flagged_order_count FROM active GROUP BY ALL))""")
+    def _(spark, d, actor=_actor):
+        active, (early, late) = _detect(spark, d).active, _two_runs(spark, d)
+        return pg.refresh_actor_flags(pg.actor_flags(active, early, actor), active, pg.flag_changes(early, late), actor)
+
+
 @register("pair_orders", f"{_PAIR}, order_id", f"(SELECT DISTINCT {_PAIR}, order_id FROM active SEMI JOIN shortlist USING ({_PAIR}))")
 def _(spark, d):
     x = _detect(spark, d)
@@ -287,7 +331,7 @@ def _(spark, d):
       FROM ({_EDGES}) WHERE type IN ('PLACED', 'SERVED', 'PICKUP_AT', 'DROPOFF_AT', 'PAID_BY', 'USED_PROMO')) USING (order_id))""")
 def _(spark, d):
     x = _detect(spark, d)
-    return pg.pair_history(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+    return pg.pair_history(x.active, _graph(spark, d).at_orders(seed_orders(x.active, x.shortlist, "driver_id", "customer_id")), x.shortlist)
 
 
 _OF = lambda d: f"SELECT customer_id FROM active WHERE driver_id = '{d}'"
@@ -317,6 +361,14 @@ def _(spark, d):
     return pg.shared_customer_counts(x.active, x.shortlist)
 
 
+@register("shared_customer_estimate", "driver_id, others, most_members", f"""(WITH met AS (SELECT DISTINCT {_PAIR} FROM active), degree AS (SELECT driver_id, count(*) AS n FROM met GROUP BY ALL),
+      two AS (SELECT DISTINCT s.driver_id, o.driver_id AS other FROM shortlist s JOIN met o ON o.customer_id = s.customer_id AND o.driver_id <> s.driver_id)
+      SELECT t.driver_id, count(*) AS others, CAST(sum(least(a.n, b.n)) AS BIGINT) AS most_members FROM two t JOIN degree a ON a.driver_id = t.driver_id JOIN degree b ON b.driver_id = t.other GROUP BY ALL)""")
+def _(spark, d):
+    x = _detect(spark, d)
+    return pg.shared_customer_estimate(x.active, x.shortlist)
+
+
 @register("shared_customers", f"{_PAIR}, other_driver, shared_customer", f"""(SELECT DISTINCT s.driver_id, s.customer_id, o.driver_id AS other_driver, t.customer_id AS shared_customer FROM (SELECT DISTINCT {_PAIR} FROM shortlist) s
       JOIN (SELECT DISTINCT {_PAIR} FROM active) o ON o.customer_id = s.customer_id AND o.driver_id <> s.driver_id JOIN (SELECT DISTINCT {_PAIR} FROM active) t ON t.driver_id = o.driver_id AND t.customer_id <> s.customer_id
       JOIN (SELECT DISTINCT {_PAIR} FROM active) m ON m.driver_id = s.driver_id AND m.customer_id = t.customer_id)""")
@@ -328,13 +380,14 @@ def _(spark, d):
 @register("order_neighborhood", "order_id, type, other", f"""(SELECT * FROM (SELECT CASE WHEN type IN ('PLACED', 'SERVED') THEN dst ELSE src END AS order_id, type, CASE WHEN type IN ('PLACED', 'SERVED') THEN src ELSE dst END AS other
       FROM ({_EDGES}) WHERE type <> 'IN_CAMPAIGN') WHERE order_id IN (SELECT order_id FROM flags))""")
 def _(spark, d):
-    return pg.order_neighborhood(pg.graph_edges(_keyed(spark, d)), _detect(spark, d).flags)
+    flags = _detect(spark, d).flags
+    return pg.order_neighborhood(_graph(spark, d).at_orders(flags), flags)
 
 
 @register("shared_infrastructure", "type, dst, seed_orders, other_orders", f"""(SELECT * FROM (SELECT type, dst, count(*) FILTER (WHERE src IN (SELECT order_id FROM flags)) AS seed_orders,
       count(*) FILTER (WHERE src NOT IN (SELECT order_id FROM flags)) AS other_orders FROM ({_EDGES}) WHERE type IN {_INFRA} GROUP BY ALL) WHERE seed_orders > 0 AND other_orders > 0)""")
 def _(spark, d):
-    return pg.shared_infrastructure(pg.graph_edges(_keyed(spark, d)), _detect(spark, d).flags)
+    return _graph(spark, d).shared_infrastructure(_detect(spark, d).flags)
 
 
 _ENDS = f"(SELECT src AS order_id, type, dst FROM ({_EDGES}) WHERE type IN {_INFRA})"
@@ -345,20 +398,20 @@ _PAIR_ENDS = f"(SELECT *, n - own_orders AS other_orders FROM {_OWN} JOIN (SELEC
 @register("pair_infrastructure", f"{_PAIR}, type, dst, own_orders, other_orders", _PAIR_ENDS)
 def _(spark, d):
     x = _detect(spark, d)
-    return pg.pair_infrastructure(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+    return _graph(spark, d).pair_infrastructure(x.active, x.shortlist)
 
 
 @register("infrastructure_orders", "type, dst, order_id", f"(SELECT * FROM {_ENDS} SEMI JOIN {_PAIR_ENDS} USING (type, dst))")
 def _(spark, d):
     x = _detect(spark, d)
-    return pg.infrastructure_orders(x.active, pg.graph_edges(_keyed(spark, d)), x.shortlist)
+    return _graph(spark, d).infrastructure_orders(x.active, x.shortlist)
 
 
 @register("driver_neighbors", "driver_id, type, neighbor, orders", f"""(SELECT driver_id, type, neighbor, count(DISTINCT order_id) AS orders FROM (SELECT DISTINCT driver_id, order_id FROM active WHERE driver_id IN (SELECT driver_id FROM flags)) JOIN (
       SELECT dst AS order_id, type, src AS neighbor FROM ({_EDGES}) WHERE type = 'PLACED' UNION ALL SELECT src, type, dst FROM ({_EDGES}) WHERE type IN ('USES_SERVICE', 'PICKUP_AT', 'DROPOFF_AT')) USING (order_id) GROUP BY ALL)""")
 def _(spark, d):
     x = _detect(spark, d)
-    return pg.driver_neighbors(x.active, pg.graph_edges(_keyed(spark, d)), x.flags)
+    return pg.driver_neighbors(x.active, _graph(spark, d).at_orders(seed_orders(x.active, x.flags, "driver_id")), x.flags)
 
 
 @register("driver_neighborhood", "driver_id, orders, customers, services, addresses", """(SELECT * FROM (SELECT driver_id, count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers, count(DISTINCT service_name) AS services FROM active GROUP BY ALL)
@@ -372,13 +425,15 @@ def _(spark, d):
 @register("component_subgraph", "component_id, type, dst, orders", f"""(SELECT component_id, type, dst, count(*) AS orders FROM ({_EDGES}) JOIN (
       SELECT DISTINCT component_id, order_id AS src FROM flags) USING (src) WHERE type IN {_INFRA} GROUP BY ALL HAVING count(*) > 1)""")
 def _(spark, d):
-    return pg.component_subgraph(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))
+    flags = _detect(spark, d).flags
+    return pg.component_subgraph(flags, _graph(spark, d).at_orders(flags))
 
 
 @register("component_paths", "component_id, customer_id, order_id, driver_id", f"""(SELECT component_id, p.src AS customer_id, order_id, s.src AS driver_id FROM (SELECT DISTINCT component_id, order_id FROM flags)
       JOIN ({_EDGES}) p ON p.dst = order_id AND p.type = 'PLACED' JOIN ({_EDGES}) s ON s.dst = order_id AND s.type = 'SERVED')""")
 def _(spark, d):
-    return pg.component_paths(_detect(spark, d).flags, pg.graph_edges(_keyed(spark, d)))
+    flags = _detect(spark, d).flags
+    return pg.component_paths(flags, _graph(spark, d).at_orders(flags))
 
 
 def _parts(spark, d):

@@ -167,6 +167,36 @@ def actor_flags(orders: DataFrame, marks: DataFrame, actor: str) -> DataFrame:
     return df.withColumn("is_flagged", F.col("flagged_order_count") > 0)
 
 
+def flag_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(order_id, change, priority_score, risk_tier): marks that were added, removed, or changed in score or tier; a removed one has none.
+
+    ``before`` and ``after`` are marks of ``order_flags``, a row an order.
+    """
+    old = before.select("order_id", F.struct("priority_score", "risk_tier").alias("old"))
+    both = old.join(after.select("order_id", F.struct("priority_score", "risk_tier").alias("new")), "order_id", "full")
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(~F.col("old").eqNullSafe(F.col("new")), "changed")
+    return both.withColumn("change", change).filter("change IS NOT NULL").select("order_id", "change", "new.priority_score", "new.risk_tier")
+
+
+def apply_flag_changes(nodes: DataFrame, changes: DataFrame) -> DataFrame:
+    """Order rows of ``flag_orders`` after the changes; only orders that changed are written anew."""
+    new = changes.select("order_id", F.struct((F.col("change") != "removed").alias("is_flagged"), "priority_score", "risk_tier").alias("__new"))
+    given = {c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) for c in ("is_flagged", "priority_score", "risk_tier")}
+    return nodes.join(new, "order_id", "left").withColumns(given).drop("__new")
+
+
+def refresh_actor_flags(known: DataFrame, orders: DataFrame, changes: DataFrame, actor: str) -> DataFrame:
+    """``actor_flags`` brought up to date by the changes: orders that gained or lost their mark are counted, other actors stay as they are.
+
+    ``known`` has every actor of ``orders``, as ``actor_flags`` gives them.
+    """
+    key = f"{actor}_id"
+    moved = changes.filter("change <> 'changed'").select("order_id", F.when(F.col("change") == "added", 1).otherwise(-1).alias("by"))
+    gained = orders.select("order_id", key).join(moved, "order_id").distinct().groupBy(key).agg(F.sum("by").alias("__by"))
+    df = known.join(gained, key, "left").withColumn("flagged_order_count", F.col("flagged_order_count") + F.coalesce("__by", F.lit(0)))
+    return df.withColumn("is_flagged", F.col("flagged_order_count") > 0).drop("__by")
+
+
 def pair_orders(orders: DataFrame, seeds: DataFrame) -> DataFrame:
     """Orders between the driver and customer of each seed pair."""
     return orders.join(seeds.select("driver_id", "customer_id").distinct(), ["driver_id", "customer_id"], "left_semi").select("driver_id", "customer_id", "order_id").distinct()
@@ -231,12 +261,34 @@ def shared_customer_counts(orders: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def shared_customers(orders: DataFrame, seeds: DataFrame) -> DataFrame:
-    """For each seed pair: customers of its driver whom another driver of its customer served too."""
+    """For each seed pair: customers of its driver whom another driver of its customer served too.
+
+    The members of two drivers are sought once, from the one of fewer customers: its list is
+    spelled out and met with the other's. ``shared_customer_estimate`` bounds the rows before.
+    """
+    met = orders.select("driver_id", "customer_id").distinct()
+    others = related_actors(orders, seeds, "driver").select("driver_id", "customer_id", F.col("related").alias("other_driver"))
+    sought = _smaller_lists(met, others)
+    one = sought.join(met.select(F.col("driver_id").alias("few"), F.col("customer_id").alias("shared_customer")), "few")
+    both = one.join(met.select(F.col("driver_id").alias("many"), F.col("customer_id").alias("shared_customer")), ["many", "shared_customer"], "left_semi")
+    rows = others.join(both.select("driver_id", "other_driver", "shared_customer"), ["driver_id", "other_driver"])
+    return rows.filter(F.col("shared_customer") != F.col("customer_id")).select("driver_id", "customer_id", "other_driver", "shared_customer")
+
+
+def _smaller_lists(met: DataFrame, others: DataFrame) -> DataFrame:
+    """(driver_id, other_driver, few, many, customers): the two drivers by their numbers of customers, and the smaller number."""
+    degree = met.groupBy("driver_id").agg(F.count("*").alias("n"))
+    df = others.select("driver_id", "other_driver").distinct().join(degree, "driver_id").join(degree.select(F.col("driver_id").alias("other_driver"), F.col("n").alias("m")), "other_driver")
+    less = F.col("n") <= F.col("m")
+    pick = lambda a, b: F.when(less, F.col(a)).otherwise(F.col(b))
+    return df.select("driver_id", "other_driver", pick("driver_id", "other_driver").alias("few"), pick("other_driver", "driver_id").alias("many"), F.least("n", "m").alias("customers"))
+
+
+def shared_customer_estimate(orders: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(driver_id, others, most_members): for each seed driver, the drivers to compare and how many members they can share at most."""
     met = orders.select("driver_id", "customer_id").distinct()
     others = related_actors(orders, seeds, "driver").select("driver_id", "customer_id", F.col("related").alias("other_driver"))
-    theirs = others.join(met.select(F.col("driver_id").alias("other_driver"), F.col("customer_id").alias("shared_customer")), "other_driver")
-    own = met.select("driver_id", F.col("customer_id").alias("shared_customer"))
-    return theirs.join(own, ["driver_id", "shared_customer"], "left_semi").filter(F.col("shared_customer") != F.col("customer_id")).select("driver_id", "customer_id", "other_driver", "shared_customer")
+    return _smaller_lists(met, others).groupBy("driver_id").agg(F.count("*").alias("others"), F.sum("customers").alias("most_members"))
 
 
 def _order_edges(edges: DataFrame) -> DataFrame:
