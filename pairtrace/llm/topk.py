@@ -14,8 +14,8 @@ from pairtrace.functions.shared import materialize
 
 #: Most vectors of a tile, and most components of one: longer vectors make smaller tiles.
 TILE_ROWS, QUERY_ROWS, TILE_NUMBERS = 4096, 1024, 1 << 20
-#: Query tiles whose top lists a task merges before it sends them on.
-HELD_TILES = 64
+#: Bytes of query tiles that a task holds while shard tiles stream by, as doubles.
+HELD_BYTES = 16 << 20
 TILE_SCHEMA = "dim int, tile long, n int, item string, ids binary, body binary"
 #: Scores beyond it are ties: what a decimal(38) holds.
 MOST_SCORE = 10**38 - 1
@@ -159,8 +159,10 @@ def top_k(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id",
     of least vector. Further columns may have any name. An empty table gives no rows.
 
     Shard tiles and query tiles are dealt on a grid of lanes, so each side is copied along one
-    axis only. A task merges the top lists of its query tiles, then two windows merge the tasks'.
-    Arrow batches of tile pairs are bounded by spark.sql.execution.arrow.maxBytesPerBatch.
+    axis only. In a lane a block of at most about ``HELD_BYTES`` of query tiles is held while the
+    lane's shard tiles stream by, each sent once a block. Their top lists are merged there, and
+    two windows merge the tasks'.
+    Arrow batches are bounded by spark.sql.execution.arrow.maxBytesPerBatch.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.coalesce(query, F.lit(False)).alias("is_query"))
     rows = one_row_each(rows.filter(F.col("id").isNotNull() & usable("v")))
@@ -170,38 +172,41 @@ def top_k(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id",
     down, across = _lanes(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), *sizes)
     lane = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "tile"), F.lit(n)).cast("int")
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = shards.withColumn("row", lane(down, 1)).withColumn("col", copies(across))
-    right = asked.select("dim", *[F.col(c).alias(f"q_{c}") for c in ("tile", "item", "ids", "body")], lane(across, 2).alias("col")).withColumn("row", copies(down))
+    blocks = max(1, math.ceil(8 * sizes[1] / across / HELD_BYTES))
+    keys = ["dim", "row", "col", "block"]
+    tile = ["tile", "item", "ids", "body"]
+    right = asked.select("dim", lane(across, 2).alias("col"), lane(blocks, 3).alias("block"), F.lit(0).alias("kind"), *tile).withColumn("row", copies(down))
+    left = shards.select("dim", lane(down, 1).alias("row"), F.lit(1).alias("kind"), *tile).withColumn("col", copies(across)).withColumn("block", copies(blocks))
 
     def run(batches):
-        held: dict[int, tuple] = {}
-        part = 0
+        now, asking, found = None, [], []
 
         def flush():
-            nonlocal part
-            part += 1
-            for q, v, s in held.values():
+            for q, v, s in (x for x in found if x is not None):
                 far = s.dtype == object
                 clipped = np.array([max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in s], np.int64) if far else s
                 exact = [str(max(-MOST_SCORE, min(MOST_SCORE, int(x)))) if far else None for x in s]
                 yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(clipped), pa.array(exact, pa.string())], ["query_id", "vec_id", "score", "beyond"])
-            held.clear()
 
         for batch in batches:
             for n in range(batch.num_rows):
                 r = {c: batch.column(c)[n].as_py() for c in batch.schema.names}
-                ids, q_ids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
-                body, queries = np.frombuffer(r["body"], r["item"]).reshape(-1, r["dim"]), np.frombuffer(r["q_body"], r["q_item"]).reshape(-1, r["dim"])
-                a, b, s = best_of(queries, q_ids, body, ids, k)
-                new, old = (q_ids[a], ids[b], s), held.pop(r["q_tile"], None)
-                if old is not None:
-                    new = tuple(np.concatenate(x) for x in zip(old, new, strict=True))
-                held[r["q_tile"]] = _merged(*new, k)
-                if len(held) > HELD_TILES:
+                if (key := tuple(r[c] for c in keys)) != now:
                     yield from flush()
+                    now, asking, found = key, [], []
+                ids, body = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["body"], r["item"]).reshape(-1, r["dim"])
+                if r["kind"] == 0:  # the block's queries come first and stay
+                    asking.append((ids, body))
+                    found.append(None)
+                    continue
+                for i, (q_ids, queries) in enumerate(asking):
+                    a, b, s = best_of(queries, q_ids, body, ids, k)
+                    new = (q_ids[a], ids[b], s)
+                    found[i] = _merged(*(new if found[i] is None else (np.concatenate(x) for x in zip(found[i], new, strict=True))), k)
         yield from flush()
 
-    pairs = left.join(right, ["dim", "row", "col"]).mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
+    dealt = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "kind")
+    pairs = dealt.mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
     # ``beyond`` has the true score as text where doubles could not hold the sums.
     true = F.coalesce(F.col("beyond").try_cast("decimal(38,0)"), F.col("score").cast("decimal(38,0)"))
     order = [F.desc("true"), F.asc("vec_id")]

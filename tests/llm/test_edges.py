@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from pairtrace.llm import decontam, labelled, line_dedup, quality, simhash
+from pairtrace.llm import decontam, labelled, line_dedup, quality, simhash, topk
 
 
 def hits(doc, items, window=10):
@@ -80,3 +82,19 @@ def test_fingerprint_shards_pass_in_pieces(spark, monkeypatch):
         low, high = sorted((group[a], group[b]))
         group = {v: low if g == high else g for v, g in group.items()}
     assert all(group[a] == group[b] for a, b in near)
+
+
+def test_query_blocks_held_while_shards_stream_by(spark, monkeypatch):
+    """Small tiles, several lanes and several blocks a lane give the products of all with all."""
+    for name, value in (("TILE_ROWS", 7), ("QUERY_ROWS", 5), ("HELD_BYTES", 300)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(5)
+    body = {i: rng.integers(-3, 4, 4 if i % 10 else 3) / 2 for i in range(120)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in body.items()], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 3 == 0).collect()))
+    whole = {i: np.floor(256 * v) for i, v in body.items()}
+    want = []
+    for q in range(0, 120, 3):
+        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q and v.size == whole[q].size)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert got == want
