@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairtrace.llm.rows import frugal
+
 NEVER = 1 << 30
 EDGE, GONE = -1, -2
 #: Characters of the texts that are merged together (one text at least), and rows of an output batch.
@@ -193,7 +195,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
                     )
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = source.mapInArrow(run, "id long, n_tokens long, ids binary, decoded binary")
+    out = source.mapInArrow(frugal(run), "id long, n_tokens long, ids binary, decoded binary")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
-from pairtrace.llm.rows import tables, text_mark
+from pairtrace.llm.rows import frugal, slices, tables, text_mark
 from pairtrace.llm.simhash import BROADCAST_ROWS, shingle_hashes, split_words
 from pairtrace.operators.components import connected_components
 
@@ -63,7 +63,7 @@ def _sketched(source: DataFrame, shingle: int) -> DataFrame:
     """(id, mark, n, key, sketch) of (id, mark, text): ``key`` names the set by 128 bits, ``sketch`` is absent without words."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, sketches = [], [], []
             for text in batch.column("text"):  # one full set at a time
                 found = np.unique(shingle_hashes(split_words(text.as_py()), shingle))
@@ -73,7 +73,7 @@ def _sketched(source: DataFrame, shingle: int) -> DataFrame:
             columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), *columns], ["id", "mark", "n", "key", "sketch"])
 
-    return source.mapInArrow(run, "id long, mark long, n long, key binary, sketch array<long>")
+    return source.mapInArrow(frugal(run), "id long, mark long, n long, key binary, sketch array<long>")
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -149,23 +149,21 @@ def _leaders(lists: DataFrame, sets: DataFrame, percent: int, most: int) -> Data
 
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / most)).cast("int")
     rows = lists.select("value", "node", part.alias("part")).join(sets.select("node", "n", "sketch"), "node")
-    return rows.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _full_sets(nodes: DataFrame, sets: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
     """(node, grams): the sorted set of shingle hashes of each of ``nodes``, cut from a whole text."""
 
     def cut(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                made = [np.unique(shingle_hashes(split_words(t.as_py()), shingle)).tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.binary())], ["node", "grams"])
+        for batch in slices(batches):
+            made = [np.unique(shingle_hashes(split_words(t.as_py()), shingle)).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "grams"])
 
     met = materialize(sets.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "id", "mark"), "listed-texts")
     small = met.count() <= BROADCAST_ROWS
     whole = source.join(F.broadcast(met) if small else met, ["id", "mark"]).select("node", "text")
-    made = materialize(whole.mapInArrow(cut, "node long, grams binary"), "full-sets")
+    made = materialize(whole.mapInArrow(frugal(cut), "node long, grams binary"), "full-sets")
     # Rows that share id and text come more than once; their sets are the same.
     return made if made.groupBy("node").count().filter("count > 1").isEmpty() else made.dropDuplicates(["node"])
 
@@ -178,7 +176,7 @@ def _confirmed(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda end, name: grams.select(F.col("node").alias(end), F.col("grams").alias(name))
-    return pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(frugal(run), "a long, b long")
 
 
 def settled_pairs(
@@ -249,7 +247,7 @@ def _settled(lists: DataFrame, groups: DataFrame, sets: DataFrame, grams: DataFr
             ends = node[np.array(found, np.int64).reshape(-1, 2)]
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-    return rows.repartition("value", "o", "r").sortWithinPartitions("value", "o", "r").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("value", "o", "r").sortWithinPartitions("value", "o", "r").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _groups(sets: DataFrame, source: DataFrame, shingle: int, percent: int, most: int, block: int) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.llm.labelled import held_out, join_texts, label_table, lowest_hashes, remainder
+from pairtrace.llm.rows import frugal, slices
 
 STATISTICS = (
     "log_bytes", "log_words", "log_lines", "mean_word", "sd_word", "upper", "digit", "symbol", "space", "high_byte",
@@ -139,11 +140,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", modulu
     sample = join_texts(docs, lowest_hashes(known, bound, 17), text_col)
 
     def run(batches):
-        for batch in batches:
-            x = [statistics(t) for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            x = [statistics(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array([r.tolist() for r in x], pa.list_(pa.float64()))], ["id", "label", "x"])
 
-    rows = sorted(sample.select("id", "label", "text").mapInArrow(run, "id long, label int, x array<double>").collect())
+    rows = sorted(sample.select("id", "label", "text").mapInArrow(frugal(run), "id long, label int, x array<double>").collect())
     x = np.array([r.x for r in rows]).reshape(-1, len(STATISTICS))
     return fit(x, np.array([float(r.label > 0) for r in rows]))
 
@@ -156,11 +157,11 @@ def score_quality(docs: DataFrame, trees: Trees, text_col: str = "text", into: s
     schema = docs.withColumn(into, F.lit(0.0)).schema
 
     def run(batches):
-        for batch in batches:
-            x = np.array([statistics(t) for t in batch.column(names.index(text_col)).to_pylist()]).reshape(-1, len(STATISTICS))
+        for batch in slices(batches):
+            x = np.array([statistics(t.as_py()) for t in batch.column(names.index(text_col))]).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.value.score(x))], [*batch.schema.names, into])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -1,13 +1,44 @@
-"""Rows told apart by their id and their text, as ids may be null or repeat; groups of sorted streams."""
+"""Rows told apart by their id and their text, as ids may be null or repeat; streams of sorted groups and of small batches."""
 
 from __future__ import annotations
 
+import ctypes
+from functools import lru_cache, wraps
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a text batch that are worked on, and sent back, at a time.
+SLICE_ROWS = 500
+
+
+@lru_cache(1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def frugal(run):
+    """``run`` for mapInArrow, which hands freed memory back when a partition ends: idle workers stay alive beside later stages."""
+
+    @wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return wrapped
+
+
+def slices(batches):
+    """The batches in pieces of at most SLICE_ROWS rows."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(lo, SLICE_ROWS)
+
+
 def text_mark(text_col: str) -> Column:
     """64-bit hash of the text; null and empty texts share one."""
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))

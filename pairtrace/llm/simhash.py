@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairtrace.functions.shared import materialize
-from pairtrace.llm.rows import tables, text_mark
+from pairtrace.llm.rows import frugal, slices, tables, text_mark
 from pairtrace.operators.components import connected_components
 
 CHUNK = 1 << 16
@@ -133,12 +133,12 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``(id, fp long)`` for every row: the fingerprint's 64 bits as a signed long."""
 
     def run(batches):
-        for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+        for batch in slices(batches):
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, fp long")
+    return source.mapInArrow(frugal(run), "id long, fp long")
 
 
 def _shards(fps: DataFrame, radius: int, most: int) -> DataFrame:
@@ -181,7 +181,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, most: int = 20_000) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     shards = _shards(fps, radius, most)
-    return shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long").distinct()
+    return shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -208,7 +208,7 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
     """(id, mark, words, fp, minima, bands) of (id, mark, text): ``words`` hashes the word sequence, ``minima`` has 16 bits of each."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in batch.column("text"):
                 found = split_words(text.as_py())
@@ -221,7 +221,7 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
             columns = [batch.column("id"), batch.column("mark"), *longs, pa.array([r[2] for r in out], pa.binary()), pa.array(lists, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "words", "fp", "minima", "bands"])
 
-    return docs.mapInArrow(run, "id long, mark long, words long, fp long, minima binary, bands array<long>")
+    return docs.mapInArrow(frugal(run), "id long, mark long, words long, fp long, minima binary, bands array<long>")
 
 
 class Groups:
@@ -331,14 +331,14 @@ def _shingle_sets(members: DataFrame, texts: DataFrame, source: DataFrame, shing
     """(words, grams): the sorted set of shingle hashes of every text that meets another one; each text is cut once."""
 
     def cut(batches):
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(split_words(t), shingle)).tobytes() for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(split_words(t.as_py()), shingle)).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("words"), pa.array(sets, pa.binary())], ["words", "grams"])
 
     met = materialize(texts.join(members.select("words").distinct(), "words", "left_semi").select("words", "id", "mark"), "meeting-texts")
     met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
     whole = source.join(met, ["id", "mark"]).select("words", "text")
-    made = materialize(whole.mapInArrow(cut, "words long, grams binary"), "shingle-sets")
+    made = materialize(whole.mapInArrow(frugal(cut), "words long, grams binary"), "shingle-sets")
     # Rows that share id and text come more than once; their sets are the same.
     return made if made.groupBy("words").count().filter("count > 1").isEmpty() else made.dropDuplicates(["words"])
 
@@ -359,7 +359,7 @@ def _candidates(members: DataFrame, texts: DataFrame, most: int, links: int) ->
 
     part = F.pmod(F.xxhash64("words", "shard"), F.ceil(F.col("n") / most)).cast("int")
     rows = members.select("words", "shard", part.alias("part")).join(texts.select("words", "fp", "minima"), "words")
-    return rows.repartition("shard", "part").sortWithinPartitions("shard", "part").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("shard", "part").sortWithinPartitions("shard", "part").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _checked(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
@@ -377,7 +377,7 @@ def _checked(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda end, name: grams.select(F.col("words").alias(end), F.col("grams").alias(name))
-    return pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(frugal(run), "a long, b long")
 
 
 def _settled(members: DataFrame, groups: DataFrame, texts: DataFrame, grams: DataFrame, similarity: float, block: int) -> DataFrame:
@@ -412,7 +412,7 @@ def _settled(members: DataFrame, groups: DataFrame, texts: DataFrame, grams: Dat
             ends = words[np.array(found, np.int64).reshape(-1, 2)]
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-    return rows.repartition("shard", "o", "r").sortWithinPartitions("shard", "o", "r").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("shard", "o", "r").sortWithinPartitions("shard", "o", "r").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _similar_groups(texts: DataFrame, source: DataFrame, shingle: int, similarity: float, most: int, links: int, block: int) -> DataFrame:
