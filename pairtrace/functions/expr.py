@@ -78,6 +78,24 @@ def exact_blend(weights: dict[str, int], percent: int, digits: int, units: int =
     return exact_ratio(top, F.count("*") * F.lit(percent * 10**units).cast("decimal(18,0)"), digits)
 
 
+def distinct_counts(rows: DataFrame, keys: list[str], counts: dict[str, tuple[str, ...]]) -> DataFrame:
+    """``keys`` with the number of distinct values of each name's columns; a single column's nulls don't count.
+
+    The distinct rows of all columns are written once, then each count has two grouped steps over
+    that table, combined map-side. No row is repeated for the sake of another count, and no
+    group's values meet in one task. Without keys there is one row.
+    """
+    columns = sorted({c for cs in counts.values() for c in cs})
+    base = materialize(rows.select(*keys, *columns).distinct(), "distinct-rows")
+    found = base.select(*keys).distinct().select(*keys, F.lit(None).cast("string").alias("__of"), F.lit(0).cast("long").alias("__n")) if keys else None
+    for name, cs in counts.items():
+        seen = base.filter(F.col(cs[0]).isNotNull()) if len(cs) == 1 else base
+        one = seen.select(*keys, *cs).distinct().groupBy(*keys).agg(F.count("*").alias("__n")).select(*keys, F.lit(name).alias("__of"), "__n")
+        found = one if found is None else found.unionAll(one)
+    number = lambda name: F.coalesce(F.max(F.when(F.col("__of") == name, F.col("__n"))), F.lit(0).cast("long")).alias(name)
+    return found.groupBy(*keys).agg(*[number(name) for name in counts])
+
+
 def running_total(rows: DataFrame, keys: list[str], order: list[Column], amount: Column, out: str) -> DataFrame:
     """``rows`` with the running sum of ``amount`` inside ``keys`` in the total order ``order``.
 

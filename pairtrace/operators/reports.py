@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairtrace.functions.expr import PAIR_KEY, exact_mean, running_total
+from pairtrace.functions.expr import PAIR_KEY, distinct_counts, exact_mean, running_total
 
 UNKNOWN = "Không rõ"
 GRAINS = ("day", "week", "month")
@@ -69,18 +69,16 @@ def period_summary(flags: DataFrame, grain: str) -> DataFrame:
     """Distinct orders (under two names), drivers, customers and pairs of each day, week or month."""
     if grain not in GRAINS:
         raise ValueError(f"grain is one of {GRAINS}")
-    return normalize_flags(flags).groupBy(F.col(f"order_{grain}").alias("period_start")).agg(
-        _distinct("order_id", "flagged_orders"), _distinct("order_id", "total_orders_in_scope"), _distinct("driver_id", "flagged_drivers"),
-        _distinct("customer_id", "flagged_customers"), _distinct(F.struct("driver_id", "customer_id"), "flagged_pairs"),
-    )
+    counts = {"flagged_orders": ("order_id",), "flagged_drivers": ("driver_id",), "flagged_customers": ("customer_id",), "flagged_pairs": ("driver_id", "customer_id")}
+    df = distinct_counts(normalize_flags(flags).withColumn("period_start", F.col(f"order_{grain}")), ["period_start"], counts)
+    return df.withColumn("total_orders_in_scope", F.col("flagged_orders")).orderBy("period_start")
 
 
 def overview_metrics(flags: DataFrame) -> DataFrame:
-    return flags.agg(
-        _distinct("order_id", "flagged_orders"), _distinct("driver_id", "flagged_drivers"), _distinct("customer_id", "flagged_customers"),
-        _distinct("order_id", "total_orders_in_scope"),
-        F.coalesce(F.max("component_size"), F.lit(0)).alias("largest_component_size"),
-    )
+    """One row: distinct orders (under two names), drivers and customers, and the largest component."""
+    counts = distinct_counts(flags, [], {"flagged_orders": ("order_id",), "flagged_drivers": ("driver_id",), "flagged_customers": ("customer_id",)})
+    largest = flags.agg(F.coalesce(F.max("component_size"), F.lit(0)).alias("largest_component_size"))
+    return counts.crossJoin(largest).withColumn("total_orders_in_scope", F.col("flagged_orders"))  # one row each
 
 
 def rule_overview(flags: DataFrame) -> DataFrame:
@@ -132,9 +130,8 @@ def window_metrics(flags: DataFrame, high_tiers: tuple[str, ...] = HIGH_TIERS) -
     spans = latest.select("end_date", spans.alias("w")).select("w.label", F.date_sub("end_date", F.col("w.days") - 1).alias("start_date"), "end_date")
     high = F.col("risk_tier").isin(*high_tiers)
     inside = flags.join(F.broadcast(spans), F.col("order_date").between(F.col("start_date"), F.col("end_date")))
-    return inside.groupBy("label", "start_date", "end_date").agg(
-        _distinct("order_id", "flagged_orders"), _distinct(F.when(high, F.col("order_id")), "high_risk_orders"), _distinct(F.when(~high, F.col("order_id")), "watchlist_orders"),
-    )
+    inside = inside.withColumns({"high_order": F.when(high, F.col("order_id")), "watched_order": F.when(~high, F.col("order_id"))})
+    return distinct_counts(inside, ["label", "start_date", "end_date"], {"flagged_orders": ("order_id",), "high_risk_orders": ("high_order",), "watchlist_orders": ("watched_order",)})
 
 
 def insights(flags: DataFrame, grain: str = "month") -> DataFrame:
@@ -159,7 +156,8 @@ def case_lookup(flags: DataFrame, by: str, value: str | None = None) -> DataFram
     """Per order, driver or customer (all, or one): related orders, drivers, customers, rules and tiers."""
     key = {"order": "order_id", "driver": "driver_id", "customer": "customer_id"}[by]
     rows = flags.filter(F.col(key) == value) if value is not None else flags
-    return rows.groupBy(F.col(key).alias("lookup_value")).agg(
-        _distinct("order_id", "related_orders"), _distinct("driver_id", "related_drivers"), _distinct("customer_id", "related_customers"),
-        F.array_join(F.array_sort(F.collect_set("business_rule_label")), " | ").alias("rules"), F.array_join(F.array_sort(F.collect_set("risk_tier")), " | ").alias("tiers"),
-    )
+    rows = rows.withColumn("lookup_value", F.col(key))
+    counts = distinct_counts(rows, ["lookup_value"], {"related_orders": ("order_id",), "related_drivers": ("driver_id",), "related_customers": ("customer_id",)})
+    listed = lambda c, name: F.array_join(F.array_sort(F.collect_set(c)), " | ").alias(name)
+    texts = rows.groupBy(F.col("lookup_value").alias("of")).agg(listed("business_rule_label", "rules"), listed("risk_tier", "tiers"))
+    return counts.join(texts, F.col("lookup_value").eqNullSafe(F.col("of"))).drop("of")

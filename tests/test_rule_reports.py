@@ -65,6 +65,23 @@ def test_component_tier_goes_by_mean_network_risk(spark):
     assert (second["network_risk_score"], second["component_risk_tier"], second["maximum_pair_score"]) == (49.99, "LOW_PRIORITY", 99.0)
 
 
+def test_counts_of_distinct_values_repeat_no_row(spark):
+    """Equal to the engine's distinct counts, nulls and absent values included, without an expanded plan."""
+    rnd = random.Random(7)
+    some = lambda n: rnd.choice([None, *map(str, range(n))])
+    rows = [(some(4), some(40), some(6), some(9)) for _ in range(700)] + [("only nulls", None, None, None)]
+    df = spark.createDataFrame(rows, "k string, a string, b string, c string").repartition(3)
+    counts = {"n_a": ("a",), "n_b": ("b",), "n_pairs": ("b", "c")}
+    order = lambda d: sorted(map(tuple, d.collect()), key=str)
+    got = expr.distinct_counts(df, ["k"], counts)
+    want = [F.countDistinct("a").alias("n_a"), F.countDistinct("b").alias("n_b"), F.countDistinct(F.struct("b", "c")).alias("n_pairs")]
+    assert order(got) == order(df.groupBy("k").agg(*want)) and order(expr.distinct_counts(df, [], counts)) == order(df.agg(*want))
+    assert order(expr.distinct_counts(df.limit(0), [], counts)) == [(0, 0, 0)] and expr.distinct_counts(df.limit(0), ["k"], counts).count() == 0
+    looked = reports.case_lookup(flags(spark).withColumns({"business_rule_label": F.lit("x"), "risk_tier": F.lit("y")}), "customer")
+    for report in (got, reports.period_summary(flags(spark), "day"), looked):
+        assert "Expand" not in report._jdf.queryExecution().toString() and report.count()
+
+
 def test_means_do_not_depend_on_the_order_of_rows(spark):
     rnd = random.Random(3)
     rows = [(f"KB{i % 7}", "s", "t", rnd.randrange(10_001) / 100, rnd.randrange(1, 9) / 9) for i in range(4_000)]
