@@ -10,12 +10,22 @@ from pairtrace.functions.shared import materialize
 from pairtrace.llm import bpe, decontam, line_dedup, quality, simhash
 from pairtrace.llm.rows import without
 
+#: Rows of the Arrow batches that texts pass Python in: a batch of the default 10,000 long texts would be held four times, in both processes.
+BATCH_ROWS, BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Near copies: texts whose sets of so many-word shingles have this Jaccard similarity or more.
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_ROWS, unless they are smaller; a stage's rows are worked on after it returns, so the setting stays."""
+    rows = int(spark.conf.get(BATCH_SETTING))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more."""
+    small_batches(spark)
     trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score = "quality_score"
     while score in docs.columns:
@@ -34,6 +44,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each linked group; of rows sharing doc_id and text, that of the least other columns stays."""
+    small_batches(spark)
     near = simhash.similar_documents(docs, shingle=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
     near = materialize(near, "near-copies")
     kept = without(docs, near.filter("NOT stays"))
@@ -51,6 +62,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of every document that is left."""
+    small_batches(spark)
     return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
