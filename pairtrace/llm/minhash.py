@@ -23,9 +23,8 @@ from pairtrace.llm.simhash import BROADCAST_ROWS, shingle_hashes, split_words
 from pairtrace.operators.components import connected_components
 
 #: Values that a sketch retains, and the overlap that it must have with a partner's. A link at the
-#: least similarity, 0.85, has a smaller overlap with probability 0.00000002 (a binomial tail, 48 draws),
-#: one of 0.9 with 0.000000000003.
-K, OVERLAP = 48, 25
+#: least similarity, 0.85, has a smaller overlap with probability 4e-11 (a binomial tail, 48 draws).
+K, OVERLAP = 48, 22
 #: Partners of one document up to which pairs are compared one by one.
 FEW = 16
 _ABSENT = -(1 << 63)
