@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from pairtrace import graph_catalog
 from pairtrace.functions import membership
-from pairtrace.operators import pairs
+from pairtrace.operators import pairs, reports
 from pairtrace.operators import property_graph as pg
 from pairtrace.operators.adjacency import AdjacencyIndex
 from pairtrace.plans.detection import Detection
@@ -99,3 +99,16 @@ def test_driver_neighborhood_counts(spark):
     assert [tuple(r) for r in got.select("driver_id", "orders", "customers", "services", "addresses").collect()] == [(*want.first(), places)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_component_display_ids_beyond_999(spark, monkeypatch):
+    flags = spark.range(1_001).select(
+        F.lit("w").alias("window_id"), F.format_string("k%05d", "id").alias("component_id"), *[F.col("id").cast("string").alias(c) for c in ("order_id", "driver_id", "customer_id")],
+        *[F.lit("x").alias(c) for c in ("service_name", "business_rule_label", "business_rule_story")],
+        *[F.lit(1.0).alias(c) for c in ("priority_score", "network_risk_score", "network_support_score", "component_density")], *[F.lit(1).alias(c) for c in ("component_size", "component_edge_count")],
+    )
+    monkeypatch.setattr(graph_catalog, "_detect", lambda *_: type("D", (), {"flags": flags}))
+    found = {r.component_id: r.component_display_id for r in __spark_entry__.queries()["component_overview"](spark, "").collect()}
+    assert found["k00000"] == "WCC-001" and found["k00998"] == "WCC-999" and found["k00999"] == "WCC-100"
+    whole = {r.component_id: r.component_display_id for r in reports.component_overview(flags).collect()}
+    assert whole["k00999"] == "WCC-1000"
