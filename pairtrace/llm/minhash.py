@@ -4,9 +4,10 @@ A document's sketch is the ``K`` least hashes of its set of word shingles. Inver
 retained values bring documents together: of a document's values only the rarest are listed, as
 many as make sure that two sketches with the overlap of a link share a listed one. Inside a list
 the overlaps are counted, the Jaccard similarity is estimated from the sketch of the union, and
-what passes is compared exactly on the full sets. Lists first report leaders and their members;
-members that are left apart from their list's main group are then compared with all of it, so
-that no link between groups is lost and no group emits all its pairs.
+what passes is compared exactly on the full sets. Lists first report leaders and their members:
+each document in its largest list, then those without a leader in all of theirs. Documents that
+are left apart from their list's main group are then compared with all of it, so that no link
+between groups is lost and no group emits all its pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pairtrace.operators.components import connected_components
 #: Values that a sketch retains, and the overlap that it must have with a partner's. A link at the
 #: least similarity, 0.85, has a smaller overlap with probability 4e-11 (a binomial tail, 48 draws).
 K, OVERLAP = 48, 22
+#: Share of a list's documents that must have one largest list in common for the list to go into it.
+MERGE = 90
 #: Partners of one document up to which pairs are compared one by one.
 FEW = 16
 _ABSENT = -(1 << 63)
@@ -82,18 +85,34 @@ def _needed(n: Column, percent: int) -> Column:
 def _lists(sets: DataFrame, percent: int) -> DataFrame:
     """(value, node, listed, members): the inverted lists of two or more documents; of lists of the same documents that of the least value stays.
 
-    A document lists its values from the rarest on; what only it has needs no list. ``listed`` are all values that it lists.
+    A document lists its values from the rarest on; what only it has needs no list. Lists of much the same documents are one
+    (``_merged``). ``listed`` are all lists that a document is in.
     """
     values = sets.select("node", "n", F.explode("sketch").alias("value"))
     common = materialize(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "shared-values")
     shared = values.join(common, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
     shared = shared.withColumn("most", F.size("shared") - _needed(F.col("n"), percent) + 1).filter("most > 0")
     listed = shared.select("node", F.transform(F.slice("shared", F.lit(1), F.col("most")), lambda x: x["value"]).alias("listed"))
-    rows = materialize(listed.select("node", "listed", F.explode("listed").alias("value")), "listed-values")
+    rows = materialize(listed.select("node", F.explode("listed").alias("value")), "listed-values")
     mark = F.xxhash64(F.lit(1), "node")
     lists = rows.groupBy("value").agg(F.count("*").alias("members"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 20)).alias("s")).filter("members > 1")
     lists = lists.groupBy("members", "x", "s").agg(F.min("value").alias("value"))
-    return materialize(rows.join(materialize(lists.select("value", "members"), "value-lists"), "value"), "inverted-lists")
+    return _merged(materialize(rows.join(materialize(lists.select("value", "members"), "value-lists"), "value"), "inverted-lists"))
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    """The lists as fewer ones: those of whose documents MERGE percent have the same largest list go into it, whole.
+
+    Documents that share a list share what it went into, so no pair is lost; near copies, which have
+    all their lists in common but for a few documents each, then meet in one list and not in each.
+    """
+    held = lists.groupBy("node").agg(F.collect_list(F.struct("members", "value")).alias("of"))
+    votes = held.select(F.array_max("of")["value"].alias("main"), F.explode("of").alias("x")).groupBy("x.value", "x.members", "main").agg(F.count("*").alias("c"))
+    best = votes.groupBy("value", "members").agg(F.max(F.struct("c", "main")).alias("best"))
+    into = best.select("value", F.when(100 * F.col("best.c") >= MERGE * F.col("members"), F.col("best.main")).otherwise(F.col("value")).alias("into"))
+    met = lists.join(materialize(into, "list-targets"), "value").groupBy("node").agg(F.array_sort(F.collect_set("into")).alias("listed"))
+    met = materialize(met.select("node", "listed", F.explode("listed").alias("value")), "merged-lists")
+    return materialize(met.join(met.groupBy("value").agg(F.count("*").alias("members")), "value"), "counted-lists")
 
 
 class Counted:
@@ -133,6 +152,12 @@ def _unpacked(column) -> list[np.ndarray]:
     return [np.sort(np.array(x.values, np.int64).view(np.uint64)) for x in column]
 
 
+def _recounted(rows: DataFrame) -> DataFrame:
+    """(value, node, members) of the lists that have two or more of ``rows``."""
+    counts = rows.groupBy("value").agg(F.count("*").alias("members")).filter("members > 1")
+    return rows.select("value", "node").join(materialize(counts, "list-members"), "value")
+
+
 def _leaders(lists: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
     """Distinct (a, b) of leaders and members of all lists; a list over ``most`` is dealt to several tasks."""
 
@@ -252,9 +277,16 @@ def _settled(lists: DataFrame, groups: DataFrame, sets: DataFrame, grams: DataFr
 def _groups(sets: DataFrame, source: DataFrame, shingle: int, percent: int, most: int, block: int) -> DataFrame:
     """(node, component) of every set with a link."""
     lists = _lists(sets, percent)
-    pairs = materialize(_leaders(lists, sets, percent, most), "leader-pairs")
     grams = _full_sets(lists, sets, source, shingle)
-    good = materialize(_confirmed(pairs, grams, percent), "leader-links")
+
+    def links(some: DataFrame) -> DataFrame:
+        pairs = materialize(_leaders(_recounted(some), sets, percent, most), "leader-pairs")
+        return materialize(_confirmed(pairs, grams, percent), "leader-links")
+
+    largest = lists.groupBy("node").agg(F.max_by("value", F.struct("members", "value")).alias("value"))
+    good = links(largest)
+    # A member is stood for by its leader, so a group's documents don't meet again in each of their lists.
+    good = good.unionAll(links(lists.select("value", "node").join(good.select(F.col("b").alias("node")).distinct(), "node", "left_anti")))
     named = lambda edges: materialize(connected_components(edges, "a", "b").withColumnRenamed("id", "node"), "set-groups")
     groups = named(good)
     rest = materialize(_settled(lists, groups, sets, grams, percent, block), "settled-links")

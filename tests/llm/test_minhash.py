@@ -86,3 +86,13 @@ def test_least_links_pass_every_filter():
             overlap = np.intersect1d(x, y).size
             assert overlap >= max(minhash.needed(a.size, 85), minhash.needed(b.size, 85)) and minhash.union_passes(x, y, 85)
             assert np.intersect1d(x[: x.size - minhash.needed(a.size, 85) + 1], y[: y.size - minhash.needed(b.size, 85) + 1]).size
+
+
+def test_a_group_of_near_copies_meets_sketches_once(spark, monkeypatch):
+    """120 texts that differ in a word each have some 25 lists in common; one row of each meets its sketch, not one a list."""
+    words, met, leaders = [f"w{i}" for i in range(150)], [], minhash._leaders
+    monkeypatch.setattr(minhash, "_leaders", lambda lists, *rest: met.append(lists.count()) or leaders(lists, *rest))
+    texts = [" ".join([*words[:i], "other", *words[i + 1 :]]) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in minhash.linked_sets(docs).collect()} == {0}
+    assert sum(met) < 3 * len(texts)
