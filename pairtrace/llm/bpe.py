@@ -28,6 +28,8 @@ NEVER = 1 << 30
 EDGE, GONE = -1, -2
 #: Characters of the texts that are merged together (one text at least), and rows of an output batch.
 CORPUS_CHARS, OUT_ROWS = 4 << 20, 512
+#: Positions whose pairs are looked up at a time.
+BLOCK = 1 << 16
 #: Distinct pre-tokens, and characters of them, that a task remembers; beyond either it starts anew.
 KNOWN_WORDS, KNOWN_CHARS = 200_000, 8 << 20
 
@@ -41,7 +43,7 @@ class Merges:
         self.token = [b""] * self.size
         for text, rank in self.rank.items():
             self.token[rank] = text
-        self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
+        self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for text, rank in self.rank.items():
             for cut in range(1, len(text)):
@@ -49,29 +51,34 @@ class Merges:
                 if left is not None and right is not None:
                     pairs[left * self.size + right] = rank
         self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.forget()
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair's merge, NEVER where there is none."""
-        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
-        at = np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)
-        return np.where(self.keys[at] == key, self.merged[at], NEVER)
+        out = np.empty(left.size, np.int32)
+        for lo in range(0, left.size, BLOCK):  # the keys of all positions at once would be the largest arrays of a replay
+            a, b = left[lo : lo + BLOCK], right[lo : lo + BLOCK]
+            key = np.where((a < 0) | (b < 0), -1, a.astype(np.int64) * self.size + b)
+            at = np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)
+            out[lo : lo + BLOCK] = np.where(self.keys[at] == key, self.merged[at], NEVER)
+        return out
 
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens of ``words`` laid end to end, and each word's token count."""
         if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         lens = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(lens + 1)
         total = int(ends[-1])
-        tok = np.full(total + 1, EDGE, np.int64)
+        tok = np.full(total + 1, EDGE, np.int32)
         tok[np.arange(data.size) + np.repeat(np.arange(len(words)), lens)] = self.byte[data]
-        after = np.minimum(np.arange(1, total + 2), total)
-        before = np.arange(-1, total)
+        place = np.int32 if total < NEVER else np.int64
+        after = np.minimum(np.arange(1, total + 2, dtype=place), total)
+        before = np.arange(-1, total, dtype=place)
         before[0] = total
-        due = np.full(total + 1, NEVER, np.int64)
+        due = np.full(total + 1, NEVER, np.int32)
         due[:-1] = self.of(tok[:-1], tok[1:])
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
@@ -87,7 +94,7 @@ class Merges:
                     index[rank] = [part]
                     heapq.heappush(heap, rank)
 
-        if (some := np.flatnonzero(due < NEVER)).size:
+        if (some := np.flatnonzero(due < NEVER).astype(place)).size:
             file(some, due[some])
         while heap:
             rank = heapq.heappop(heap)
@@ -116,7 +123,7 @@ class Merges:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
-        self.flat, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.flat, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def encode(self, texts: list[str | None], split: regex.Pattern) -> list[np.ndarray]:
         """Token ids of each text; null gives none."""
@@ -130,14 +137,14 @@ class Merges:
         whole = np.array([self.rank.get(w, -1) for w in raw], np.int32)
         todo = np.flatnonzero(whole < 0)
         made, made_n = self.replay([raw[i] for i in todo.tolist()])
-        count = np.ones(len(raw), np.int64)
+        count = np.ones(len(raw), np.int32)
         count[todo] = made_n
-        start = np.cumsum(count) - count
+        start = np.cumsum(count, dtype=np.int64) - count
         flat = np.repeat(whole, count)
         flat[np.repeat(start[todo] - (np.cumsum(made_n) - made_n), made_n) + np.arange(made.size)] = made
         self.flat, self.count = np.concatenate((self.flat, flat)), np.concatenate((self.count, count))
         count, flat = self.count, self.flat
-        start = np.cumsum(count) - count
+        start = np.cumsum(count, dtype=np.int64) - count
         out = []
         for words in docs:
             n = count[words]
@@ -193,6 +200,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
                         ],
                         ["id", "n_tokens", "ids", "decoded"],
                     )
+        table.forget()  # an idle worker keeps the table, not the words of a task
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     out = source.mapInArrow(frugal(run), "id long, n_tokens long, ids binary, decoded binary")

@@ -4,6 +4,7 @@ import base64
 import datetime
 import hashlib
 import random
+import tracemalloc
 import re
 import zlib
 
@@ -698,3 +699,14 @@ def test_classifiers_learn_and_survive_empty_labels(spark, scores):
     again = scores(odd, labels).collect()
     assert len(again) == 12 and all(r.held_out is False for r in again if r.doc_id is None) and all(r.held_out in (True, False) for r in again)
     assert scores(docs.limit(0), labels).count() == 0
+
+
+def test_bpe_replay_holds_32_bit_arrays():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    table, rnd = bpe.Merges(open(path, "rb").read()), random.Random(1)
+    words = ["".join(rnd.choice("etaoinshrdlu") for _ in range(9)).encode() for _ in range(20_000)]
+    tracemalloc.start()
+    table.replay(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * sum(len(w) + 1 for w in words)
