@@ -4,8 +4,8 @@ import base64
 import datetime
 import hashlib
 import random
-import tracemalloc
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
