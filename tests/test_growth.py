@@ -1,9 +1,14 @@
-"""What the detection shuffles, sorts and writes at size: places voted for as numbers."""
+"""What the detection shuffles, sorts and writes at size: places voted for as numbers, flags that are not written."""
 
 import random
 
+from pyspark.sql import functions as F
+
+from pairtrace.config import PairConfig, RuleConfig, ShortlistConfig
 from pairtrace.functions.expr import PAIR_KEY
-from pairtrace.operators import pairs
+from pairtrace.operators import pairs, rules
+from pairtrace.plans.detection import Detection
+from tests.test_detection import order, table
 
 
 def _plan(df):
@@ -29,3 +34,21 @@ def test_pair_base_sorts_no_pairs(spark):
         want[pair] = (len(votes), len(votes), sum(v[2] for v in votes), *min(counts, key=rank(counts)))
     assert got == want
     assert "HashAggregate" in _plan(base) and "SortAggregate" not in _plan(base)
+
+
+def test_reports_read_few_columns_of_flags(spark, monkeypatch):
+    """Flags are joined for the columns of a report: no table of their hundred columns is written first."""
+    written = []
+    real = pairs.materialize
+    for module in ("pairtrace.plans.detection", "pairtrace.operators.pairs"):
+        monkeypatch.setattr(f"{module}.materialize", lambda df, name: written.append(name) or real(df, name))
+    rows = [order(f"o{i}", "d1", "c1", f"2026-07-14T10:{i:02d}:00") for i in range(6)] + [order("p", "d2", "c2", "2026-07-14T11:00:00", kmh=30.0)]
+    found = Detection(
+        table(spark, rows), PairConfig(extreme_trip_quantile=0.5), ShortlistConfig(3, 0.5, 35, 0.3, 0.3, 0.3),
+        RuleConfig(high_ghost_rate=0.3, superfast_gap_min=5, min_pair_trips_for_share_rule=3, dominant_route_share=0.5, min_high_confidence_trips=3, min_superfast_trips=3),
+    )
+    summary = rules.daily_flag_summary(found.flags)
+    assert [(r.flagged_orders, r.flagged_customers, r.total_gmv) for r in summary.collect()] == [(6, 1, 72000.0)]
+    assert "pair-reasons" in written and "flagged-orders" not in written
+    assert "volume_score" not in _plan(summary) and "flag_reason" not in _plan(summary)
+    assert found.flags.select(F.countDistinct("order_id")).first()[0] == 6 and found.flags.filter("evidence.n_trips <> 6").isEmpty()
