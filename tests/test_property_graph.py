@@ -3,7 +3,9 @@
 import hashlib
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
+from pairtrace.functions import shared
 from pairtrace.operators import property_graph as pg
 from pairtrace.sources import manifest
 from pairtrace.streaming import ingest
@@ -80,6 +82,29 @@ def test_segments_take_new_columns_and_refuse_new_types(spark, tmp_path):
         ingest.read_table(spark, str(tmp_path / "none"))
 
 
+def test_ingest_writes_and_shuffles_a_batch_once(spark, tmp_path, monkeypatch):
+    """No copy of the batch beside its segment, one shuffle of wide rows, by ranges; reading few columns leaves the others unread."""
+    table, plans, copies = str(tmp_path / "table"), [], []
+    write, fresh = DataFrameWriter.parquet, shared.fresh_path
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: plans.append(w._df._jdf.queryExecution().executedPlan().toString()) or write(w, path, *a, **k))
+    monkeypatch.setattr(shared, "fresh_path", lambda spark, name: copies.append(name) or fresh(spark, name))
+    monkeypatch.setattr(ingest, "RANGE_ROWS", 300, raising=False)
+    for n in range(5):
+        rows = [(f" o{i % 400:03d}", f"d{n}", f"c{i:04d}", " COMPLETED", str(n)) for i in range(n * 10, n * 10 + 900)] + [(" ", "d", "c", "x", "0"), (None, "d", "c", "x", "0")]
+        ingest.merge_batch(spark.createDataFrame(rows, SCHEMA), table, n, list(ingest.FIRST))
+    assert not copies and len(plans) == 6  # five segments, and four that were merged
+    assert all(p.count("Exchange ") == 1 and "Exchange rangepartitioning(order_id" in p for p in plans)
+    segments = manifest.latest(spark, table)["segments"]
+    assert [(s["low"], s["high"]) for s in segments] == [(0, 3), (4, 4)]
+    files = [[r.order_id for r in spark.read.parquet(f).select("order_id").collect()] for f in sorted(spark.read.parquet(segments[0]["path"]).inputFiles())]
+    assert len(files) > 1 and [i for f in files for i in f] == [f"o{i:03d}" for i in range(400)]
+    read = ingest.read_table(spark, table).select("order_id", "driver_id")
+    assert sorted(map(tuple, read.collect())) == [(f"o{i:03d}", "d4") for i in range(400)]
+    assert "customer_id" not in read._jdf.queryExecution().executedPlan().toString()
+    whole = {r.order_id: r for r in ingest.read_table(spark, table).collect()}
+    assert whole["o039"].customer_id == "c0439" and whole["o040"].customer_id == "c0040" and whole["o040"].is_completed and whole["o040"].domain == "ride"
+
+
 def test_component_subgraph_and_paths_take_all_orders(spark):
     flags = spark.createDataFrame([("c1", f"o{i:04d}") for i in range(450)] * 2 + [("c2", "x1")], "component_id string, order_id string")
     edges = [("PAID_BY", f"o{i:04d}", "card") for i in range(450)] + [("PICKUP_AT", f"o{i:04d}", "late") for i in range(400, 450)] + [("PAID_BY", "x1", "card"), ("USED_PROMO", "o0449", "once")]
