@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import DataFrameWriter
 
+import __spark_entry__
 from pairtrace.functions import shared
 from pairtrace.operators import property_graph as pg
 from pairtrace.sources import manifest
@@ -112,3 +113,23 @@ def test_component_subgraph_and_paths_take_all_orders(spark):
     edges = spark.createDataFrame(edges, "type string, src string, dst string")
     assert sorted(map(tuple, pg.component_subgraph(flags, edges).collect())) == [("c1", "PAID_BY", "card", 450), ("c1", "PICKUP_AT", "late", 50)]
     assert sorted(map(tuple, pg.component_paths(flags, edges).collect())) == sorted(("c1", "cust", f"o{i:04d}", f"d{i % 3}") for i in range(450))
+
+
+def test_component_subgraph_lists_core_paths_and_every_pair(spark, monkeypatch):
+    """Core paths and pairs of orders, the lesser id first, of ends with one block and with many; other components' orders and single ends make none."""
+    monkeypatch.setattr(pg, "PAIR_BLOCK", 40, raising=False)
+    monkeypatch.setattr(pg, "PAIRS_A_TASK", 9_000, raising=False)
+    of = {f"o{i}": ("c1",) if i < 250 else ("c2", "c3") if i < 256 else () for i in range(260)}
+    ends = [("PAID_BY", o, "card") for o in of] + [("PICKUP_AT", o, f"a{i // 3}") for i, o in enumerate(of)] + [("DROPOFF_AT", o, "a1") for o in ("o0", "o7", "o255")] + [("USES_SERVICE", o, "svc") for o in of]
+    core = [e for i, o in enumerate(of) for e in (("PLACED", f"cust{i % 4}", o), ("SERVED", f"d{i % 9}", o))] + [("PLACED", "cust9", "o5")]
+    flags = spark.createDataFrame([(c, o) for o, found in of.items() for c in found] * 2, "component_id string, order_id string")
+    want = [(c, "CORE", who, o, by) for t, who, o in core if t == "PLACED" for s, by, at in core if s == "SERVED" and at == o for c in of[o]]
+    used = [e for e in ends if e[0] in pg.INFRASTRUCTURE]
+    want += [(c, t, o, end, p) for t, o, end in used for u, p, same in used if (t, end) == (u, same) and o < p for c in of[o] if c in of[p]]
+    got = pg.component_subgraph_paths(flags, spark.createDataFrame(ends + core, "type string, src string, dst string"))
+    assert got.columns == ["component_id", "type", "src", "via", "dst"] and sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 31_000
+    counted = pg.component_subgraph(flags, spark.createDataFrame(ends, "type string, src string, dst string"))
+    assert sum(r.orders * (r.orders - 1) // 2 for r in counted.collect()) == sum(w[1] != "CORE" for w in want)
+    pairs = pg._sharing_pairs(flags, spark.createDataFrame(ends, "type string, src string, dst string"))
+    assert "SortMergeJoin" in pairs._jdf.queryExecution().executedPlan().toString() and pairs.rdd.getNumPartitions() == 4
+    assert __spark_entry__.queries()["component_subgraph"](spark, __spark_entry__.SMOKE_DIR).columns == got.columns
