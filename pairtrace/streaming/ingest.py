@@ -22,8 +22,8 @@ from pairtrace.sources import manifest
 FIRST = ("order_time_local_tz", "driver_id", "customer_id")
 #: So many neighbouring segments of one tier are merged; bytes of the smallest tier, whose multiples by FANOUT bound the others.
 FANOUT, TIER_BYTES = 4, 1 << 24
-#: Rows of a range of order ids that one task sorts, about 250 MB of wide orders.
-RANGE_ROWS = 500_000
+#: Rows of a range of order ids that one task sorts, about 250 MB of wide orders; up to so many ranges a task hands its rows on as it reads them (spark.shuffle.sort.bypassMergeThreshold), beyond it would collect them first and spill.
+RANGE_ROWS, MOST_RANGES = 500_000, 200
 
 
 def tier(size: int) -> int:
@@ -74,7 +74,7 @@ def _first_sorted(rows: DataFrame, count: int, order: list[Column | str], made=l
     that ``made`` derives of a row are made behind that shuffle. The number of ranges follows the
     rows, so that a task can sort its own in memory.
     """
-    ranges = made(rows.repartitionByRange(1 + count // RANGE_ROWS, "order_id"))
+    ranges = made(rows.repartitionByRange(min(MOST_RANGES, 1 + count // RANGE_ROWS), "order_id"))
     place = F.row_number().over(Window.partitionBy("order_id").orderBy(*order))
     return ranges.withColumn("__place", place).filter("__place = 1").drop("__place")
 

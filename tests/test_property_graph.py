@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import DataFrameWriter
 
 import __spark_entry__
+from pairtrace import graph_catalog
 from pairtrace.functions import shared
 from pairtrace.operators import property_graph as pg
 from pairtrace.sources import manifest
+from pairtrace.sources.trips import trips
 from pairtrace.streaming import ingest
 from pairtrace.streaming.ingest import incremental_ingest
 
@@ -106,6 +108,23 @@ def test_ingest_writes_and_shuffles_a_batch_once(spark, tmp_path, monkeypatch):
     assert whole["o039"].customer_id == "c0439" and whole["o040"].customer_id == "c0040" and whole["o040"].is_completed and whole["o040"].domain == "ride"
 
 
+def test_ingest_counters_write_arrivals_segments_and_counts_alone(spark, monkeypatch):
+    """Two arrivals, two segments, two parts of counts; a batch of many rows makes no more ranges than named."""
+    plans, write = {}, DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: plans.update({(len(plans), path): w._df._jdf.queryExecution().executedPlan().toString()}) or write(w, path, *a, **k))
+    monkeypatch.setattr(ingest, "RANGE_ROWS", 10, raising=False)
+    monkeypatch.setattr(ingest, "MOST_RANGES", 5, raising=False)
+    got = {(r.batch, r.metric): r.value for r in __spark_entry__.queries()["ingest_counters"](spark, __spark_entry__.SMOKE_DIR).collect()}
+    assert [path.rpartition("pairtrace-")[2].split("/")[1].split("-")[1] for _, path in plans] == ["arrivals", "table", "counts"] + ["arrivals", "table", "counts"]
+    assert all("ASC NULLS FIRST, 5)" in plan for (_, path), plan in plans.items() if "/segments/" in path)
+    old, new = (t.select("order_id") for t in graph_catalog._HALVES(trips(spark, __spark_entry__.SMOKE_DIR)))
+    ids, known = new.distinct(), old.distinct()
+    updated = ids.intersect(known).count()
+    assert got == {(0, "new"): known.count(), (0, "updated"): 0, (0, "valid"): known.count(), (0, "processed"): old.count()} | {
+        (1, "new"): ids.count() - updated, (1, "updated"): updated, (1, "valid"): ids.count(), (1, "processed"): new.count()
+    }
+
+
 def test_component_subgraph_and_paths_take_all_orders(spark):
     flags = spark.createDataFrame([("c1", f"o{i:04d}") for i in range(450)] * 2 + [("c2", "x1")], "component_id string, order_id string")
     edges = [("PAID_BY", f"o{i:04d}", "card") for i in range(450)] + [("PICKUP_AT", f"o{i:04d}", "late") for i in range(400, 450)] + [("PAID_BY", "x1", "card"), ("USED_PROMO", "o0449", "once")]
