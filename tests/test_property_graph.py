@@ -109,13 +109,14 @@ def test_ingest_writes_and_shuffles_a_batch_once(spark, tmp_path, monkeypatch):
 
 
 def test_ingest_counters_write_arrivals_segments_and_counts_alone(spark, monkeypatch):
-    """Two arrivals, two segments, two parts of counts; a batch of many rows makes no more ranges than named."""
+    """Both arrivals from one join, two segments, two parts of counts; a batch of many rows makes no more ranges than named."""
     plans, write = {}, DataFrameWriter.parquet
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: plans.update({(len(plans), path): w._df._jdf.queryExecution().executedPlan().toString()}) or write(w, path, *a, **k))
     monkeypatch.setattr(ingest, "RANGE_ROWS", 10, raising=False)
     monkeypatch.setattr(ingest, "MOST_RANGES", 5, raising=False)
     got = {(r.batch, r.metric): r.value for r in __spark_entry__.queries()["ingest_counters"](spark, __spark_entry__.SMOKE_DIR).collect()}
-    assert [path.rpartition("pairtrace-")[2].split("/")[1].split("-")[1] for _, path in plans] == ["arrivals", "table", "counts"] + ["arrivals", "table", "counts"]
+    assert [path.rpartition("pairtrace-")[2].split("/")[1].split("-")[1] for _, path in plans] == ["aside", "table", "counts", "table", "counts"]
+    assert "Sort [arrival" not in next(iter(plans.values())) and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     assert all("ASC NULLS FIRST, 5)" in plan for (_, path), plan in plans.items() if "/segments/" in path)
     old, new = (t.select("order_id") for t in graph_catalog._HALVES(trips(spark, __spark_entry__.SMOKE_DIR)))
     ids, known = new.distinct(), old.distinct()
@@ -125,6 +126,13 @@ def test_ingest_counters_write_arrivals_segments_and_counts_alone(spark, monkeyp
     }
 
 
+def test_arrivals_are_the_halves_and_may_be_empty(spark):
+    days = spark.sql("SELECT string(id) AS order_id, date_add(DATE '1994-12-01', int(id)) AS order_date FROM range(0, 800, 20) UNION ALL SELECT 'none', NULL")
+    for df in (days, days.filter("order_date > '1996-01-10'"), days.limit(0)):
+        for folder, half in zip(graph_catalog._arrivals(spark, df), graph_catalog._HALVES(df), strict=True):
+            assert sorted(map(tuple, spark.read.parquet(folder).collect())) == sorted(map(tuple, half.collect()))
+
+
 def test_component_subgraph_and_paths_take_all_orders(spark):
     flags = spark.createDataFrame([("c1", f"o{i:04d}") for i in range(450)] * 2 + [("c2", "x1")], "component_id string, order_id string")
     edges = [("PAID_BY", f"o{i:04d}", "card") for i in range(450)] + [("PICKUP_AT", f"o{i:04d}", "late") for i in range(400, 450)] + [("PAID_BY", "x1", "card"), ("USED_PROMO", "o0449", "once")]
